@@ -6,6 +6,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import Column
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WHOLE = "decimal(38,0)"
@@ -48,6 +49,11 @@ def sum_where(condition: Column, value: Column) -> Column:
     return F.sum(F.when(condition, value)).cast(MONEY)
 
 
+def grand_total(column: str) -> Column:
+    """Sum over all rows; only for frames already grouped down to a handful of rows."""
+    return F.sum(column).over(W.partitionBy())
+
+
 def one_if(condition: Column) -> Column:
     """1 / 0, with unknown counted as 0."""
     return F.coalesce(condition, F.lit(False)).cast("bigint")

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def capitalised(raw: Column) -> Column:
@@ -26,7 +27,7 @@ def labelled(code: Column, labels: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), code)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def ascii_slug(text: pd.Series) -> pd.Series:
     """Accents stripped, lower case, letters and digits only. Spark has no
     compatibility decomposition, hence the Arrow batch."""

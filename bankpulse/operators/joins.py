@@ -1,0 +1,22 @@
+"""Lookups whose key may be very unevenly spread."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SPREAD = 16
+
+
+def spread_join(facts: DataFrame, lookup: DataFrame, key: str, row_id: Column, how: str = "inner") -> DataFrame:
+    """Equi-join on ``key`` with each key cut into ``SPREAD`` pieces.
+
+    Rows of one key are dealt over the pieces by ``row_id``; the lookup, which has one
+    narrow row per key, is repeated for each piece. No key is handled by a single task
+    and the result equals the plain join. When the lookup is small enough, Spark's
+    own size check turns this into a broadcast join.
+    """
+    piece = F.pmod(F.xxhash64(row_id), F.lit(SPREAD)).cast("int")
+    dealt = facts.withColumn("_piece", piece)
+    repeated = lookup.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    return dealt.join(repeated, [key, "_piece"], how).drop("_piece")

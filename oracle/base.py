@@ -29,7 +29,9 @@ def check(needs: list[str], sql: str) -> str:
     for name in needs:
         visit(name)
     ctes = ",\n".join(f"{name} AS (\n{RELATIONS[name][1]}\n)" for name in ordered)
-    return f"WITH RECURSIVE {ctes}\n{sql}" if ordered else sql
+    if not ordered:
+        return sql
+    return f"WITH RECURSIVE {ctes}\n{sql.lstrip()}" if not sql.lstrip().startswith(",") else f"WITH RECURSIVE {ctes}{sql}"
 
 
 def ratio(num: str, den: str, scale: int, times: int = 100) -> str:
