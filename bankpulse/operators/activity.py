@@ -9,7 +9,7 @@ from bankpulse.functions.activity import customer_activity, failed, is_event, su
 from bankpulse.functions.dates import complete_days, complete_years, month_of
 from bankpulse.functions.numbers import MONEY, money, one_if
 from bankpulse.params import AnalysisParams
-from bankpulse.tables import BankTables
+from bankpulse.tables import BankTables, defined_once
 from bankpulse.vocabulary import UNKNOWN_AGE
 
 RECENT_DAYS = 180
@@ -111,6 +111,7 @@ def account_money(tables: BankTables, params: AnalysisParams) -> DataFrame:
     return totals.select("account_id", *filled)
 
 
+@defined_once
 def account_profile(tables: BankTables, params: AnalysisParams) -> DataFrame:
     """Accounts opened by the period end, with their holder; reads no log."""
     holders = tables.customers().select("customer_id", "signup_channel", "city", "birth_date")
@@ -137,6 +138,7 @@ def _age_band(age: Column) -> Column:
     )
 
 
+@defined_once
 def account_measures(tables: BankTables, params: AnalysisParams) -> DataFrame:
     """Profile plus every log-derived measure.
 

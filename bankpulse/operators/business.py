@@ -276,12 +276,12 @@ def dormancy_watchlist(tables: BankTables, params: AnalysisParams) -> DataFrame:
 
 def rfm_base(tables: BankTables, params: AnalysisParams) -> DataFrame:
     """Recency, frequency and spend of funded open accounts, from one pass over the logs."""
-    return (
-        account_measures(tables, params)
-        .where(F.col("lifecycle_status").isin("ACTIVE", "DORMANT"))
-        .select(
-            "account_id", "signup_channel", "age_band", "lifecycle_status",
-            F.col("days_since_last_activity").alias("recency_days"),
-            "frequency_180d", "card_spend_180d", "balance_at_period_end",
-        )
+    return funded_open(account_measures(tables, params))
+
+
+def funded_open(measures: DataFrame) -> DataFrame:
+    return measures.where(F.col("lifecycle_status").isin("ACTIVE", "DORMANT")).select(
+        "account_id", "signup_channel", "age_band", "lifecycle_status",
+        F.col("days_since_last_activity").alias("recency_days"),
+        "frequency_180d", "card_spend_180d", "balance_at_period_end",
     )

@@ -14,8 +14,9 @@ from bankpulse.tables import BankTables
 
 def _report(frame: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """(constraint_name, violations) rows from one aggregation over ``frame``."""
-    totals = frame.agg(*[F.coalesce(value, F.lit(0)).cast("bigint").alias(name) for name, value in rules.items()])
-    pairs = [F.struct(F.lit(name).alias("constraint_name"), F.col(name).alias("violations")) for name in rules]
+    counts = [F.coalesce(value, F.lit(0)).cast("bigint").alias(f"c{i}") for i, value in enumerate(rules.values())]
+    totals = frame.agg(*counts)
+    pairs = [F.struct(F.lit(name).alias("constraint_name"), F.col(f"c{i}").alias("violations")) for i, name in enumerate(rules)]
     return totals.select(F.inline(F.array(*pairs)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -14,10 +15,7 @@ from bankpulse.operators.activity import movements
 from bankpulse.operators.joins import spread_join
 from bankpulse.operators.ordering import numbered, written
 
-REPLAY_SCHEMA = (
-    "operation_id bigint, account_id bigint, created_at timestamp_ntz, status string, "
-    "failure_reason string, balance_cents bigint"
-)
+REPLAY_SCHEMA = "operation_id bigint, account_id bigint, created_at timestamp_ntz, reason string, balance_cents bigint"
 SLICE_ROWS = 2_000_000
 
 
@@ -52,35 +50,41 @@ def running_balance(transactions: DataFrame) -> DataFrame:
     )
 
 
-def decide(balance: int, deposit: bool, amount: int) -> tuple[str | None, int]:
-    """Failure reason (or None) and the balance afterwards, in cents."""
+def decide(balance: int, deposit: bool, amount: int) -> tuple[str, int]:
+    """Failure reason ('' when accepted) and the balance afterwards, in cents."""
     if amount <= 0:
         return "INVALID_AMOUNT", balance
     if deposit:
-        return None, balance + amount
+        return "", balance + amount
     if amount > balance:
         return "INSUFFICIENT_FUNDS", balance
-    return None, balance - amount
-
-
-def replay_in_order(rows: pd.DataFrame, balance: int) -> tuple[pd.DataFrame, int]:
-    """Apply attempts of one account in (created_at, operation_id) order."""
-    rows = rows.sort_values(["created_at", "operation_id"], kind="stable")
-    reasons, balances = [], []
-    for deposit, amount in zip(rows["is_deposit"].tolist(), rows["amount_cents"].tolist()):
-        reason, balance = decide(balance, deposit, amount)
-        reasons.append(reason)
-        balances.append(balance)
-    result = rows[["operation_id", "account_id", "created_at"]].assign(
-        status=["FAILED" if reason else "SUCCESS" for reason in reasons],
-        failure_reason=pd.Series(reasons, index=rows.index, dtype=object),
-        balance_cents=balances,
-    )
-    return result, balance
+    return "", balance - amount
+
+
+class AccountReplay:
+    """Applies attempts one by one; ``start`` is used whenever the account changes."""
+
+    def __init__(self, account: int | None = None, balance: int = 0) -> None:
+        self.account, self.balance = account, balance
+
+    def apply(self, rows: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
+        """``rows`` in (account, created_at, operation_id) order."""
+        reasons, balances = [], []
+        columns = (rows[name].tolist() for name in ("account_id", "is_deposit", "amount_cents"))
+        for account, deposit, amount, start in zip(*columns, starts):
+            if account != self.account:
+                self.account, self.balance = account, start
+            reason, self.balance = decide(self.balance, deposit, amount)
+            reasons.append(reason)
+            balances.append(self.balance)
+        return rows[["operation_id", "account_id", "created_at"]].assign(reason=reasons, balance_cents=balances)
 
 
-def _replay_group(rows: pd.DataFrame) -> pd.DataFrame:
-    return replay_in_order(rows, int(rows["start_cents"].iloc[0]))[0]
+def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A partition holds whole accounts in order; the balance is carried from batch to batch."""
+    replay = AccountReplay()
+    for rows in batches:
+        yield replay.apply(rows, rows["start_cents"].tolist())
 
 
 def replay_input(attempts: DataFrame) -> DataFrame:
@@ -93,7 +97,9 @@ def replay_input(attempts: DataFrame) -> DataFrame:
 
 def replay_output(replayed: DataFrame) -> DataFrame:
     return replayed.select(
-        "operation_id", "account_id", "status", "failure_reason",
+        "operation_id", "account_id",
+        F.when(F.col("reason") == "", "SUCCESS").otherwise("FAILED").alias("status"),
+        F.nullif("reason", F.lit("")).alias("failure_reason"),
         (F.col("balance_cents") * F.lit(0.01).cast("decimal(3,2)")).cast(MONEY).alias("balance_after"),
     )
 
@@ -103,17 +109,18 @@ def _replay_slice(rows: DataFrame, starts: DataFrame | None) -> DataFrame:
         begun = rows.withColumn("start_cents", F.lit(0).cast("bigint"))
     else:
         begun = rows.join(starts, "account_id", "left").fillna(0, subset=["start_cents"])
-    return begun.groupBy("account_id").applyInPandas(_replay_group, REPLAY_SCHEMA)
+    in_order = begun.repartition("account_id").sortWithinPartitions("account_id", "created_at", "operation_id")
+    return in_order.mapInPandas(_replay_partition, REPLAY_SCHEMA)
 
 
 def ledger_replay(attempts: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Accept or reject deposits and debits one after the other, per account from zero.
 
     Whether a debit passes depends on everything accepted before it, so an account is
-    inherently sequential. Accounts run in parallel; an account with more than
-    ``slice_rows`` attempts is cut into consecutive slices that run in successive
-    rounds, each starting from the balances the round before wrote. No task ever
-    holds more than ``slice_rows`` attempts of an account.
+    inherently sequential. Accounts run in parallel, streamed through tasks batch by
+    batch; an account with more than ``slice_rows`` attempts is cut into consecutive
+    slices that run in successive rounds, each starting from the balances the round
+    before wrote. No task ever sorts more than ``slice_rows`` attempts of an account.
     """
     rows = replay_input(attempts)
     busiest = rows.groupBy("account_id").count().agg(F.max("count")).first()[0] or 0

@@ -9,7 +9,7 @@ from bankpulse.functions.activity import app_attempt, customer_activity, failed,
 from bankpulse.functions.dates import month_of
 from bankpulse.functions.numbers import money, pct, sum_where
 from bankpulse.params import AnalysisParams
-from bankpulse.tables import BankTables
+from bankpulse.tables import BankTables, defined_once
 
 AMOUNTS = {
     "deposits_amount": "DEPOSIT",
@@ -56,6 +56,7 @@ def monthly_money(tables: BankTables, params: AnalysisParams) -> DataFrame:
     )
 
 
+@defined_once
 def v_monthly_kpis(tables: BankTables, params: AnalysisParams) -> DataFrame:
     """All sides have at most one row per calendar month, hence the broadcasts."""
     joined = (

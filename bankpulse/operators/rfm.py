@@ -67,25 +67,20 @@ def _quintile(prefix: str, value: str) -> Column:
     return F.lit(1) + passed[0] + passed[1] + passed[2] + passed[3]
 
 
-def scored(base: DataFrame) -> DataFrame:
-    """R, F and M next to the base columns; ``base`` is read twice, so it is written once.
+def with_scores(frame: DataFrame, cuts: DataFrame) -> DataFrame:
+    """R, F, M and the segment next to the columns of ``frame``; the cut points are one row.
 
-    Quintiles equal cutting first-come ranks at interpolated quantiles (ties broken by
-    account). The cut points are a single row.
+    Quintiles equal cutting first-come ranks at interpolated quantiles, ties broken by
+    account. The first matching rule names the segment.
     """
-    base = written(base)
-    columns = base.columns
-    return base.join(F.broadcast(cut_points(base)), how="cross").select(
+    columns = frame.columns
+    scored = frame.join(F.broadcast(cuts), how="cross").select(
         *columns,
         recency_score().alias("R"),
         _quintile("f", "frequency_180d").alias("F"),
         _quintile("m", "card_spend_180d").alias("M"),
         (F.col("balance_at_period_end") * 4 >= F.col("high_balance_times_4")).alias("high_balance"),
     )
-
-
-def segment_rfm(base: DataFrame) -> DataFrame:
-    """First matching rule names the segment."""
     champions, regulars, savers, occasional, at_risk, asleep = SEGMENTS
     r, f, m = F.col("R"), F.col("F"), F.col("M")
     segment = (
@@ -96,7 +91,13 @@ def segment_rfm(base: DataFrame) -> DataFrame:
         .when(f >= 3, regulars)
         .otherwise(occasional)
     )
-    return scored(base).withColumn("segment", segment).drop("high_balance")
+    return scored.withColumn("segment", segment).drop("high_balance")
+
+
+def segment_rfm(base: DataFrame) -> DataFrame:
+    """Score a base and name each account's segment. It is read twice, so written once."""
+    base = written(base)
+    return with_scores(base, cut_points(base))
 
 
 def rfm_segments(tables: BankTables, params: AnalysisParams) -> DataFrame:
@@ -108,11 +109,11 @@ def rfm_recency(tables: BankTables, params: AnalysisParams) -> DataFrame:
 
 
 def rfm_frequency(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    return scored(rfm_base(tables, params)).select("account_id", "frequency_180d", "F")
+    return rfm_segments(tables, params).select("account_id", "frequency_180d", "F")
 
 
 def rfm_monetary(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    return scored(rfm_base(tables, params)).select("account_id", "card_spend_180d", "M")
+    return rfm_segments(tables, params).select("account_id", "card_spend_180d", "M")
 
 
 def rfm_high_balance(tables: BankTables, params: AnalysisParams) -> DataFrame:

@@ -10,9 +10,10 @@ from bankpulse.functions.activity import customer_activity, failed, is_event, su
 from bankpulse.functions.dates import month_of
 from bankpulse.functions.numbers import MONEY, money, one_if
 from bankpulse.functions.text import labelled
-from bankpulse.operators.activity import v_account_activity
-from bankpulse.operators.business import ELIGIBLE_DAYS, cohort_cells
-from bankpulse.operators.rfm import rfm_segments
+from bankpulse.operators.activity import account_measures
+from bankpulse.operators.business import ELIGIBLE_DAYS, cohort_cells, funded_open
+from bankpulse.operators.ordering import written
+from bankpulse.operators.rfm import cut_points, with_scores
 from bankpulse.params import AnalysisParams
 from bankpulse.tables import BankTables
 
@@ -22,7 +23,11 @@ def _within(days: int) -> Column:
 
 
 def account_dimension(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    return v_account_activity(tables, params).select(
+    return _dimension(account_measures(tables, params), params)
+
+
+def _dimension(measures: DataFrame, params: AnalysisParams, *more: str) -> DataFrame:
+    return measures.select(
         "account_id", "customer_id", "signup_channel", "age_band",
         F.coalesce("city", F.lit(vocab.UNKNOWN_CITY)).alias("city"),
         "cohort_month",
@@ -32,6 +37,7 @@ def account_dimension(tables: BankTables, params: AnalysisParams) -> DataFrame:
         _within(30).alias("funded_within_30_days"),
         (F.col("opened_at") <= params.end_minus(ELIGIBLE_DAYS)).alias("activation_eligible"),
         "days_since_last_activity", "balance_at_period_end", "card_spend", "card_payments", "declined_card_payments",
+        *more,
     )
 
 
@@ -149,10 +155,14 @@ class Star:
 
     @property
     def dim_compte(self) -> DataFrame:
-        segments = rfm_segments(self.tables, self.params).select("account_id", "segment")
-        dimension = account_dimension(self.tables, self.params).join(segments, "account_id", "left")
-        segment = F.coalesce("segment", F.lit(vocab.NOT_SEGMENTED))
-        return self._labelled_accounts(dimension, segment)
+        """The account measures are written once; ranking reads three narrow columns of
+        them, and each account then finds its segment without a join."""
+        measures = written(account_measures(self.tables, self.params))
+        base = measures.withColumn("recency_days", F.col("days_since_last_activity"))
+        scored = with_scores(base, cut_points(funded_open(measures)))
+        segment = F.when(F.col("lifecycle_status").isin("ACTIVE", "DORMANT"), F.col("segment"))
+        segmented = scored.withColumn("segment", F.coalesce(segment, F.lit(vocab.NOT_SEGMENTED)))
+        return self._labelled_accounts(_dimension(segmented, self.params, "segment"), F.col("segment"))
 
     @staticmethod
     def _labelled_accounts(dimension: DataFrame, segment: Column | None = None) -> DataFrame:

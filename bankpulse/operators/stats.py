@@ -33,17 +33,21 @@ def independence_test(detail: DataFrame) -> DataFrame:
     A 2x2 table gets the continuity correction: each |observed - expected| shrinks by
     0.5, but not below zero.
     """
-    cells = detail.groupBy("signup_channel", "funded_within_30_days").agg(F.count("*").alias("observed"))
-    channels = cells.select("signup_channel").distinct()
-    outcomes = cells.select("funded_within_30_days").distinct()
-    by_channel, by_outcome = W.partitionBy("signup_channel"), W.partitionBy("funded_within_30_days")
-    table = (  # at most channels x 2 rows from here on
-        channels.crossJoin(outcomes)
-        .join(cells, ["signup_channel", "funded_within_30_days"], "left")
-        .withColumn("observed", F.coalesce("observed", F.lit(0)))
+    funded = F.col("funded_within_30_days")
+    outcomes = F.array(
+        F.struct(F.lit(True).alias("outcome"), F.col("funded").alias("observed")),
+        F.struct(F.lit(False).alias("outcome"), F.col("not_funded").alias("observed")),
+    )
+    by_channel, by_outcome = W.partitionBy("signup_channel"), W.partitionBy("outcome")
+    table = (  # two rows per channel from here on
+        detail.groupBy("signup_channel")
+        .agg(F.count_if(funded).alias("funded"), F.count_if(~funded).alias("not_funded"))
+        .select("signup_channel", F.inline(outcomes))
+        .withColumn("outcome_total", F.sum("observed").over(by_outcome))
+        .where(F.col("outcome_total") > 0)
         .select(
             "observed",
-            (F.sum("observed").over(by_channel).cast("double") * F.sum("observed").over(by_outcome)
+            (F.sum("observed").over(by_channel).cast("double") * F.col("outcome_total")
              / grand_total("observed")).alias("expected"),
             F.count("*").over(by_outcome).alias("n_channels"),
             F.count("*").over(by_channel).alias("n_outcomes"),

@@ -20,7 +20,7 @@ from bankpulse.operators.star import Star
 from bankpulse.plans.named import NAMED
 from bankpulse.plans.pipeline import register_views
 from bankpulse.sources import files, layer
-from bankpulse.sources.fixture import PARAMS, ParquetFixture
+from bankpulse.sources.fixture import PARAMS, ParquetFixture, open_fixture
 from bankpulse.streaming.ledger_stream import ledger_replay_stream
 from bankpulse.vocabulary import CHECK_LABELS, PROFILE_LABELS
 
@@ -223,7 +223,7 @@ OPERATIONS: dict[str, Job] = {
 
 def catalog() -> dict[str, Query]:
     def bind(job: Job, defects: bool) -> Query:
-        return lambda spark, folder: job(ParquetFixture(spark, folder, defects))
+        return lambda spark, folder: job(open_fixture(spark, folder, defects))
 
     groups = [(SOURCES, False), (CLEANING, False), (PROFILING, False), (CHECKS, True),
               (ANALYSIS, False), (STAR, False), (OPERATIONS, False)]

@@ -8,6 +8,7 @@ customer key, so the lifetime filter needs no lookup either.
 from __future__ import annotations
 
 from datetime import datetime
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,14 @@ PARAMS = AnalysisParams(datetime(1995, 1, 1), datetime(2000, 12, 31, 23, 59, 59)
 
 _OPENED = "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(k * 7 % 2200 as int), 0, 0, k * 7919 % 86400)"
 _CLOSED = f"case when k % 19 = 0 then {_OPENED} + interval '400' day end"
+_INPUT = {
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
 _LOG_COLUMNS = [field.split()[0] for field in schemas.OPERATION_LOG.split(", ")]
 
 
@@ -47,6 +56,18 @@ def _card(body: str) -> str:
     return f"concat({body}, cast({_check_digit(body)} as string))"
 
 
+_OPEN: WeakKeyDictionary[SparkSession, dict[tuple[str, bool], ParquetFixture]] = WeakKeyDictionary()
+
+
+def open_fixture(spark: SparkSession, folder: str, defects: bool = False) -> ParquetFixture:
+    """The fixture of a folder; its table definitions are shared by all queries of a session."""
+    opened = _OPEN.setdefault(spark, {})
+    key = (folder, defects)
+    if key not in opened:
+        opened[key] = ParquetFixture(spark, folder, defects)
+    return opened[key]
+
+
 class ParquetFixture(BankTables):
     """``defects`` adds the seeded transaction faults that integrity checks must find."""
 
@@ -56,13 +77,17 @@ class ParquetFixture(BankTables):
         self.defects = defects
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.define(name, lambda: self.spark.read.schema(_INPUT[name]).parquet(path))
 
     def customer_count(self) -> Column:
         return self.raw("customer").agg(F.count("*")).scalar()
 
     # ------------------------------------------------------------------ CRM export
     def staging(self) -> DataFrame:
+        return self.define("staging", self._staging)
+
+    def _staging(self) -> DataFrame:
         people = self.raw("customer").selectExpr("c_custkey as k", "c_nationkey as nk", "c_mktsegment as seg").selectExpr(
             "k", "nk", "seg",
             f"{_pick(['Alice', 'Bruno', 'Chloe', 'David', 'Emma'], 'k % 5')} as fn",
@@ -98,6 +123,9 @@ class ParquetFixture(BankTables):
 
     # ------------------------------------------------------------------ accounts
     def accounts(self) -> DataFrame:
+        return self.define("accounts", self._accounts)
+
+    def _accounts(self) -> DataFrame:
         holder = "if(k % 701 = 700, k - 1, k)"
         return (
             self.raw("customer")
@@ -119,7 +147,7 @@ class ParquetFixture(BankTables):
         """Balances are the full-history movements, off by one cent on some accounts."""
         from bankpulse.operators.activity import movements
 
-        seeded = ParquetFixture(self.spark, self.folder, defects=True)
+        seeded = open_fixture(self.spark, self.folder, defects=True)
         flows = (
             movements(seeded.transactions())
             .groupBy("account_id")
@@ -156,6 +184,9 @@ class ParquetFixture(BankTables):
         )
 
     def _operations(self, until: datetime | None) -> DataFrame:
+        return self.define(("operations", until), lambda: self._all_operations(until))
+
+    def _all_operations(self, until: datetime | None) -> DataFrame:
         parts = [self._account_events(), self._order_events(until), self._card_events(until)]
         log = parts[0].unionByName(parts[1]).unionByName(parts[2])
         alive = f"created_at >= {_OPENED} and (k % 19 <> 0 or created_at <= {_CLOSED})"

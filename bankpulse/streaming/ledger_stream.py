@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from bankpulse.operators.ledger import REPLAY_SCHEMA, replay_in_order, replay_input, replay_output
+from bankpulse.operators.ledger import REPLAY_SCHEMA, AccountReplay, replay_input, replay_output
 from bankpulse.operators.ordering import working_folder
 
 
@@ -20,11 +20,10 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     The rows held at once are one account's share of a micro-batch, which the source's
     trigger options bound.
     """
-    rows = pd.concat(list(batches), ignore_index=True)
-    start = state.get[0] if state.exists else 0
-    result, balance = replay_in_order(rows, start)
-    state.update((balance,))
-    yield result
+    rows = pd.concat(list(batches), ignore_index=True).sort_values(["created_at", "operation_id"], kind="stable")
+    replay = AccountReplay(key[0], state.get[0] if state.exists else 0)
+    yield replay.apply(rows, [replay.balance] * len(rows))
+    state.update((replay.balance,))
 
 
 def replay_stream(attempts: DataFrame) -> DataFrame:

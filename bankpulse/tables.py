@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections.abc import Callable, Hashable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,13 @@ class BankTables(ABC):
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
+        self._definitions: dict[Hashable, DataFrame] = {}
+
+    def define(self, key: Hashable, build: Callable[[], DataFrame]) -> DataFrame:
+        """Build a DataFrame definition once; like a view, it holds a plan and no data."""
+        if key not in self._definitions:
+            self._definitions[key] = build()
+        return self._definitions[key]
 
     @abstractmethod
     def staging(self) -> DataFrame: ...
@@ -42,12 +51,22 @@ class BankTables(ABC):
     def customers(self) -> DataFrame:
         from bankpulse.operators.cleaning import customers_clean
 
-        return customers_clean(self.staging())
+        return self.define("customers", lambda: customers_clean(self.staging()))
 
     def categories(self) -> DataFrame:
         return self.spark.createDataFrame(CATEGORIES, schemas.CATEGORIES)
 
 
+def defined_once(job):
+    """For jobs of (tables, params) that many others build on."""
+
+    @wraps(job)
+    def definition(tables: BankTables, params) -> DataFrame:
+        return tables.define((job.__name__, params), lambda: job(tables, params))
+
+    return definition
+
+
 class FrameTables(BankTables):
     """Bank tables given as ready DataFrames (tests, notebooks, other catalogs)."""
 
