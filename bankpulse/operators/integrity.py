@@ -82,33 +82,27 @@ def _check_operations(tables: BankTables, *keys: str) -> DataFrame:
     return _rows(_operations_with_lifetimes(tables), wanted)
 
 
-def _check_txn_vs_operation(tables: BankTables) -> DataFrame:
-    """Both sides are counted per compared values first: the join then sees at most one
-    row per id and value set, however often an id is repeated."""
-    left = (
-        tables.transactions().groupBy("operation_id", "txn_type", "amount").agg(F.count("*").alias("txns"))
-    )
-    right = (
+def _on_pairs() -> dict[str, Column]:
+    matched = F.col("txns").isNotNull()
+    differs = ~succeeded() | (F.col("event_type") != F.col("txn_type")) | (F.col("amount_requested") != F.col("amount"))
+    return {
+        "chk_txn_vs_operation": F.sum(F.when(matched & differs, F.col("txns") * F.col("ops"))),
+        "chk_op_without_txn": F.sum(F.when(~matched & succeeded() & moves_money(), F.col("ops"))),
+    }
+
+
+def _check_pairs(tables: BankTables, *keys: str) -> DataFrame:
+    """Operations next to their transactions. Both sides are counted per compared values
+    first: the join sees at most one row per id and value set, however often an id is
+    repeated, and runs on the partitioning of the counts."""
+    operations = (
         tables.operation_log()
         .groupBy("operation_id", "status", "event_type", "amount_requested")
         .agg(F.count("*").alias("ops"))
     )
-    differs = (
-        (F.col("status") != "SUCCESS")
-        | (F.col("event_type") != F.col("txn_type"))
-        | (F.col("amount_requested") != F.col("amount"))
-    )
-    pairs = left.join(right, "operation_id").where(differs)
-    return _rows(pairs, {"chk_txn_vs_operation": F.sum(F.col("txns") * F.col("ops"))})
-
-
-def _check_op_without_txn(tables: BankTables) -> DataFrame:
-    monetary = (
-        tables.operation_log().where(succeeded() & moves_money())
-        .groupBy("operation_id").agg(F.count("*").alias("ops"))
-    )
-    known = tables.transactions().select("operation_id").distinct()
-    return _rows(monetary.join(known, "operation_id", "left_anti"), {"chk_op_without_txn": F.sum("ops")})
+    transactions = tables.transactions().groupBy("operation_id", "txn_type", "amount").agg(F.count("*").alias("txns"))
+    pairs = operations.join(transactions, "operation_id", "left")
+    return _rows(pairs, {key: value for key, value in _on_pairs().items() if key in keys})
 
 
 def _check_transfer_to_closed(tables: BankTables) -> DataFrame:
@@ -128,11 +122,11 @@ def integrity_check(tables: BankTables, key: str) -> DataFrame:
         return _check_balances(tables, key)
     if key in ("chk_op_before_opening", "chk_success_after_close"):
         return _check_operations(tables, key)
-    return {
-        "chk_txn_vs_operation": _check_txn_vs_operation,
-        "chk_op_without_txn": _check_op_without_txn,
-        "chk_transfer_to_closed": _check_transfer_to_closed,
-    }[key](tables)
+    if key in ("chk_txn_vs_operation", "chk_op_without_txn"):
+        return _check_pairs(tables, key)
+    if key == "chk_transfer_to_closed":
+        return _check_transfer_to_closed(tables)
+    raise KeyError(key)
 
 
 def integrity_checks(tables: BankTables) -> DataFrame:
@@ -141,8 +135,7 @@ def integrity_checks(tables: BankTables) -> DataFrame:
         _check_accounts(tables, "chk_luhn", "chk_card_duplicates"),
         _check_balances(tables, "chk_balance_vs_flows", "chk_negative_balance", "chk_closed_with_balance"),
         _check_operations(tables, "chk_op_before_opening", "chk_success_after_close"),
-        _check_txn_vs_operation(tables),
-        _check_op_without_txn(tables),
+        _check_pairs(tables, "chk_txn_vs_operation", "chk_op_without_txn"),
         _check_transfer_to_closed(tables),
     ]
     status = F.when(F.col("failing_rows") == 0, "OK").otherwise("FAILED")

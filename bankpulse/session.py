@@ -15,6 +15,7 @@ def build_session(app: str = "bankpulse", master: str | None = None, **conf: str
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bankpulse import schemas
@@ -21,7 +21,7 @@ from bankpulse.vocabulary import CATEGORIES
 
 PARAMS = AnalysisParams(datetime(1995, 1, 1), datetime(2000, 12, 31, 23, 59, 59), 90)
 
-_OPENED = "timestamp_ntz'1995-01-01 00:00:00' + make_dt_interval(cast(k * 7 % 2200 as int), 0, 0, k * 7919 % 86400)"
+_OPENED = "timestamp_ntz'1995-01-01 00:00:00' + interval '1' day * cast(k * 7 % 2200 as int) + interval '1' second * cast(k * 7919 % 86400 as int)"
 _CLOSED = f"case when k % 19 = 0 then {_OPENED} + interval '400' day end"
 _INPUT = {
     "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
@@ -36,11 +36,11 @@ _LOG_COLUMNS = [field.split()[0] for field in schemas.OPERATION_LOG.split(", ")]
 
 def _pick(words: list[str], index: str) -> str:
     quoted = ", ".join(f"'{word}'" for word in words)
-    return f"element_at(array({quoted}), cast({index} as int) + 1)"
+    return f"elt(cast({index} as int) + 1, {quoted})"
 
 
 def _after(start: str, seconds: str) -> str:
-    return f"{start} + make_dt_interval(0, 0, 0, ({seconds}) % 86400)"
+    return f"{start} + interval '1' second * cast(({seconds}) % 86400 as int)"
 
 
 def _check_digit(body: str) -> str:
@@ -75,13 +75,17 @@ class ParquetFixture(BankTables):
         super().__init__(spark)
         self.folder = folder
         self.defects = defects
+        self._customers: int | None = None
 
     def raw(self, name: str) -> DataFrame:
         path = f"{self.folder}/{name}.parquet"
         return self.define(name, lambda: self.spark.read.schema(_INPUT[name]).parquet(path))
 
-    def customer_count(self) -> Column:
-        return self.raw("customer").agg(F.count("*")).scalar()
+    def customer_count(self) -> int:
+        """One number, read from the file footers once per session."""
+        if self._customers is None:
+            self._customers = self.raw("customer").count()
+        return self._customers
 
     # ------------------------------------------------------------------ CRM export
     def staging(self) -> DataFrame:
@@ -94,7 +98,7 @@ class ParquetFixture(BankTables):
             f"concat('Nom', {_pick(['martin', 'durand', 'petit'], 'nk % 3')}) as ln",
             f"{_pick(['Paris', 'Lyon', 'Lille', 'Nice', 'Saint-Étienne'], 'nk % 5')} as ct",
             "date_add(date'1935-01-01', cast(k * 37 % 14000 as int)) as bd",
-            "timestamp_ntz'1996-01-01 00:00:00' + make_dt_interval(cast(k % 1800 as int), 0, 0, k * 101 % 86400) as up",
+            "timestamp_ntz'1996-01-01 00:00:00' + interval '1' day * cast(k % 1800 as int) + interval '1' second * cast(k * 101 % 86400 as int) as up",
         ).withColumn("em", F.expr("concat(lower(fn), '.', k, '@example.com')"))
         versions = people.withColumn(
             "version",
@@ -194,7 +198,7 @@ class ParquetFixture(BankTables):
         return log if until is None else log.where(F.col("created_at") <= timestamp(until))
 
     def _account_events(self) -> DataFrame:
-        first_deposit = "opened_at + make_dt_interval(cast(k % 12 as int), 0, 0, 300)"
+        first_deposit = "opened_at + interval '1' day * cast(k % 12 as int) + interval '300' second"
         no_amount = "cast(null as decimal(12,2))"
         return (
             self.raw("customer")
@@ -220,30 +224,25 @@ class ParquetFixture(BankTables):
         orders = self.raw("orders")
         if until is not None:  # an operation happens on its order date or later that day
             orders = orders.where(F.col("o_orderdate") <= timestamp(until))
-        event = _pick(["LOGIN", "BALANCE_INQUIRY", "DEPOSIT", "DEPOSIT", "TRANSFER", "WITHDRAWAL"], "o % 6")
+        event = _pick(["LOGIN", "BALANCE_INQUIRY", "DEPOSIT", "DEPOSIT", "TRANSFER", "WITHDRAWAL"], "kind")
         login_reason = _pick(["INVALID_CARD_NUMBER", "UNKNOWN_CARD", "WRONG_PIN", "ACCOUNT_CLOSED"], "o div 6 % 4")
         transfer_reason = _pick(
             ["INVALID_CARD_NUMBER", "SAME_ACCOUNT", "UNKNOWN_CARD", "ACCOUNT_CLOSED", "INSUFFICIENT_FUNDS"], "o % 5"
         )
         return (
-            orders.selectExpr("o_orderkey as o", "o_custkey as k", "o_totalprice", "o_orderdate", "o_orderstatus")
-            .withColumns({
-                "event_type": F.expr(event),
-                "refused": F.expr("o_orderstatus = 'P' and (o % 6 in (0, 4, 5) or (o % 6 = 2 and o % 5 = 0))"),
-            })
-            .where("not (event_type = 'DEPOSIT' and k % 11 = 0)")
-            .withColumn("failure_reason", F.expr(
-                f"case when not refused then null when event_type = 'LOGIN' then {login_reason}"
-                f" when event_type = 'TRANSFER' then {transfer_reason}"
-                " when event_type = 'WITHDRAWAL' then 'INSUFFICIENT_FUNDS' else 'INVALID_AMOUNT' end"
-            ))
+            orders.selectExpr(
+                "o_orderkey as o", "o_custkey as k", "o_totalprice", "o_orderdate", "cast(o_orderkey % 6 as int) as kind",
+                "o_orderstatus = 'P' and (o_orderkey % 6 in (0, 4, 5) or o_orderkey % 30 = 20) as refused",
+            )
+            .where("not (kind in (2, 3) and k % 11 = 0)")
             .selectExpr(
                 "k", "8 * o + 1 as operation_id",
-                "case when event_type = 'LOGIN' and failure_reason in ('INVALID_CARD_NUMBER', 'UNKNOWN_CARD')"
-                " then null else k + 1 end as account_id",
-                "event_type", "if(refused, 'FAILED', 'SUCCESS') as status", "failure_reason",
-                "if(o % 6 = 3, 'SEPA', 'APP') as channel",
-                "case when o % 6 in (0, 1) then null when failure_reason = 'INVALID_AMOUNT' then cast(0 as decimal(12,2))"
+                "if(refused and kind = 0 and o div 6 % 4 < 2, null, k + 1) as account_id",
+                f"{event} as event_type", "if(refused, 'FAILED', 'SUCCESS') as status",
+                f"case when not refused then null when kind = 0 then {login_reason} when kind = 4 then {transfer_reason}"
+                " when kind = 5 then 'INSUFFICIENT_FUNDS' else 'INVALID_AMOUNT' end as failure_reason",
+                "if(kind = 3, 'SEPA', 'APP') as channel",
+                "case when kind < 2 then null when kind = 2 and refused then cast(0 as decimal(12,2))"
                 " else cast(cast(floor(o_totalprice) as decimal(12,0)) * 0.01 as decimal(12,2)) end as amount_requested",
                 f"{_after('o_orderdate', 'o * 53')} as created_at",
                 "cast(null as string) as merchant_category",
