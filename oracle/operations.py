@@ -35,17 +35,16 @@ SELECT o AS attempt_id, CASE o % 5 WHEN 0 THEN {_typo('card_number')} WHEN 1 THE
                              WHEN 2 THEN left(card_number, 15) ELSE card_number END AS card_input, pin_ok
 FROM (SELECT o_orderkey AS o, {_STRANGER.replace('o AS', 'o_orderkey AS').replace('+ o ', '+ o_orderkey ')} AS body, a.card_number,
              o_orderstatus <> 'P' AS pin_ok
-      FROM orders JOIN accounts_plain a ON a.account_id = o_custkey + 1 WHERE o_orderkey % 6 = 0) AS t""")
+      FROM orders JOIN accounts_plain a ON a.account_id = o_custkey + 1) AS t""")
 relation("transfers", ["accounts"], f"""
 SELECT o AS attempt_id, sender_id, sender_card, sender_balance, amount,
        CASE o % 7 WHEN 0 THEN {_typo('target_card')} WHEN 1 THEN sender_card WHEN 2 THEN body || {luhn_digit('body')}
                   ELSE target_card END AS card_input
 FROM (SELECT o_orderkey AS o, {_STRANGER.replace('+ o ', '+ o_orderkey ')} AS body, s.account_id AS sender_id, s.card_number AS sender_card,
              s.balance AS sender_balance, t.card_number AS target_card,
-             CASE WHEN o_orderkey % 50 = 4 THEN 0 ELSE CAST(CAST(floor(o_totalprice) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) END AS amount
+             CASE WHEN o_orderkey % 25 = 4 THEN 0 ELSE CAST(CAST(floor(o_totalprice) AS DECIMAL(12,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) END AS amount
       FROM orders JOIN accounts s ON s.account_id = o_custkey + 1
-      JOIN accounts t ON t.account_id = (s.account_id + 6) % (SELECT count(*) FROM customer) + 1
-      WHERE o_orderkey % 6 = 4) AS x""")
+      JOIN accounts t ON t.account_id = (s.account_id + 6) % (SELECT count(*) FROM customer) + 1) AS x""")
 relation("holders", ["accounts_plain"], """
 SELECT * FROM accounts_plain QUALIFY row_number() OVER (PARTITION BY card_number ORDER BY account_id) = 1""")
 _OK = f"(length(card_input) = 16 AND {luhn_ok('card_input')})"
