@@ -21,5 +21,5 @@ def complete_years(start: Column, end: Column) -> Column:
 
 
 def complete_days(start: Column, end: Column) -> Column:
-    """Number of full 24-hour days."""
-    return F.timestamp_diff("DAY", start, end)
+    """Number of full 24-hour days between zone-less timestamps."""
+    return F.extract(F.lit("DAY"), end - start)
