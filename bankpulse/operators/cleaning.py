@@ -33,7 +33,9 @@ def parsed_birth_date(raw: str = "birth_date") -> Column:
 
 
 def updated_at(raw: str = "updated_at") -> Column:
-    return F.try_to_timestamp(F.trim(F.col(raw)), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    """Parsed without a time zone: a clock change must not move a CRM timestamp."""
+    value = F.trim(F.col(raw))
+    return F.when(value.rlike(vocab.MOMENT_PATTERN), value.try_cast("timestamp_ntz"))
 
 
 def cleaned_city(raw: str = "city") -> Column:

@@ -14,7 +14,7 @@ from bankpulse.sources.files import read_crm_csv, read_typed_csv
 from bankpulse.sources.layer import LayerTables, write_layer, write_star
 from bankpulse.tables import BankTables, FrameTables
 
-STEPS = ("all", "load", "quality", "powerbi")
+STEPS = ("all", "load", "quality", "star")
 
 
 def file_tables(spark: SparkSession, folder: str) -> BankTables:
@@ -55,6 +55,6 @@ def run(spark: SparkSession, step: str, delivery: str, layer: str, star: str, pa
     tables = LayerTables(spark, layer)
     if step in ("all", "load", "quality"):
         quality_gate(tables)
-    if step in ("all", "powerbi"):
+    if step in ("all", "star"):
         counts |= write_star(Star(tables, params), star)
     return counts

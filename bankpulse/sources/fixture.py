@@ -122,7 +122,7 @@ class ParquetFixture(BankTables):
             " when k % 12 = 0 then upper(ct) when k % 25 = 6 then concat(lower(ct), ' ') else ct end as city",
             f"case when seg in ('BUILDING', 'MACHINERY') then {mobile}"
             f" when seg in ('AUTOMOBILE', 'FURNITURE') then {web} else {partner} end as signup_channel",
-            "date_format(if(older, up - interval '200' day, up), 'yyyy-MM-dd HH:mm:ss') as updated_at",
+            "cast(if(older, up - interval '200' day, up) as string) as updated_at",
         )
 
     # ------------------------------------------------------------------ accounts

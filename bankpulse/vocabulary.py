@@ -40,6 +40,7 @@ SAINT_ETIENNE_ALIASES = ["st-etienne", "st etienne", "saint etienne", "saint-eti
 EMAIL_PATTERN = r"^[a-z0-9._%+-]+@[a-z0-9.-]+\.[a-z]{2,}$"
 ISO_DATE_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 FRENCH_DATE_PATTERN = "^[0-9]{2}/[0-9]{2}/[0-9]{4}$"
+MOMENT_PATTERN = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
 EARLIEST_BIRTH = "1920-01-01"
 ADULT_AGE = 18
 

@@ -69,6 +69,20 @@ def test_latest_version_wins_and_ties_are_stable(spark):
     assert first[1].city == "Lyon" and first == second
 
 
+def test_update_moments_ignore_clock_changes_and_bad_text(spark):
+    from bankpulse.operators.cleaning import clean_updated_at
+
+    moments = ["1996-03-31 02:31:30", " 2025-01-02 08:00:00 ", "2025-02-31 08:00:00", "2025-01-02"]
+    staging = spark.createDataFrame([line(updated_at=text) for text in moments], schemas.STAGING)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+        found = [row.crm_updated_at for row in clean_updated_at(staging).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [str(m) for m in found] == ["1996-03-31 02:31:30", "2025-01-02 08:00:00", "None", "None"]
+
+
 def test_unmapped_channel_is_rejected_not_lost(spark):
     staging = spark.createDataFrame([line(), line(crm_customer_id="2", signup_channel="fax")], schemas.STAGING)
     assert [r.customer_id for r in customers_clean(staging).collect()] == [1]
