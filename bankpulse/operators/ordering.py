@@ -61,6 +61,34 @@ def numbered(frame: DataFrame, *keys: Column, name: str = "rn") -> DataFrame:
     )
 
 
+def running_totals(frame: DataFrame, group: str, order: list[Column], value: str, name: str) -> DataFrame:
+    """Add ``name`` = the sum of ``value`` over the rows of the same ``group`` up to this one, in ``order``.
+
+    ``group`` has no nulls; ``order`` ends in a unique column. A group of any size is cut by
+    one range shuffle over (group, order); rows are summed inside a piece, and each piece gets
+    the sum of the earlier pieces of its group (one row per piece).
+    """
+    position = F.monotonically_increasing_id()
+    placed = written(
+        frame.orderBy(group, *order).withColumn("_position", position).withColumns({
+            "_part": F.shiftright("_position", _LOCAL_INDEX_BITS),
+            "_local": F.col("_position").bitwiseAND(F.lit((1 << _LOCAL_INDEX_BITS) - 1)),
+        }).drop("_position")
+    )
+    before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy("_part", group).agg(F.sum(value).alias("_sum"))
+        .select("_part", group, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
+    )
+    inside = W.partitionBy("_part", group).orderBy("_local").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (
+        placed.withColumn(name, F.sum(value).over(inside))
+        .join(starts, ["_part", group])
+        .withColumn(name, F.col(name) + F.col("_start"))
+        .drop("_part", "_local", "_start")
+    )
+
+
 def ntile(rn: Column, n_rows: Column, groups: int) -> Column:
     """Group number of a row when the first ``n mod groups`` groups get one row more."""
     small = F.floor(n_rows / groups)
