@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import unicodedata
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,14 +26,11 @@ def labelled(code: Column, labels: dict[str, str]) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def ascii_slug(text: pd.Series) -> pd.Series:
-    """Accents stripped, lower case, letters and digits only. Spark has no
-    compatibility decomposition, hence the Arrow batch."""
+def _ascii(text: pd.Series) -> pd.Series:
+    """Spark has no compatibility decomposition, hence the Arrow batch."""
+    return text.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
 
-    def slug(value: str | None) -> str | None:
-        if value is None:
-            return None
-        plain = unicodedata.normalize("NFKD", value).encode("ascii", "ignore").decode()
-        return "".join(filter(str.isalnum, plain.lower()))
 
-    return text.map(slug, na_action="ignore")
+def ascii_slug(text: Column | str) -> Column:
+    """Accents stripped, lower case, letters and digits only."""
+    return F.regexp_replace(F.lower(_ascii(text)), "[^a-z0-9]", "")

@@ -70,24 +70,26 @@ def normalise(staging: DataFrame) -> DataFrame:
 
 
 def validate(normalised: DataFrame) -> DataFrame:
-    """Plausible means parsed, not before 1920, and adult when the line was last updated."""
+    """Plausible means parsed, not before 1920, and adult when the line was last updated; not
+    if that moment cannot be read."""
     birth = F.col("birth_parsed")
     adult = complete_years(birth, F.col("crm_updated_at")) >= vocab.ADULT_AGE
     return normalised.withColumns({
         "email_is_valid": F.col("email_clean").rlike(vocab.EMAIL_PATTERN),
-        "birth_is_plausible": birth.isNotNull() & (birth >= F.lit(vocab.EARLIEST_BIRTH).cast("date")) & adult,
+        "birth_is_plausible": F.coalesce((birth >= F.lit(vocab.EARLIEST_BIRTH).cast("date")) & adult, F.lit(False)),
     })
 
 
 def latest_versions(validated: DataFrame) -> DataFrame:
-    """One row per customer: the most recent, the remaining columns breaking ties.
+    """One row per customer: the most recent, the remaining columns breaking ties. Lines
+    without a readable id belong to no customer.
 
     A grouped maximum combines before the shuffle, so a customer exported millions
     of times costs one row per task, where a window would sort them all in one.
     """
     others = [name for name in validated.columns if name not in ("customer_id", "crm_updated_at")]
     newest = F.max(F.struct("crm_updated_at", *others)).alias("newest")
-    return validated.groupBy("customer_id").agg(newest).select("customer_id", "newest.*")
+    return validated.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(newest).select("customer_id", "newest.*")
 
 
 def _flags() -> Column:
@@ -102,7 +104,11 @@ def _flags() -> Column:
 
 
 def _finished(staging: DataFrame) -> DataFrame:
-    return latest_versions(validate(normalise(staging))).select(
+    return _shaped(latest_versions(validate(normalise(staging))))
+
+
+def _shaped(validated: DataFrame) -> DataFrame:
+    return validated.select(
         "customer_id", "first_name", "last_name",
         F.when(F.col("email_is_valid"), F.col("email_clean")).alias("email"),
         F.when(F.col("birth_is_plausible"), F.col("birth_parsed")).alias("birth_date"),
@@ -120,8 +126,11 @@ def customers_clean(staging: DataFrame) -> DataFrame:
 
 
 def rejected_customers(staging: DataFrame) -> DataFrame:
-    missing = [F.col(name).isNull() for name in _ACCEPTED]
-    return _finished(staging).where(missing[0] | missing[1] | missing[2]).select(*CUSTOMER_COLUMNS)
+    """Every line without a readable id, and the latest line of each customer whose channel or
+    moment cannot be read: with the accepted and the superseded lines, all of the export."""
+    nameless = _shaped(validate(normalise(staging)).where(F.col("customer_id").isNull()))
+    unread = _finished(staging).where(F.col("signup_channel").isNull() | F.col("crm_updated_at").isNull())
+    return nameless.unionByName(unread).select(*CUSTOMER_COLUMNS)
 
 
 # ---------------------------------------------------------------- single rules, line by line

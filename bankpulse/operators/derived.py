@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankpulse.functions.numbers import MONEY, grand_total, money_pct, pct, rounded_ratio
@@ -55,20 +55,33 @@ def _last_elapsed(params: AnalysisParams) -> int:
     return (end.year - start.year) * 12 + end.month - start.month
 
 
+def _listed(month: Column, value: Column, inside: Column) -> Column:
+    """The cells as 'month:value' in month order; a row has one per month of the data at most."""
+    cells = F.sort_array(F.collect_list(F.when(inside, F.struct(month.alias("m"), value.alias("v")))))
+    texts = F.transform(cells, lambda c: F.concat_ws(":", c.m.cast("string"), c.v.cast("string")))
+    return F.nullif(F.array_join(texts, " "), F.lit(""))
+
+
+def matrix_columns(params: AnalysisParams, month: Column, value: Column) -> list[Column]:
+    """One column per month of the period, so no pass is spent on discovering them; cells of
+    other months are listed in ``before_opening`` and ``after_period``."""
+    last = _last_elapsed(params)
+    return [
+        *[F.max(F.when(month == m, value)).alias(f"m{m:02d}") for m in range(last + 1)],
+        _listed(month, value, month < 0).alias("before_opening"),
+        _listed(month, value, month > last).alias("after_period"),
+    ]
+
+
 def retention_matrix(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    """Cohort by month since opening; empty cells stay NULL. The pivot columns come from
-    the period, so no pass is spent on discovering them."""
-    months = list(range(_last_elapsed(params) + 1))
-    cells = business.cohort_cells(tables, params, "cohort_month")
+    """Cohort by month since opening; empty cells stay NULL."""
     rate = pct(F.col("active_accounts"), F.col("cohort_size"))
-    matrix = (
-        cells.select("cohort_month", "months_since_opening", rate.alias("pct"))
-        .groupBy("cohort_month").pivot("months_since_opening", months).agg(F.max("pct"))
+    return (
+        business.cohort_cells(tables, params, "cohort_month")
+        .groupBy(F.date_format("cohort_month", "yyyy-MM").alias("cohort"))
+        .agg(*matrix_columns(params, F.col("months_since_opening"), rate))
+        .orderBy("cohort")
     )
-    return matrix.select(
-        F.date_format("cohort_month", "yyyy-MM").alias("cohort"),
-        *[F.col(str(month)).alias(f"m{month:02d}") for month in months],
-    ).orderBy("cohort")
 
 
 def retention_mean(tables: BankTables, params: AnalysisParams) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from bankpulse.functions.activity import moves_money, succeeded
 from bankpulse.functions.cards import passes_luhn
 from bankpulse.operators.activity import movements
-from bankpulse.operators.joins import spread_join
 from bankpulse.tables import BankTables
 from bankpulse.vocabulary import CHECK_LABELS
 
@@ -64,7 +63,7 @@ def _operations_with_lifetimes(tables: BankTables) -> DataFrame:
     operations = tables.operation_log().where(F.col("account_id").isNotNull())
     lifetimes = tables.accounts().select("account_id", "opened_at", "closed_at")
     rows = operations.select("operation_id", "account_id", "status", "created_at")
-    return spread_join(rows, lifetimes, "account_id", F.col("operation_id"))
+    return rows.join(lifetimes, "account_id")
 
 
 def _check_accounts(tables: BankTables, *keys: str) -> DataFrame:
@@ -110,7 +109,7 @@ def _check_transfer_to_closed(tables: BankTables) -> DataFrame:
         F.col("to_account_id").alias("account_id"), "operation_id", "created_at"
     )
     closed = tables.accounts().where(F.col("closed_at").isNotNull()).select("account_id", "closed_at")
-    joined = spread_join(received, closed, "account_id", F.col("operation_id"))
+    joined = received.join(closed, "account_id")
     return _rows(joined, {"chk_transfer_to_closed": F.count_if(F.col("created_at") > F.col("closed_at"))})
 
 

@@ -3,95 +3,68 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bankpulse.functions.numbers import MONEY, money
 from bankpulse.operators.activity import movements
-from bankpulse.operators.joins import spread_join
-from bankpulse.operators.ordering import numbered, written
+from bankpulse.operators.ordering import numbered, running_totals
 
 REPLAY_SCHEMA = "operation_id bigint, account_id bigint, created_at timestamp_ntz, reason string, balance_cents bigint"
-SLICE_ROWS = 2_000_000
 
 
 def running_balance(transactions: DataFrame) -> DataFrame:
-    """Balance of each account after each of its movements.
+    """Balance of each account after each of its movements, in (created_at, operation_id) order.
 
-    Sums run inside an (account, day); each day then starts from the sum of the days
-    before it. A task never orders more than one account-day of movements, or one row
-    per day of an account.
+    An account of any size is cut by a range shuffle; each piece continues from the sum of the
+    pieces before it.
     """
-    day = F.col("created_at").cast("date")
     legs = movements(transactions).select(
         "account_id", "created_at", "operation_id",
-        (F.col("amount_in") - F.col("amount_out")).cast("decimal(22,2)").alias("delta"), day.alias("day"),
+        (F.col("amount_in") - F.col("amount_out")).cast("decimal(22,2)").alias("delta"),
     )
-    in_day = W.partitionBy("account_id", "day").orderBy("created_at", "operation_id")
-    earlier_days = W.partitionBy("account_id").orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        legs.groupBy("account_id", "day")
-        .agg(F.sum("delta").alias("moved"))
-        .select("account_id", "day", F.coalesce(F.sum("moved").over(earlier_days), F.lit(0)).alias("start"))
-    )
-    within = F.sum("delta").over(in_day.rowsBetween(W.unboundedPreceding, W.currentRow))
-    return (
-        legs.withColumn("within", within)
-        .join(starts, ["account_id", "day"])
-        .select(
-            "account_id", "operation_id", "created_at",
-            F.col("delta").cast(MONEY).alias("delta"),
-            (F.col("start") + F.col("within")).cast(MONEY).alias("balance_after"),
-        )
+    order = [F.col("created_at"), F.col("operation_id"), F.col("delta")]
+    return running_totals(legs, "account_id", order, "delta", "balance_after").select(
+        "account_id", "operation_id", "created_at",
+        F.col("delta").cast(MONEY).alias("delta"), F.col("balance_after").cast(MONEY).alias("balance_after"),
     )
 
 
-def decide(balance: int, deposit: bool, amount: int) -> tuple[str, int]:
+def decide(balance: int, credit: bool, amount: int) -> tuple[str, int]:
     """Failure reason ('' when accepted) and the balance afterwards, in cents."""
     if amount <= 0:
         return "INVALID_AMOUNT", balance
-    if deposit:
+    if credit:
         return "", balance + amount
     if amount > balance:
         return "INSUFFICIENT_FUNDS", balance
     return "", balance - amount
 
 
-class AccountReplay:
-    """Applies attempts one by one; ``start`` is used whenever the account changes."""
-
-    def __init__(self, account: int | None = None, balance: int = 0) -> None:
-        self.account, self.balance = account, balance
-
-    def apply(self, rows: pd.DataFrame, starts: list[int]) -> pd.DataFrame:
-        """``rows`` in (account, created_at, operation_id) order."""
+def replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A partition holds whole accounts in order; the balance is carried from batch to batch,
+    and an account begins with its ``start_cents``."""
+    account, balance = None, 0
+    for rows in batches:
         reasons, balances = [], []
-        columns = (rows[name].tolist() for name in ("account_id", "is_deposit", "amount_cents"))
-        for account, deposit, amount, start in zip(*columns, starts):
-            if account != self.account:
-                self.account, self.balance = account, start
-            reason, self.balance = decide(self.balance, deposit, amount)
+        columns = (rows[name].tolist() for name in ("account_id", "is_credit", "amount_cents", "start_cents"))
+        for holder, credit, amount, start in zip(*columns):
+            if holder != account:
+                account, balance = holder, start
+            reason, balance = decide(balance, credit, amount)
             reasons.append(reason)
-            balances.append(self.balance)
-        return rows[["operation_id", "account_id", "created_at"]].assign(reason=reasons, balance_cents=balances)
-
-
-def _replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A partition holds whole accounts in order; the balance is carried from batch to batch."""
-    replay = AccountReplay()
-    for rows in batches:
-        yield replay.apply(rows, rows["start_cents"].tolist())
+            balances.append(balance)
+        yield rows[["operation_id", "account_id", "created_at"]].assign(reason=reasons, balance_cents=balances)
 
 
 def replay_input(attempts: DataFrame) -> DataFrame:
+    """Attempts as credits and debits; a received transfer was decided by its sender."""
     return attempts.select(
         "operation_id", "account_id", "created_at",
-        (F.col("event_type") == "DEPOSIT").alias("is_deposit"),
-        (F.col("amount") * 100).cast("bigint").alias("amount_cents"),
+        F.col("event_type").isin("DEPOSIT", "TRANSFER_IN").alias("is_credit"),
+        F.coalesce((F.col("amount") * 100).cast("bigint"), F.lit(0)).alias("amount_cents"),
     )
 
 
@@ -104,52 +77,21 @@ def replay_output(replayed: DataFrame) -> DataFrame:
     )
 
 
-def _replay_slice(rows: DataFrame, starts: DataFrame | None) -> DataFrame:
-    if starts is None:
-        begun = rows.withColumn("start_cents", F.lit(0).cast("bigint"))
-    else:
-        begun = rows.join(starts, "account_id", "left").fillna(0, subset=["start_cents"])
-    in_order = begun.repartition("account_id").sortWithinPartitions("account_id", "created_at", "operation_id")
-    return in_order.mapInPandas(_replay_partition, REPLAY_SCHEMA)
+def replayed(rows: DataFrame) -> DataFrame:
+    """Decisions on rows shaped like ``replay_input`` plus ``start_cents``."""
+    in_order = rows.repartition("account_id").sortWithinPartitions("account_id", "created_at", "operation_id")
+    return in_order.mapInPandas(replay_partition, REPLAY_SCHEMA)
 
 
-def ledger_replay(attempts: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Accept or reject deposits and debits one after the other, per account from zero.
+def ledger_replay(attempts: DataFrame) -> DataFrame:
+    """Accept or reject credits and debits one after the other, per account from zero.
 
     Whether a debit passes depends on everything accepted before it, so an account is
-    inherently sequential. Accounts run in parallel, streamed through tasks batch by
-    batch; an account with more than ``slice_rows`` attempts is cut into consecutive
-    slices that run in successive rounds, each starting from the balances the round
-    before wrote. No task ever sorts more than ``slice_rows`` attempts of an account.
+    inherently sequential. Accounts run in parallel; the rows of a task are sorted outside
+    memory where needed and streamed through it batch by batch, so an account of any size
+    takes time, not memory. A missing amount is invalid.
     """
-    rows = replay_input(attempts)
-    busiest = rows.groupBy("account_id").count().agg(F.max("count")).first()[0] or 0
-    if busiest <= slice_rows:
-        return replay_output(_replay_slice(rows, None))
-
-    placed = numbered(rows, F.col("account_id"), F.col("created_at"), F.col("operation_id"))
-    long_accounts = (  # at most n_rows / slice_rows of them
-        placed.groupBy("account_id")
-        .agg(F.min("rn").alias("first_rn"), F.count("*").alias("size"))
-        .where(F.col("size") > slice_rows)
-        .drop("size")
-    )
-    cut = F.floor((F.col("rn") - F.coalesce("first_rn", F.col("rn"))) / slice_rows).cast("int")
-    sliced = written(
-        spread_join(placed, long_accounts, "account_id", F.col("operation_id"), how="left")
-        .withColumn("slice", cut)
-        .drop("rn", "n_rows", "first_rn")
-    )
-    rounds = -(-busiest // slice_rows)
-    done: list[DataFrame] = []
-    starts = None
-    for index in range(rounds):
-        done.append(written(_replay_slice(sliced.where(F.col("slice") == index).drop("slice"), starts)))
-        starts = (
-            done[-1].groupBy("account_id")
-            .agg(F.max_by("balance_cents", F.struct("created_at", "operation_id")).alias("start_cents"))
-        )
-    return replay_output(reduce(DataFrame.unionByName, done))
+    return replay_output(replayed(replay_input(attempts).withColumn("start_cents", F.lit(0).cast("bigint"))))
 
 
 def apply_balances(balances: DataFrame, legs: DataFrame) -> DataFrame:
@@ -196,11 +138,16 @@ def _titled(name: str):
     return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), "")
 
 
+def renumber_operations(operations: DataFrame) -> DataFrame:
+    """The whole operation log with dense ids by (created_at, operation_id)."""
+    order = [F.col("created_at"), F.col("operation_id")]
+    return numbered(operations, *order, name="new_operation_id").drop("n_rows")
+
+
 def renumber_chronologically(operations: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Transactions with dense ids in operation order, operations numbered by
-    (created_at, operation_id) over the whole log."""
-    renumbered = numbered(
-        operations.select("operation_id", "created_at"), F.col("created_at"), F.col("operation_id"), name="new_operation_id"
-    ).drop("n_rows", "created_at")
-    linked = transactions.select("operation_id", "txn_type", "amount").join(renumbered, "operation_id")
-    return numbered(linked, F.col("new_operation_id"), name="new_transaction_id").drop("n_rows")
+    """Transactions with dense ids in the order of their renumbered operations; a transaction
+    without an operation comes last and keeps no operation number."""
+    renumbered = renumber_operations(operations).select("operation_id", "new_operation_id")
+    linked = transactions.select("transaction_id", "operation_id", "txn_type", "amount").join(renumbered, "operation_id", "left")
+    order = [F.col("new_operation_id").asc_nulls_last(), F.col("operation_id"), F.col("transaction_id")]
+    return numbered(linked, *order, name="new_transaction_id").drop("n_rows", "transaction_id")

@@ -6,6 +6,7 @@ grouping and an optional channel filter. Measures on the same table share one pa
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
@@ -14,11 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from bankpulse import schemas
 from bankpulse.functions.numbers import MONEY, cents, money_mean, rounded_ratio
+from bankpulse.operators.derived import matrix_columns
 from bankpulse.operators.star import Star
 from bankpulse.vocabulary import NOT_SEGMENTED
 
 CHANNEL, MONTH, SEGMENT = "Code canal", "Mois", "Segment RFM"
+CHANNEL_LABEL, MONTH_LABEL = ["Canal", "Ordre canal"], ["Libellé mois", "Ordre mois"]
 BALANCE = "Solde fin de période"
 
 
@@ -27,6 +31,7 @@ class Measure:
     table: str
     value: Callable[[], Column]
     share: bool = False  # divide by the total over segments, leaving out unsegmented accounts
+    row: Callable[[], Column] | None = None  # of a share: what a row adds to the total
 
 
 def divide(num: Column, den: Column) -> Column:
@@ -98,8 +103,8 @@ MEASURES: dict[str, Measure] = {
     "depenses_carte": Measure("card_spend", lambda: F.sum("Montant").cast(MONEY)),
     "paiements_carte": Measure("card_spend", lambda: F.sum("Paiements")),
     "panier_moyen": Measure("card_spend", lambda: money_mean(F.sum("Montant"), F.sum("Paiements"))),
-    "part_des_comptes_segmentes": Measure("segmented", lambda: F.count("*"), share=True),
-    "part_des_encours_segmentes": Measure("segmented", lambda: cents(F.sum(BALANCE)), share=True),
+    "part_des_comptes_segmentes": Measure("segmented", lambda: F.count("*"), True, lambda: F.lit(1)),
+    "part_des_encours_segmentes": Measure("segmented", lambda: cents(F.sum(BALANCE)), True, lambda: cents(F.col(BALANCE))),
     # activation and retention
     "taux_activation_7_jours": Measure("accounts", lambda: divide(
         F.count_if(_eligible() & (F.col("Alimenté sous 7 jours") == 1)), F.count_if(_eligible()))),
@@ -145,44 +150,84 @@ DEFAULT_GROUPING: dict[str, list[str]] = {
 }
 
 
-def _source(star: Star, table: str, needs_channel: bool) -> DataFrame:
-    if table == "accounts":
-        return star.accounts
-    if table == "segmented":
-        return star.dim_compte
-    if table == "openings":  # accounts on the calendar by opening month
-        return star.accounts.withColumnRenamed("Mois ouverture", MONTH)
-    if table in ("activity", "last_activity"):
-        activity = star.fait_activite_mensuelle
-        if table == "last_activity":
-            last = star.dim_mois.agg(F.max(MONTH)).scalar()
-            activity = activity.where(F.col(MONTH) == last)
-        if needs_channel:  # the channel of a month row is the one of its account
-            activity = activity.join(star.accounts.select("Id compte", CHANNEL), "Id compte")
-        return activity
+def _base(star: Star, table: str) -> DataFrame:
     return {
+        "accounts": lambda: star.accounts,
+        "segmented": lambda: star.dim_compte,
+        # accounts on the calendar by opening month
+        "openings": lambda: star.accounts.withColumnRenamed("Mois ouverture", MONTH),
+        "activity": lambda: star.fait_activite_mensuelle,
+        "last_activity": lambda: star.fait_activite_mensuelle,
         "card_spend": lambda: star.fait_depenses_carte,
         "operations": lambda: star.fait_operations,
         "retention": lambda: star.fait_retention_cohortes,
     }[table]()
 
 
+def _columns(ddl: str) -> list[str]:
+    return re.findall("`([^`]+)`", ddl)
+
+
+ACCOUNT, CALENDAR, CHANNELS = (_columns(ddl) for ddl in (schemas.DIM_ACCOUNT, schemas.DIM_MONTH, schemas.DIM_CHANNEL))
+
+
+def _source(star: Star, table: str, needed: list[str]) -> DataFrame:
+    """The rows of a table with the attributes that the grouping or a filter needs, reached
+    along the relationships: month rows to their account, everything to calendar and channel."""
+    if table == "accounts" and {SEGMENT, "Ordre segment"} & set(needed):
+        table = "segmented"
+    rows = _base(star, table)
+
+    def missing(attributes: list[str]) -> list[str]:
+        return [name for name in needed if name in attributes and name not in rows.columns]
+
+    if missing(CHANNELS) and CHANNEL not in rows.columns:
+        needed = [*needed, CHANNEL]
+    if wanted := missing(ACCOUNT):
+        if "Id compte" not in rows.columns:
+            raise ValueError(f"{table} has no relationship to accounts: {wanted}")
+        accounts = star.dim_compte if {SEGMENT, "Ordre segment"} & set(wanted) else star.accounts
+        rows = rows.join(accounts.select("Id compte", *wanted), "Id compte")
+    if wanted := missing(CALENDAR):
+        if MONTH not in rows.columns:
+            raise ValueError(f"{table} has no relationship to the calendar: {wanted}")
+        rows = rows.join(F.broadcast(star.dim_mois.select(MONTH, *wanted)), MONTH)  # one row per month
+    if wanted := missing(CHANNELS):
+        rows = rows.join(F.broadcast(star.dim_canal.select(CHANNEL, *wanted)), CHANNEL, "left")  # one row per channel
+    return rows
+
+
+def _last_month(rows: DataFrame, names: list[str], by: list[str]) -> DataFrame:
+    """Measures in the last month of the context: counted per month first, then the greatest
+    month of the calendar attributes in the grouping stays. One pass over the rows."""
+    monthly = rows.groupBy(*dict.fromkeys([*by, MONTH])).agg(*[MEASURES[name].value().alias(name) for name in names])
+    context = W.partitionBy(*[name for name in by if name in CALENDAR])
+    last = monthly.withColumn("_last", F.max(MONTH).over(context)).where(F.col(MONTH) == F.col("_last"))
+    return last.select(*by, *names)
+
+
 def _evaluated(star: Star, table: str, names: list[str], by: list[str], channel: str | None) -> DataFrame:
-    rows = _source(star, table, needs_channel=CHANNEL in by or channel is not None)
+    rows = _source(star, table, by if channel is None else [*by, CHANNEL])
     if channel is not None:
         rows = rows.where(F.col(CHANNEL) == channel)
-    result = rows.groupBy(*by).agg(*[MEASURES[name].value().alias(name) for name in names])
+    if table == "last_activity":
+        return _last_month(rows, names, by)
     shares = [name for name in names if MEASURES[name].share]
+    values = [MEASURES[name].value().alias(name) for name in names]
     if not shares:
-        return result
-    if SEGMENT not in by:  # without a segment in context, everything segmented is the whole
-        raise ValueError("segment shares need the segment in the grouping")
-    unsegmented = F.col(SEGMENT) == NOT_SEGMENTED
-    whole = W.partitionBy(*[name for name in by if name not in (SEGMENT, "Ordre segment")])
+        return rows.groupBy(*by).agg(*values)
+    segmented = F.col(SEGMENT) != NOT_SEGMENTED
+    if SEGMENT not in by:  # without a segment in context: all accounts over the segmented ones
+        whole = {name: F.sum(F.when(segmented, MEASURES[name].row())) for name in shares}
+        return rows.groupBy(*by).agg(*values, *[w.alias(f"_{name}") for name, w in whole.items()]).select(
+            *by, *[divide(F.col(name), F.col(f"_{name}")).alias(name) if name in shares else name for name in names]
+        )
+    result = rows.groupBy(*by).agg(*values)
+    context = W.partitionBy(*[name for name in by if name not in (SEGMENT, "Ordre segment")])
 
     def share(name: str) -> Column:
-        total = F.sum(F.when(~unsegmented, F.col(name))).over(whole)
-        return F.when(~unsegmented, divide(F.col(name), total))
+        total = F.sum(F.when(segmented, F.col(name))).over(context)
+        return F.when(segmented, divide(F.col(name), total))
 
     return result.withColumns({name: share(name) for name in shares})
 
@@ -212,22 +257,22 @@ STATUS_ORDER, SEGMENT_ORDER = ["Statut", "Ordre statut"], [SEGMENT, "Ordre segme
 TILES: dict[str, tuple[list[str], list[str], list[str]]] = {
     "tile_overview_cards": (
         ["comptes", "taux_de_comptes_actifs", "comptes_actifs_dernier_mois", "comptes_jamais_alimentes", "encours"], [], []),
-    "tile_active_rate_by_channel": (["taux_de_comptes_actifs"], [CHANNEL], ["-taux_de_comptes_actifs"]),
+    "tile_active_rate_by_channel": (["taux_de_comptes_actifs"], CHANNEL_LABEL, ["-taux_de_comptes_actifs"]),
     "tile_accounts_by_status": (["comptes"], STATUS_ORDER, ["Ordre statut"]),
-    "tile_new_accounts_by_month": (["nouveaux_comptes"], [MONTH], [MONTH]),
-    "tile_active_by_month": (["comptes_actifs_du_mois"], [MONTH], [MONTH]),
+    "tile_new_accounts_by_month": (["nouveaux_comptes"], MONTH_LABEL, ["Ordre mois"]),
+    "tile_active_by_month": (["comptes_actifs_du_mois"], MONTH_LABEL, ["Ordre mois"]),
     "tile_acquisition_cards": (
         ["taux_activation_7_jours", "taux_jamais_alimentes", "delai_moyen_premier_depot_jours", "retention_a_6_mois"], [], []),
     "tile_activation_by_channel": (
-        ["taux_activation_7_jours", "taux_jamais_alimentes"], [CHANNEL], ["-taux_activation_7_jours"]),
+        ["taux_activation_7_jours", "taux_jamais_alimentes"], CHANNEL_LABEL, ["-taux_activation_7_jours"]),
     "tile_channel_table": (
         ["comptes", "taux_activation_7_jours", "delai_moyen_premier_depot_jours", "taux_jamais_alimentes",
-         "taux_de_comptes_actifs"], [CHANNEL], [CHANNEL]),
+         "taux_de_comptes_actifs"], CHANNEL_LABEL, ["Ordre canal"]),
     "tile_quality_cards": (
         ["taux_de_refus_carte", "montant_des_paiements_refuses", "taux_d_echec_connexion", "interception_luhn"], [], []),
     "tile_failure_causes": (["echecs"], ["Type et motif"], ["-echecs"]),
-    "tile_declines_by_month": (["paiements_carte_refuses"], [MONTH], [MONTH]),
-    "tile_decline_rate_by_month": (["taux_de_refus_carte"], [MONTH], [MONTH]),
+    "tile_declines_by_month": (["paiements_carte_refuses"], MONTH_LABEL, ["Ordre mois"]),
+    "tile_decline_rate_by_month": (["taux_de_refus_carte"], MONTH_LABEL, ["Ordre mois"]),
     "tile_value_cards": (["encours", "encours_comptes_dormants", "depenses_carte", "panier_moyen"], [], []),
     "tile_spend_by_category": (["depenses_carte"], ["Catégorie"], ["-depenses_carte"]),
     "tile_segment_shares": (
@@ -248,8 +293,6 @@ def tile(star: Star, name: str, channel: str | None = None) -> DataFrame:
 
 def retention_matrix_tile(star: Star, channel: str | None = None) -> DataFrame:
     """Retention rate by cohort and month since opening, as a matrix."""
-    start, end = star.params.period_start, star.params.period_end
-    months = list(range((end.year - start.year) * 12 + end.month - start.month + 1))
     cells = measures(star, ["taux_de_retention"], ["Cohorte", "Mois depuis ouverture"], channel)
-    matrix = cells.groupBy("Cohorte").pivot("Mois depuis ouverture", months).agg(F.max("taux_de_retention"))
-    return matrix.select("Cohorte", *[F.col(str(m)).alias(f"m{m:02d}") for m in months]).orderBy("Cohorte")
+    columns = matrix_columns(star.params, F.col("Mois depuis ouverture"), F.col("taux_de_retention"))
+    return cells.groupBy("Cohorte").agg(*columns).orderBy("Cohorte")

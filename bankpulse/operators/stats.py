@@ -4,27 +4,38 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from bankpulse.functions.numbers import grand_total
 from bankpulse.operators.business import activation_detail
 from bankpulse.params import AnalysisParams
 from bankpulse.tables import BankTables
 
+TAIL_DEPTH = 80
 
-@F.pandas_udf(T.DoubleType())
-def _upper_tail(chi2: pd.Series, dof: pd.Series) -> pd.Series:
-    """P(X >= chi2) for 1 or 2 degrees of freedom; applied to the one-row result."""
-    tails = {
-        0: lambda x: 1.0,
-        1: lambda x: math.erfc(math.sqrt(x / 2)),
-        2: lambda x: math.exp(-x / 2),
-    }
-    return pd.Series([tails[int(d)](x) for x, d in zip(chi2, dof)])
+
+def upper_tail(chi2: Column, dof: Column) -> Column:
+    """P(X >= chi2) for up to 2 degrees of freedom, all that a table of three channels and two
+    outcomes can have; NULL beyond.
+
+    Two degrees have a closed form. One needs erfc: the power series of erf near zero, else the
+    continued fraction of erfc, both to a fixed depth.
+    """
+    x = F.sqrt(chi2 / 2)
+
+    def next_term(done: Column, k: Column) -> Column:
+        term = done.term * 2 * x * x / (2 * k + 1)
+        return F.struct(term.alias("term"), (done.total + term).alias("total"))
+
+    depth = F.sequence(F.lit(1), F.lit(TAIL_DEPTH))
+    series = F.aggregate(depth, F.struct(x.alias("term"), x.alias("total")), next_term, lambda done: done.total)
+    fraction = F.aggregate(F.reverse(depth), x, lambda inner, k: x + k / 2 / inner)
+    near = 1 - 2 / math.sqrt(math.pi) * F.exp(-chi2 / 2) * series
+    far = F.exp(-chi2 / 2) / (F.lit(math.sqrt(math.pi)) * fraction)
+    one = F.when(x < 2, near).otherwise(far)
+    return F.when(dof == 0, 1.0).when(dof == 1, one).when(dof == 2, F.exp(-chi2 / 2))
 
 
 def independence_test(detail: DataFrame) -> DataFrame:
@@ -69,7 +80,7 @@ def independence_test(detail: DataFrame) -> DataFrame:
 
     return totals.select(
         "n", six(F.col("chi2")).alias("chi2"), "dof",
-        six(_upper_tail("chi2", "dof")).alias("p_value"), six(strength).alias("cramers_v"),
+        six(upper_tail(F.col("chi2"), F.col("dof"))).alias("p_value"), six(strength).alias("cramers_v"),
     )
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankpulse import schemas
 from bankpulse.functions.text import ascii_slug
@@ -32,9 +34,36 @@ def _scratch(tables: ParquetFixture) -> str:
     return f"{working_folder(tables.spark)}/files-{uuid.uuid4().hex}"
 
 
-def _counts(tables: ParquetFixture, counts: dict[str, int]) -> DataFrame:
-    """Rows written per table, as the writers reported them."""
-    return tables.spark.createDataFrame(sorted(counts.items()), "table_name string, rows_written bigint")
+def _read_back(name: str, frame: DataFrame) -> DataFrame:
+    """What a written table holds when it is read again: rows, filled cells, sum of its numbers."""
+    numbers = [f.name for f in frame.schema if isinstance(f.dataType, T.NumericType)]
+    nothing = F.lit(0).cast("decimal(38,2)")
+    total = reduce(Column.__add__, [F.coalesce(F.col(f"`{c}`").cast("decimal(30,2)"), nothing) for c in numbers], nothing)
+    filled = reduce(Column.__add__, [F.when(F.col(f"`{c}`").isNotNull(), 1).otherwise(0) for c in frame.columns])
+    return frame.agg(
+        F.lit(name).alias("table_name"), F.count("*").alias("rows_read"), F.sum(filled).cast("bigint").alias("filled_cells"),
+        F.sum(total).cast("decimal(38,2)").alias("numbers"),
+    )
+
+
+def _all_read_back(frames: dict[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_read_back(name, frame) for name, frame in frames.items()])
+
+
+def _load_operational(t: ParquetFixture) -> DataFrame:
+    folder = _scratch(t)
+    layer.write_layer(t, folder)
+    back = layer.LayerTables(t.spark, folder)
+    return _all_read_back({
+        "stg_customers_raw": back.staging(), "customers": back.customers(), "accounts": back.accounts(),
+        "operation_log": back.operation_log(), "transactions": back.transactions(),
+    })
+
+
+def _sink_star_schema(t: ParquetFixture) -> DataFrame:
+    folder = _scratch(t)
+    layer.write_star(Star(t, PARAMS), folder)
+    return _all_read_back({name: layer.read_star(t.spark, folder, name) for name in schemas.STAR})
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -71,10 +100,13 @@ def _sink_action_list(t: ParquetFixture) -> DataFrame:
     segments = rfm.rfm_segments(t, PARAMS).select(
         "account_id", "segment", "R", "F", "M", "recency_days", "frequency_180d", "card_spend_180d", "balance_at_period_end"
     )
-    return _counts(t, dict([
-        layer.write_csv(dormancy_watchlist(t, PARAMS), folder, "liste_prevention_dormance"),
-        layer.write_csv(segments, folder, "segmentation_rfm"),
-    ]))
+    lists = {"liste_prevention_dormance": dormancy_watchlist(t, PARAMS), "segmentation_rfm": segments}
+    for name, frame in lists.items():
+        layer.write_csv(frame, folder, name)
+    return _all_read_back({
+        name: files.read_typed_csv(t.spark, f"{folder}/{name}", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema))
+        for name, frame in lists.items()
+    })
 
 
 def _scan_star_schema(t: ParquetFixture) -> DataFrame:
@@ -87,16 +119,9 @@ SOURCES: dict[str, Job] = {
     "scan_crm_staging": _scan_crm_staging,
     "scan_operational_csv": _scan_operational_csv,
     "scan_parquet_tables": _scan_parquet_tables,
-    "load_operational": lambda t: _counts(t, layer.write_layer(t, _scratch(t))),
-    "ref_categories": lambda t: t.categories().join(
-        t.transactions().groupBy("merchant_category").agg(F.count("*").alias("payments")),
-        F.col("category_code") == F.col("merchant_category"), "left",
-    ).drop("merchant_category"),
-    "analysis_params": lambda t: PARAMS.as_view(t.spark).crossJoin(
-        t.operation_log(until=PARAMS.period_end).agg(F.count("*").alias("operations_as_of"))
-    ),
+    "load_operational": _load_operational,
     "register_views": _register_views,
-    "sink_star_schema": lambda t: _counts(t, layer.write_star(Star(t, PARAMS), _scratch(t))),
+    "sink_star_schema": _sink_star_schema,
     "sink_action_list": _sink_action_list,
     "scan_star_schema": _scan_star_schema,
 }
@@ -115,6 +140,7 @@ CLEANING: dict[str, Job] = {
         "dedup_latest": cleaning.dedup_latest,
         "dq_flags": cleaning.dq_flags,
         "customers_clean": cleaning.customers_clean,
+        "rejected_customers": cleaning.rejected_customers,
     }.items()
 }
 
@@ -132,7 +158,6 @@ CHECKS: dict[str, Job] = {
     "cst_foreign_keys": constraints.foreign_keys,
     "cst_row_checks": constraints.row_checks,
     "cst_txn_direction": constraints.txn_direction,
-    "cst_single_period_row": lambda t: constraints.single_period_row(t, PARAMS),
     "cst_enum_domains": constraints.enum_domains,
 }
 
@@ -147,9 +172,6 @@ ANALYSIS: dict[str, Job] = {
         "account_delays": activity.account_delays,
         "lifecycle_status": activity.lifecycle_status,
         "v_account_activity": activity.v_account_activity,
-        "month_spine": lambda t, p: monthly.month_spine(t, p).join(
-            F.broadcast(monthly.monthly_ops(t, p)), "month_start", "left"
-        ).select("month_start", F.col("new_accounts").isNotNull().alias("has_operations")),
         "monthly_ops": monthly.monthly_ops,
         "monthly_money": monthly.monthly_money,
         "v_monthly_kpis": monthly.v_monthly_kpis,
@@ -177,12 +199,7 @@ ANALYSIS: dict[str, Job] = {
 }
 
 STAR: dict[str, Job] = {
-    **{name: (lambda t, name=name: getattr(Star(t, PARAMS), name)) for name in schemas.STAR},
-    # the channel dimension next to the accounts it labels
-    "dim_canal": lambda t: Star(t, PARAMS).dim_canal.join(
-        F.broadcast(t.customers().groupBy(F.col("signup_channel").alias("Code canal")).agg(F.count("*").alias("Clients"))),
-        "Code canal", "left",
-    ),
+    **{name: (lambda t, name=name: getattr(Star(t, PARAMS), name)) for name in schemas.STAR if name != "dim_canal"},
     **{
         f"m_{name}": (lambda t, name=name: measure(Star(t, PARAMS), name, DEFAULT_GROUPING[name])) for name in MEASURES
     },
@@ -195,6 +212,7 @@ STAR: dict[str, Job] = {
 
 def _apply_balances(t: ParquetFixture) -> DataFrame:
     at_end = activity.account_money(t, PARAMS).select("account_id", F.col("balance_at_period_end").alias("balance"))
+    at_end = t.accounts().select("account_id").join(at_end, "account_id", "left").fillna(0, subset=["balance"])
     later = activity.movements(t.transactions().where(F.col("created_at") > PARAMS.end))
     return ledger.apply_balances(at_end, later)
 
@@ -214,6 +232,7 @@ OPERATIONS: dict[str, Job] = {
     "ledger_replay_stream": lambda t: ledger_replay_stream(t.ledger_attempts(), ["1998-01-01 00:00:00"]),
     "apply_balances": _apply_balances,
     "upsert_customers_by_email": _upsert,
+    "renumber_operations": lambda t: ledger.renumber_operations(t.operation_log()),
     "renumber_chronologically": lambda t: ledger.renumber_chronologically(t.operation_log(), t.transactions()),
     "ascii_slug": lambda t: t.staging().select(
         "crm_customer_id", ascii_slug("first_name").alias("name_slug"), ascii_slug("city").alias("city_slug")

@@ -1,29 +1,36 @@
-"""Reading and writing the delimited files of the pipeline, always with declared schemas."""
+"""Reading and writing the delimited files of the pipeline: columns by header name, declared types."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bankpulse import schemas
 
 MOMENT_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: A quote inside a quoted field is doubled.
+QUOTING = {"quote": '"', "escape": '"'}
+
+
+def _named(spark: SparkSession, path: str, separator: str) -> DataFrame:
+    """All columns as text under the names of the header; a line of another length fails the job."""
+    return (
+        spark.read.options(**QUOTING).option("sep", separator).option("header", True)
+        .option("encoding", "UTF-8").option("mode", "FAILFAST").csv(path)
+    )
 
 
 def read_crm_csv(spark: SparkSession, path: str) -> DataFrame:
     """The CRM export: ';', header, all text. Spark reads an empty field as NULL;
     cleaning tells 'empty' from 'unknown', so empty comes back as ''."""
-    raw = (
-        spark.read.schema(schemas.STAGING)
-        .option("sep", ";").option("header", True).option("encoding", "UTF-8").option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return raw.fillna("")
+    raw = _named(spark, path, ";")
+    return raw.select(schemas.STAGING_COLUMNS).fillna("")
 
 
 def write_crm_csv(staging: DataFrame, path: str) -> None:
     (
-        staging.select(schemas.STAGING_COLUMNS).write
+        staging.select(schemas.STAGING_COLUMNS).write.mode("overwrite").options(**QUOTING)
         .option("sep", ";").option("header", True).option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
@@ -31,16 +38,18 @@ def write_crm_csv(staging: DataFrame, path: str) -> None:
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Comma-separated with a header; empty fields are NULL, a malformed line fails the job."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True).option("mode", "FAILFAST").option("timestampNTZFormat", MOMENT_FORMAT)
-        .csv(path)
-    )
+    """Comma-separated with a header; empty fields are NULL. Columns are found by name, and a
+    field that is not of its declared type fails the job."""
+    declared = T.StructType.fromDDL(schema)
+    raw = _named(spark, path, ",")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in declared])
 
 
 def write_typed_csv(frame: DataFrame, path: str) -> None:
-    frame.write.option("header", True).option("timestampNTZFormat", MOMENT_FORMAT).csv(path)
+    (
+        frame.write.mode("overwrite").options(**QUOTING)
+        .option("header", True).option("timestampNTZFormat", MOMENT_FORMAT).csv(path)
+    )
 
 
 def stamped(staging: DataFrame) -> DataFrame:

@@ -103,7 +103,9 @@ class ParquetFixture(BankTables):
         versions = people.withColumn(
             "version",
             F.explode(F.expr(
-                "filter(array('current', if(k % 25 = 0, 'older', null), if(k % 200 = 1, 'copy', null)), v -> v is not null)"
+                "filter(array('current', if(k % 25 = 0, 'older', null), if(k % 200 = 1, 'copy', null),"
+                " if(k % 90 = 17, 'no id', null), if(k % 130 = 21, 'no channel', null), if(k % 170 = 33, 'no moment', null)),"
+                " v -> v is not null)"
             )),
         ).withColumn("older", F.expr("version = 'older'"))
         mobile = _pick(["mobile", "Mobile", "MOBILE", "app mobile", "mobile_app"], "k % 5")
@@ -111,7 +113,8 @@ class ParquetFixture(BankTables):
         partner = _pick(["partner", "Partner", "PARTENAIRE", "partenaire"], "k % 4")
         alias = _pick(["St-Etienne", "Saint Etienne", "saint-etienne"], "k % 3")
         return versions.selectExpr(
-            "concat(if(k % 50 = 3, ' ', ''), 10001 + k) as crm_customer_id",
+            "case version when 'no id' then concat('C-', k) when 'no channel' then cast(900000000 + k as string)"
+            " when 'no moment' then cast(800000000 + k as string) else concat(if(k % 50 = 3, ' ', ''), 10001 + k) end as crm_customer_id",
             "case when k % 17 = 0 then lower(fn) when k % 20 = 1 then concat(' ', fn, '  ') else fn end as first_name",
             "case when k % 10 = 2 then upper(ln) else ln end as last_name",
             "case when older then replace(em, '@', '.old@') when k % 16 = 4 then upper(em)"
@@ -120,9 +123,9 @@ class ParquetFixture(BankTables):
             " when k % 4 = 1 then date_format(bd, 'dd/MM/yyyy') else date_format(bd, 'yyyy-MM-dd') end as birth_date",
             f"case when older then ct when k % 100 = 11 then '' when nk % 5 = 4 and k % 2 = 0 then {alias}"
             " when k % 12 = 0 then upper(ct) when k % 25 = 6 then concat(lower(ct), ' ') else ct end as city",
-            f"case when seg in ('BUILDING', 'MACHINERY') then {mobile}"
+            f"case when version = 'no channel' then 'fax' when seg in ('BUILDING', 'MACHINERY') then {mobile}"
             f" when seg in ('AUTOMOBILE', 'FURNITURE') then {web} else {partner} end as signup_channel",
-            "cast(if(older, up - interval '200' day, up) as string) as updated_at",
+            "if(version = 'no moment', 'soon', cast(if(older, up - interval '200' day, up) as string)) as updated_at",
         )
 
     # ------------------------------------------------------------------ accounts
@@ -192,9 +195,7 @@ class ParquetFixture(BankTables):
 
     def _all_operations(self, until: datetime | None) -> DataFrame:
         parts = [self._account_events(), self._order_events(until), self._card_events(until)]
-        log = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        alive = f"created_at >= {_OPENED} and (k % 19 <> 0 or created_at <= {_CLOSED})"
-        log = log.where(f"({alive}) or operation_id % 211 = 0")
+        log = _in_lifetime(parts[0].unionByName(parts[1]).unionByName(parts[2]))
         return log if until is None else log.where(F.col("created_at") <= timestamp(until))
 
     def _account_events(self) -> DataFrame:
@@ -224,6 +225,7 @@ class ParquetFixture(BankTables):
         orders = self.raw("orders")
         if until is not None:  # an operation happens on its order date or later that day
             orders = orders.where(F.col("o_orderdate") <= timestamp(until))
+        never_funded = "o_custkey % 11 = 0 and o_orderkey % 6 in (2, 3)"  # what would be a deposit is a login
         event = _pick(["LOGIN", "BALANCE_INQUIRY", "DEPOSIT", "DEPOSIT", "TRANSFER", "WITHDRAWAL"], "kind")
         login_reason = _pick(["INVALID_CARD_NUMBER", "UNKNOWN_CARD", "WRONG_PIN", "ACCOUNT_CLOSED"], "o div 6 % 4")
         transfer_reason = _pick(
@@ -231,10 +233,10 @@ class ParquetFixture(BankTables):
         )
         return (
             orders.selectExpr(
-                "o_orderkey as o", "o_custkey as k", "o_totalprice", "o_orderdate", "cast(o_orderkey % 6 as int) as kind",
-                "o_orderstatus = 'P' and (o_orderkey % 6 in (0, 4, 5) or o_orderkey % 30 = 20) as refused",
+                "o_orderkey as o", "o_custkey as k", "o_totalprice", "o_orderdate",
+                f"cast(if({never_funded}, 0, o_orderkey % 6) as int) as kind",
+                f"o_orderstatus = 'P' and (o_orderkey % 6 in (0, 4, 5) or o_orderkey % 30 = 20) and not ({never_funded}) as refused",
             )
-            .where("not (kind in (2, 3) and k % 11 = 0)")
             .selectExpr(
                 "k", "8 * o + 1 as operation_id",
                 "if(refused and kind = 0 and o div 6 % 4 < 2, null, k + 1) as account_id",
@@ -270,9 +272,10 @@ class ParquetFixture(BankTables):
 
     # ------------------------------------------------------------------ attempts
     def login_attempts(self) -> DataFrame:
-        """Every order as a login: the typed card and whether the PIN was right."""
+        """Every order as a login: the typed card and whether the PIN was right (or not known)."""
         orders = self.raw("orders").selectExpr(
-            "o_orderkey as o", "o_custkey + 1 as account_id", "o_orderstatus <> 'P' as pin_ok"
+            "o_orderkey as o", "o_custkey + 1 as account_id",
+            "if(o_orderkey % 23 = 7, null, o_orderstatus <> 'P') as pin_ok",
         )
         stranger = _card("concat('400000', lpad(900000000 + o, 9, '0'))")
         cards = self.accounts().select("account_id", "card_number")
@@ -284,7 +287,8 @@ class ParquetFixture(BankTables):
         )
 
     def transfer_attempts(self) -> DataFrame:
-        """Every order as a transfer: sender, typed target card and amount."""
+        """Every order as a transfer: sender, typed target card and amount; some senders have no
+        account, some amounts are missing."""
         orders = self.raw("orders").selectExpr(
             "o_orderkey as o", "o_custkey + 1 as account_id",
             "if(o_orderkey % 25 = 4, cast(0 as decimal(12,2)),"
@@ -297,20 +301,49 @@ class ParquetFixture(BankTables):
             orders.join(cards, "account_id")
             .join(targets, "target_id")
             .selectExpr(
-                "o as attempt_id", "account_id as sender_id",
+                "o as attempt_id", "if(o % 37 = 5, -o, account_id) as sender_id",
                 f"case o % 7 when 0 then {_mistyped('target_card')} when 1 then card_number"
                 f" when 2 then {stranger} else target_card end as card_input",
-                "amount",
+                "if(o % 29 = 11, null, amount) as amount",
             )
         )
 
     def ledger_attempts(self) -> DataFrame:
-        """Deposits and debits in log order; the logged outcome is ignored."""
-        return (
+        """Deposits, debits, sent and received transfers. Whether the funds sufficed is decided
+        anew; attempts refused for other reasons never reached the ledger."""
+        judged = F.col("failure_reason").isNull() | F.col("failure_reason").isin("INSUFFICIENT_FUNDS", "INVALID_AMOUNT")
+        asked = (
             self.operation_log()
-            .where(F.col("event_type").isin("DEPOSIT", "WITHDRAWAL", "CARD_PAYMENT") & F.col("account_id").isNotNull())
+            .where(moves_money() & judged & F.col("account_id").isNotNull())
             .select("operation_id", "account_id", "event_type", F.col("amount_requested").alias("amount"), "created_at")
         )
+        received = self.transactions().where("txn_type = 'TRANSFER'").select(
+            "operation_id", F.col("to_account_id").alias("account_id"), F.lit("TRANSFER_IN").alias("event_type"), "amount", "created_at"
+        )
+        return asked.unionByName(received)
+
+
+def _in_lifetime(log: DataFrame) -> DataFrame:
+    """Every event inside its account's lifetime: one before the opening is mirrored to after it,
+    within the period; one after the closing is refused. Events of chosen ids stay as they are:
+    the faults that integrity checks find. Events only move later, so bounds on their day of
+    origin remain valid for the scan."""
+    opened = "(k * 7 % 2200 * 86400 + k * 7919 % 86400)"  # in seconds from the first day, as in _OPENED
+    at = (
+        "(datediff(cast(created_at as date), date'1995-01-01') * 86400L"
+        " + hour(created_at) * 3600 + minute(created_at) * 60 + second(created_at))"
+    )
+    last = (PARAMS.period_end - datetime(1995, 1, 1)).days * 86400 + 86399
+    mirrored = f"{opened} + ({opened} - {at}) % greatest(86400, {last} - {opened})"
+    moved = log.withColumn("at", F.expr(f"if({at} < {opened} and operation_id % 211 <> 0, {mirrored}, {at})"))
+    late = f"k % 19 = 0 and at > {opened} + 400 * 86400 and operation_id % 211 <> 0"
+    return (
+        moved.withColumn("late", F.expr(late))
+        .withColumn("failure_reason", F.expr("if(late and status = 'SUCCESS', 'ACCOUNT_CLOSED', failure_reason)"))
+        .withColumn("status", F.expr("if(late, 'FAILED', status)"))
+        .withColumn("created_at", F.expr("timestamp_ntz'1995-01-01 00:00:00' + interval '1' second * cast(at as int)"))
+        .drop("at", "late")
+    )
 
 
 def _mistyped(card: str) -> str:

@@ -1,63 +1,59 @@
-"""The ledger replay as a stream: one balance of state per account."""
+"""The ledger replay as a stream: the balances after each micro-batch are the state."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from bankpulse.operators.ledger import REPLAY_SCHEMA, AccountReplay, replay_input, replay_output
-from bankpulse.operators.ordering import working_folder
-
-
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Apply an account's attempts of this micro-batch in (created_at, id) order.
-
-    The rows held at once are one account's share of a micro-batch, which the source's
-    trigger options bound.
-    """
-    rows = pd.concat(list(batches), ignore_index=True).sort_values(["created_at", "operation_id"], kind="stable")
-    replay = AccountReplay(key[0], state.get[0] if state.exists else 0)
-    yield replay.apply(rows, [replay.balance] * len(rows))
-    state.update((replay.balance,))
 
+from bankpulse.operators.ledger import REPLAY_SCHEMA, replay_input, replay_output, replayed
+from bankpulse.operators.ordering import working_folder, written
+
+STATE = "account_id bigint, start_cents bigint"
+
+
+def advance(root: str):
+    """Handler of a micro-batch: decide its attempts from the balances before it, write the
+    decisions, then the balances after it. Both go to folders named by the batch, written over
+    if the batch is run again, so a restart neither loses nor repeats anything. Rows are sorted
+    outside memory by Spark and streamed; a micro-batch may be of any size."""
+    def run(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        before = spark.createDataFrame([], STATE) if batch == 0 else spark.read.schema(STATE).parquet(f"{root}/state/{batch - 1}")
+        begun = rows.join(before, "account_id", "left").fillna(0, subset=["start_cents"])
+        path = f"{root}/decided/batch={batch}"
+        replayed(begun).write.mode("overwrite").parquet(path)
+        last = F.max_by("balance_cents", F.struct("created_at", "operation_id")).alias("end_cents")
+        moved = spark.read.schema(REPLAY_SCHEMA).parquet(path).groupBy("account_id").agg(last)
+        after = before.join(moved, "account_id", "full").select(
+            "account_id", F.coalesce("end_cents", "start_cents").alias("start_cents")
+        )
+        after.write.mode("overwrite").parquet(f"{root}/state/{batch}")
 
-def replay_stream(attempts: DataFrame) -> DataFrame:
-    """``attempts`` is a streaming frame shaped like ``replay_input``."""
-    return attempts.groupBy("account_id").applyInPandasWithState(
-        _advance,
-        outputStructType=REPLAY_SCHEMA,
-        stateStructType="cents bigint",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
+    return run
 
 
 def ledger_replay_stream(attempts: DataFrame, cuts: list[str]) -> DataFrame:
     """Feed a batch of attempts through the stream in consecutive arrivals.
 
-    ``cuts`` are the moments between arrivals. Each arrival is appended to the input
-    folder and drained by an ``availableNow`` run that resumes from the checkpoint of
-    the run before, so balances carry over as in continuous operation.
+    ``cuts`` are the moments between arrivals. The attempts are written once; each arrival is
+    appended to the input folder and drained by an ``availableNow`` run that resumes from the
+    checkpoint of the run before, so balances carry over as in continuous operation.
     """
     spark = attempts.sparkSession
     root = f"{working_folder(spark)}/ledger-{uuid.uuid4().hex}"
-    rows = replay_input(attempts)
+    rows = written(replay_input(attempts))
     moment = F.col("created_at")
     edges = [None, *[F.lit(cut).cast("timestamp_ntz") for cut in cuts], None]
     for begin, end in zip(edges, edges[1:]):
         arrival = rows if begin is None else rows.where(moment >= begin)
         arrival = arrival if end is None else arrival.where(moment < end)
         arrival.write.mode("append").parquet(f"{root}/input")
-        source = spark.readStream.schema(rows.schema).parquet(f"{root}/input")
         query = (
-            replay_stream(source).writeStream.outputMode("append").format("parquet")
-            .option("path", f"{root}/output").option("checkpointLocation", f"{root}/checkpoint")
+            spark.readStream.schema(rows.schema).parquet(f"{root}/input")
+            .writeStream.foreachBatch(advance(root)).option("checkpointLocation", f"{root}/checkpoint")
             .trigger(availableNow=True).start()
         )
         query.awaitTermination()
-    return replay_output(spark.read.schema(REPLAY_SCHEMA).parquet(f"{root}/output"))
+    return replay_output(spark.read.schema(REPLAY_SCHEMA).parquet(f"{root}/decided"))

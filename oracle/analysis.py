@@ -40,15 +40,16 @@ SELECT account_id,
        {euros('sum(amount_in - amount_out)')} AS balance_at_period_end
 FROM legs GROUP BY account_id""")
 
-relation("profiles", ["accounts_plain", "customers"], f"""
+relation("age_bands", [], """
+SELECT * FROM (VALUES (-1000, 24, '18-24'), (25, 34, '25-34'), (35, 44, '35-44'), (45, 54, '45-54'), (55, 1000, '55+')) AS b(lowest, highest, age_band)""")
+relation("profiles", ["accounts_plain", "customers", "age_bands"], f"""
 SELECT account_id, customer_id, signup_channel, city, age_at_opening,
-       CASE WHEN age_at_opening IS NULL THEN 'Inconnu' WHEN age_at_opening <= 24 THEN '18-24'
-            WHEN age_at_opening >= 55 THEN '55+'
-            ELSE ((age_at_opening + 5) // 10 * 10 - 5) || '-' || ((age_at_opening + 5) // 10 * 10 + 4) END AS age_band,
+       COALESCE(b.age_band, 'Inconnu') AS age_band,
        opened_at, {month('opened_at')} AS cohort_month, CASE WHEN closed_at <= {END} THEN closed_at END AS closed_at
 FROM (SELECT a.*, c.signup_channel, c.city, {n(full_years('c.birth_date', 'a.opened_at'))} AS age_at_opening
       FROM accounts_plain a, customers c
-      WHERE c.customer_id = a.customer_id AND a.opened_at <= {END}) AS held""")
+      WHERE c.customer_id = a.customer_id AND a.opened_at <= {END}) AS held
+LEFT JOIN age_bands b ON held.age_at_opening BETWEEN b.lowest AND b.highest""")
 
 _COUNTS = ["logins", "card_payments", "declined_card_payments", "failed_operations"]
 _SUMS = ["total_deposits", "transfers_received", "transfers_sent", "card_spend", "withdrawals", "balance_at_period_end"]
@@ -104,8 +105,6 @@ SELECT month_start, {', '.join(f'COALESCE({c}, 0) AS {c}' for c in ('new_account
        {ratio('app_failures', 'app_attempts', 2)} AS app_failure_rate_pct,
        {ratio('declined_card_payments', 'card_payment_attempts', 2)} AS card_decline_rate_pct
 FROM spine LEFT JOIN month_ops USING (month_start) LEFT JOIN month_money USING (month_start)""")
-CHECKS["month_spine"] = check(["spine", "month_ops"], """
-SELECT s.month_start, EXISTS (SELECT 1 FROM month_ops o WHERE o.month_start = s.month_start) AS has_operations FROM spine s""")
 CHECKS["monthly_ops"] = check(["month_ops"], "SELECT * FROM month_ops")
 CHECKS["monthly_money"] = check(["month_money"], "SELECT * FROM month_money")
 CHECKS["v_monthly_kpis"] = check(["kpis"], "SELECT * FROM kpis")
@@ -231,7 +230,9 @@ FROM detail GROUP BY signup_channel""")
 _MONTHS = 72
 CHECKS["retention_matrix"] = check(["q05"], f"""
 SELECT strftime(cohort_month, '%Y-%m') AS cohort,
-       {', '.join(f'max(retention_pct) FILTER (WHERE months_since_opening = {i}) AS m{i:02d}' for i in range(_MONTHS))}
+       {', '.join(f'max(retention_pct) FILTER (WHERE months_since_opening = {i}) AS m{i:02d}' for i in range(_MONTHS))},
+       string_agg(months_since_opening || ':' || retention_pct, ' ' ORDER BY months_since_opening) FILTER (WHERE months_since_opening < 0) AS before_opening,
+       string_agg(months_since_opening || ':' || retention_pct, ' ' ORDER BY months_since_opening) FILTER (WHERE months_since_opening >= {_MONTHS}) AS after_period
 FROM q05 GROUP BY cohort_month""")
 CHECKS["retention_mean"] = check(["q05"], f"""
 SELECT months_since_opening, {n('count(*)')} AS cohorts, {ratio('sum(retention_pct * 10)', 'count(*) * 10', 2, times=1)} AS mean_retention_pct

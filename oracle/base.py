@@ -69,6 +69,19 @@ def month(expr: str) -> str:
     return f"CAST(date_trunc('month', {expr}) AS DATE)"
 
 
+def read_back(name: str, table: str, ddl: str) -> str:
+    """Rows, filled cells and the sum of all numbers of a relation with declared columns."""
+    fields = [f.strip().rpartition(" ") for f in ddl.replace("(12,2)", "").replace("(18,2)", "").replace("(18,1)", "").split(",")]
+    columns = {c.strip("`"): kind for c, _, kind in fields}
+    filled = " + ".join(f'count("{c}")' for c in columns)
+    numeric = [c for c, kind in columns.items() if kind in ("bigint", "int", "decimal")]
+    total = " + ".join(f'COALESCE(sum(CAST("{c}" AS DECIMAL(30,2))), 0)' for c in numeric) or "0"
+    return (
+        f"SELECT '{name}' AS table_name, {n('count(*)')} AS rows_read, {n(filled)} AS filled_cells,"
+        f" CAST({total} AS DECIMAL(38,2)) AS numbers FROM {table}"
+    )
+
+
 def full_years(start: str, end: str) -> str:
     """Complete years: not counted until the (month, day) has come round."""
     return (
@@ -124,7 +137,8 @@ FROM (SELECT c_custkey AS k, c_nationkey AS nk, c_mktsegment AS seg,
       FROM customer) AS drawn""")
 
 relation("stg_customers_raw", ["people"], f"""
-SELECT (CASE WHEN k % 50 = 3 THEN ' ' ELSE '' END) || CAST(10001 + k AS VARCHAR) AS crm_customer_id,
+SELECT CASE kind WHEN 3 THEN 'C-' || k WHEN 4 THEN CAST(900000000 + k AS VARCHAR) WHEN 5 THEN CAST(800000000 + k AS VARCHAR)
+       ELSE (CASE WHEN k % 50 = 3 THEN ' ' ELSE '' END) || CAST(10001 + k AS VARCHAR) END AS crm_customer_id,
        CASE WHEN k % 17 = 0 THEN lower(fn) WHEN k % 20 = 1 THEN ' ' || fn || '  ' ELSE fn END AS first_name,
        CASE WHEN k % 10 = 2 THEN upper(ln) ELSE ln END AS last_name,
        CASE WHEN kind = 1 THEN replace(em, '@', '.old@') WHEN k % 16 = 4 THEN upper(em)
@@ -134,14 +148,18 @@ SELECT (CASE WHEN k % 50 = 3 THEN ' ' ELSE '' END) || CAST(10001 + k AS VARCHAR)
        CASE WHEN kind = 1 THEN ct WHEN k % 100 = 11 THEN ''
             WHEN nk % 5 = 4 AND k % 2 = 0 THEN {pick(['St-Etienne', 'Saint Etienne', 'saint-etienne'], 'k % 3')}
             WHEN k % 12 = 0 THEN upper(ct) WHEN k % 25 = 6 THEN lower(ct) || ' ' ELSE ct END AS city,
-       CASE WHEN seg IN ('BUILDING', 'MACHINERY')
+       CASE WHEN kind = 4 THEN 'fax' WHEN seg IN ('BUILDING', 'MACHINERY')
             THEN {pick(['mobile', 'Mobile', 'MOBILE', 'app mobile', 'mobile_app'], 'k % 5')}
             WHEN seg IN ('AUTOMOBILE', 'FURNITURE') THEN {pick(['web', 'Web', 'WEB', 'site web'], 'k % 4')}
             ELSE {pick(['partner', 'Partner', 'PARTENAIRE', 'partenaire'], 'k % 4')} END AS signup_channel,
-       strftime(CASE WHEN kind = 1 THEN up - to_days(200) ELSE up END, '%Y-%m-%d %H:%M:%S') AS updated_at
+       CASE WHEN kind = 5 THEN 'soon'
+            ELSE strftime(CASE WHEN kind = 1 THEN up - to_days(200) ELSE up END, '%Y-%m-%d %H:%M:%S') END AS updated_at
 FROM (SELECT 0 AS kind, * FROM people
       UNION ALL SELECT 1, * FROM people WHERE k % 25 = 0
-      UNION ALL SELECT 2, * FROM people WHERE k % 200 = 1) AS versions""")
+      UNION ALL SELECT 2, * FROM people WHERE k % 200 = 1
+      UNION ALL SELECT 3, * FROM people WHERE k % 90 = 17
+      UNION ALL SELECT 4, * FROM people WHERE k % 130 = 21
+      UNION ALL SELECT 5, * FROM people WHERE k % 170 = 33) AS versions""")
 
 relation("account_base", [], f"""
 SELECT k, body, {luhn_digit('body')} AS digit
@@ -174,20 +192,20 @@ FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey % 5 < 3 AND c_custkey
 UNION ALL
 SELECT k, 8 * o + 1,
        CASE WHEN failure_reason IN ('INVALID_CARD_NUMBER', 'UNKNOWN_CARD') AND o % 6 = 0 THEN NULL ELSE k + 1 END,
-       {pick(['LOGIN', 'BALANCE_INQUIRY', 'DEPOSIT', 'DEPOSIT', 'TRANSFER', 'WITHDRAWAL'], 'o % 6')},
+       {pick(['LOGIN', 'BALANCE_INQUIRY', 'DEPOSIT', 'DEPOSIT', 'TRANSFER', 'WITHDRAWAL'], 'kind')},
        CASE WHEN refused THEN 'FAILED' ELSE 'SUCCESS' END, failure_reason,
-       CASE WHEN o % 6 = 3 THEN 'SEPA' ELSE 'APP' END,
-       CASE WHEN o % 6 < 2 THEN NULL WHEN failure_reason = 'INVALID_AMOUNT' THEN 0 ELSE {_DEPOSIT_AMOUNT} END,
+       CASE WHEN kind = 3 THEN 'SEPA' ELSE 'APP' END,
+       CASE WHEN kind < 2 THEN NULL WHEN failure_reason = 'INVALID_AMOUNT' THEN 0 ELSE {_DEPOSIT_AMOUNT} END,
        o_orderdate + to_seconds(o * 53 % 86400), NULL
 FROM (SELECT *, CASE WHEN NOT refused THEN NULL
                      WHEN o % 6 = 0 THEN {pick(['INVALID_CARD_NUMBER', 'UNKNOWN_CARD', 'WRONG_PIN', 'ACCOUNT_CLOSED'], '(o // 6) % 4')}
                      WHEN o % 6 = 4 THEN {pick(['INVALID_CARD_NUMBER', 'SAME_ACCOUNT', 'UNKNOWN_CARD', 'ACCOUNT_CLOSED', 'INSUFFICIENT_FUNDS'], 'o % 5')}
                      WHEN o % 6 = 5 THEN 'INSUFFICIENT_FUNDS' ELSE 'INVALID_AMOUNT' END AS failure_reason
       FROM (SELECT o_orderkey AS o, o_custkey AS k, o_totalprice, o_orderdate,
-                   o_orderstatus = 'P' AND (o_orderkey % 6 IN (0, 4, 5)
-                                            OR (o_orderkey % 6 = 2 AND o_orderkey % 5 = 0)) AS refused
-            FROM orders
-            WHERE NOT (o_orderkey % 6 IN (2, 3) AND o_custkey % 11 = 0)) AS o1) AS o2
+                   CASE WHEN o_custkey % 11 = 0 AND o_orderkey % 6 IN (2, 3) THEN 0 ELSE o_orderkey % 6 END AS kind,
+                   o_orderstatus = 'P' AND CASE o_orderkey % 6 WHEN 2 THEN o_orderkey % 5 = 0 AND o_custkey % 11 <> 0
+                                                               ELSE o_orderkey % 6 IN (0, 4, 5) END AS refused
+            FROM orders) AS o1) AS o2
 UNION ALL
 SELECT k, 8 * ((l_orderkey * 8 + l_linenumber) * 262144
               + (l_partkey * 8191 + l_suppkey * 611 + CAST(l_quantity AS BIGINT) * 31) % 262144) + 2,
@@ -200,9 +218,15 @@ FROM (SELECT *, l_orderkey % (SELECT count(*) FROM customer) AS k,
              (l_returnflag = 'R' AND l_linestatus = 'O') AS declined
       FROM lineitem) AS l1""")
 
-relation("all_operations", ["raw_operations"], f"""
-SELECT * EXCLUDE (k) FROM raw_operations
-WHERE (created_at >= {OPENED} AND (k % 19 <> 0 OR created_at <= {CLOSED})) OR operation_id % 211 = 0""")
+relation("placed_operations", ["raw_operations"], f"""
+SELECT r.* REPLACE (CASE WHEN created_at < {OPENED} AND operation_id % 211 <> 0
+    THEN {OPENED} + to_seconds(datediff('second', created_at, {OPENED}) % greatest(86400, datediff('second', {OPENED}, {END})))
+    ELSE created_at END AS created_at)
+FROM raw_operations r""")
+relation("all_operations", ["placed_operations"], f"""
+SELECT p.* EXCLUDE (k) REPLACE (CASE WHEN created_at > {CLOSED} AND operation_id % 211 <> 0 THEN 'FAILED' ELSE status END AS status,
+    CASE WHEN created_at > {CLOSED} AND operation_id % 211 <> 0 AND status = 'SUCCESS' THEN 'ACCOUNT_CLOSED' ELSE failure_reason END AS failure_reason)
+FROM placed_operations p""")
 
 relation("operation_log", ["all_operations"], "SELECT * EXCLUDE (merchant_category) FROM all_operations")
 

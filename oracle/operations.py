@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import oracle.customers  # noqa: F401
-from oracle.base import END, START, check, euros, luhn_digit, luhn_ok, n, relation
+from bankpulse import schemas
+from oracle.base import END, check, euros, luhn_digit, luhn_ok, n, read_back, relation
 
 CHECKS: dict[str, str] = {}
 
@@ -11,16 +12,13 @@ CHECKS["scan_crm_staging"] = check(["stg_customers_raw"], "SELECT * FROM stg_cus
 CHECKS["scan_operational_csv"] = check(["operation_log"], "SELECT * FROM operation_log")
 CHECKS["scan_parquet_tables"] = check(["operation_log"], f"""
 SELECT event_type, {n('count(*)')} AS operations FROM operation_log WHERE created_at <= {END} GROUP BY event_type""")
-CHECKS["load_operational"] = check(["stg_customers_raw", "customers", "accounts_plain", "operation_log", "transactions", "categories"],
-    "\nUNION ALL\n".join(f"SELECT '{name}' AS table_name, count(*) AS rows_written FROM {table}" for name, table in {
-        "stg_customers_raw": "stg_customers_raw", "ref_merchant_categories": "categories", "customers": "customers",
-        "accounts": "accounts_plain", "operation_log": "operation_log", "transactions": "transactions"}.items()))
-CHECKS["ref_categories"] = check(["categories", "transactions"], f"""
-SELECT category_code, label_fr, is_essential, {n('count(t.operation_id)')} AS payments
-FROM categories LEFT JOIN transactions t ON t.merchant_category = category_code GROUP BY ALL""")
-CHECKS["analysis_params"] = check(["operation_log"], f"""
-SELECT CAST(1 AS INTEGER) AS period_id, {START} AS period_start, {END} AS period_end, CAST(90 AS INTEGER) AS dormancy_days,
-       {n('count(*)')} AS operations_as_of FROM operation_log WHERE created_at <= {END}""")
+_LAYER = {
+    "stg_customers_raw": ("stg_customers_raw", schemas.STAGING), "customers": ("customers", schemas.CUSTOMERS),
+    "accounts": ("accounts_plain", schemas.ACCOUNTS.replace("balance decimal(12,2), ", "")),
+    "operation_log": ("operation_log", schemas.OPERATION_LOG), "transactions": ("transactions", schemas.TRANSACTIONS),
+}
+CHECKS["load_operational"] = check([table for table, _ in _LAYER.values()], "\nUNION ALL\n".join(
+    read_back(name, table, ddl) for name, (table, ddl) in _LAYER.items()))
 
 # ---------------------------------------------------------------- attempts
 _STRANGER = "'400000' || lpad(CAST(900000000 + o AS VARCHAR), 9, '0')"
@@ -34,10 +32,11 @@ relation("logins", ["accounts_plain"], f"""
 SELECT o AS attempt_id, CASE o % 5 WHEN 0 THEN {_typo('card_number')} WHEN 1 THEN body || {luhn_digit('body')}
                              WHEN 2 THEN left(card_number, 15) ELSE card_number END AS card_input, pin_ok
 FROM (SELECT o_orderkey AS o, {_STRANGER.replace('o AS', 'o_orderkey AS').replace('+ o ', '+ o_orderkey ')} AS body, a.card_number,
-             o_orderstatus <> 'P' AS pin_ok
+             CASE WHEN o_orderkey % 23 <> 7 THEN o_orderstatus <> 'P' END AS pin_ok
       FROM orders JOIN accounts_plain a ON a.account_id = o_custkey + 1) AS t""")
 relation("transfers", ["accounts"], f"""
-SELECT o AS attempt_id, sender_id, sender_card, sender_balance, amount,
+SELECT o AS attempt_id, CASE WHEN o % 37 <> 5 THEN sender_card END AS sender_card,
+       CASE WHEN o % 37 <> 5 THEN sender_balance END AS sender_balance, CASE WHEN o % 29 <> 11 THEN amount END AS amount,
        CASE o % 7 WHEN 0 THEN {_typo('target_card')} WHEN 1 THEN sender_card WHEN 2 THEN body || {luhn_digit('body')}
                   ELSE target_card END AS card_input
 FROM (SELECT o_orderkey AS o, {_STRANGER.replace('+ o ', '+ o_orderkey ')} AS body, s.account_id AS sender_id, s.card_number AS sender_card,
@@ -62,12 +61,13 @@ FROM (SELECT a.attempt_id, h.account_id, {reason} AS failure_reason FROM {source
 
 CHECKS["classify_logins"] = check(["logins", "holders"], _verdict(
     f"""CASE WHEN NOT {_OK} THEN 'INVALID_CARD_NUMBER' WHEN h.account_id IS NULL THEN 'UNKNOWN_CARD'
-        WHEN h.status = 'CLOSED' THEN 'ACCOUNT_CLOSED' WHEN NOT a.pin_ok THEN 'WRONG_PIN' END""",
+        WHEN h.status = 'CLOSED' THEN 'ACCOUNT_CLOSED' WHEN a.pin_ok IS NOT TRUE THEN 'WRONG_PIN' END""",
     "logins", "'INVALID_CARD_NUMBER', 'UNKNOWN_CARD'"))
 CHECKS["classify_transfers"] = check(["transfers", "holders"], _verdict(
     f"""CASE WHEN NOT {_OK} THEN 'INVALID_CARD_NUMBER' WHEN a.card_input = a.sender_card THEN 'SAME_ACCOUNT'
         WHEN h.account_id IS NULL THEN 'UNKNOWN_CARD' WHEN h.status = 'CLOSED' THEN 'ACCOUNT_CLOSED'
-        WHEN a.amount <= 0 THEN 'INVALID_AMOUNT' WHEN a.amount > a.sender_balance THEN 'INSUFFICIENT_FUNDS' END""",
+        WHEN a.amount IS NULL OR a.amount <= 0 THEN 'INVALID_AMOUNT'
+        WHEN a.sender_balance IS NULL OR a.amount > a.sender_balance THEN 'INSUFFICIENT_FUNDS' END""",
     "transfers", "'INVALID_CARD_NUMBER', 'SAME_ACCOUNT', 'UNKNOWN_CARD'"))
 
 # ---------------------------------------------------------------- ledger
@@ -79,10 +79,13 @@ CHECKS["running_balance"] = check(["signed_legs"], """
 SELECT account_id, operation_id, created_at, CAST(delta AS DECIMAL(18,2)) AS delta,
        CAST(sum(delta) OVER (PARTITION BY account_id ORDER BY created_at, operation_id) AS DECIMAL(18,2)) AS balance_after
 FROM signed_legs""")
-relation("queue", ["operation_log"], """
-SELECT operation_id, account_id, event_type = 'DEPOSIT' AS paid_in, amount_requested AS amount,
-       row_number() OVER (PARTITION BY account_id ORDER BY created_at, operation_id) AS turn
-FROM operation_log WHERE event_type IN ('CARD_PAYMENT', 'DEPOSIT', 'WITHDRAWAL') AND account_id IS NOT NULL""")
+relation("queue", ["operation_log", "transactions"], """
+SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY created_at, operation_id) AS turn
+FROM (SELECT operation_id, account_id, event_type = 'DEPOSIT' AS paid_in, amount_requested AS amount, created_at FROM operation_log
+      WHERE event_type IN ('CARD_PAYMENT', 'DEPOSIT', 'WITHDRAWAL', 'TRANSFER') AND account_id IS NOT NULL
+        AND COALESCE(failure_reason, 'INVALID_AMOUNT') IN ('INVALID_AMOUNT', 'INSUFFICIENT_FUNDS')
+      UNION ALL
+      SELECT operation_id, to_account_id, true, amount, created_at FROM transactions WHERE txn_type = 'TRANSFER') AS moves""")
 relation("replay", ["queue"], """
 SELECT operation_id, account_id, turn, CASE WHEN amount <= 0 THEN 'INVALID_AMOUNT' WHEN NOT paid_in AND amount > 0 THEN 'INSUFFICIENT_FUNDS' END AS failure_reason,
        CAST(CASE WHEN paid_in AND amount > 0 THEN amount ELSE 0 END AS DECIMAL(18,2)) AS balance_after
@@ -97,10 +100,10 @@ CHECKS["ledger_replay"] = check(["replay"], """
 SELECT operation_id, account_id, CASE WHEN failure_reason IS NULL THEN 'SUCCESS' ELSE 'FAILED' END AS status, failure_reason, balance_after
 FROM replay""")
 CHECKS["ledger_replay_stream"] = CHECKS["ledger_replay"]
-CHECKS["apply_balances"] = check(["signed_legs"], f"""
+CHECKS["apply_balances"] = check(["signed_legs", "accounts_plain"], f"""
 SELECT account_id, {euros(f'sum(delta) FILTER (WHERE created_at <= {END})')} AS opening_balance,
        {euros(f'sum(delta) FILTER (WHERE created_at > {END})')} AS delta, {euros('sum(delta)')} AS balance
-FROM signed_legs GROUP BY account_id HAVING count(*) FILTER (WHERE created_at <= {END}) > 0""")
+FROM accounts_plain LEFT JOIN signed_legs USING (account_id) GROUP BY account_id""")
 CHECKS["upsert_customers_by_email"] = check(["customers", "stg_customers_raw"], """
 , arrivals AS (
 SELECT lower(trim(email)) AS email, updated_at, trim(first_name) AS f, trim(last_name) AS l FROM stg_customers_raw
@@ -111,11 +114,13 @@ FROM arrivals QUALIFY row_number() OVER (PARTITION BY email ORDER BY updated_at,
 SELECT customer_id, first_name, last_name, email, signup_channel, false AS is_new FROM customers
 UNION ALL
 SELECT (SELECT max(customer_id) FROM customers) + row_number() OVER (ORDER BY email), first_name, last_name, email, 'WEB', true FROM fresh""")
+CHECKS["renumber_operations"] = check(["operation_log"], """
+SELECT *, row_number() OVER (ORDER BY created_at, operation_id) AS new_operation_id FROM operation_log""")
 CHECKS["renumber_chronologically"] = check(["operation_log", "transactions"], """
 SELECT t.operation_id, t.txn_type, t.amount, o.new_operation_id,
-       row_number() OVER (ORDER BY o.new_operation_id) AS new_transaction_id
-FROM transactions t JOIN (SELECT operation_id, row_number() OVER (ORDER BY created_at, operation_id) AS new_operation_id
-                          FROM operation_log) AS o USING (operation_id)""")
+       row_number() OVER (ORDER BY o.new_operation_id NULLS LAST, t.operation_id) AS new_transaction_id
+FROM transactions t LEFT JOIN (SELECT operation_id, row_number() OVER (ORDER BY created_at, operation_id) AS new_operation_id
+                               FROM operation_log) AS o USING (operation_id)""")
 CHECKS["ascii_slug"] = check(["stg_customers_raw"], """
 SELECT crm_customer_id, regexp_replace(lower(strip_accents(first_name)), '[^a-z0-9]', '', 'g') AS name_slug,
        regexp_replace(lower(strip_accents(city)), '[^a-z0-9]', '', 'g') AS city_slug FROM stg_customers_raw""")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import oracle.analysis  # noqa: F401  (defines the views)
+from bankpulse import schemas
 from bankpulse.vocabulary import (
     CHANNEL_LABELS, EVENT_LABELS, MONTH_LABELS, NOT_SEGMENTED, REASON_LABELS, SEGMENTS, STATUS_LABELS,
 )
-from oracle.base import ACTIVE, END, cents, check, euros, mapping, mean, n, pick, rank_of, ratio, relation
+from oracle.base import ACTIVE, END, cents, check, euros, mapping, mean, n, pick, rank_of, ratio, read_back, relation
 
 CHECKS: dict[str, str] = {}
 
@@ -75,15 +76,11 @@ relation("mois", ["account_months"], """
 SELECT min(month_start) AS "Mois" FROM account_months
 UNION ALL
 SELECT CAST("Mois" + INTERVAL 1 MONTH AS DATE) FROM mois WHERE "Mois" < (SELECT max(month_start) FROM account_months)""")
-CHECKS["dim_mois"] = check(["mois"], f"""
+relation("calendrier", ["mois"], f"""
 SELECT "Mois", {pick(MONTH_LABELS, 'month("Mois") - 1')} || ' ' || year("Mois") AS "Libellé mois", CAST(year("Mois") AS INTEGER) AS "Année",
        CAST(month("Mois") AS INTEGER) AS "Numéro mois", 'T' || quarter("Mois") || ' ' || year("Mois") AS "Trimestre",
        CAST(strftime("Mois", '%Y%m') AS INTEGER) AS "Ordre mois" FROM mois""")
-_CHANNELS = ", ".join(f"('{code}', '{label}', {i})" for i, (code, label) in enumerate(CHANNEL_LABELS.items(), 1))
-CHECKS["dim_canal"] = check(["customers"], f"""
-SELECT l.code AS "Code canal", label AS "Canal", CAST(ordre AS INTEGER) AS "Ordre canal", c.n AS "Clients"
-FROM (VALUES {_CHANNELS}) AS l(code, label, ordre)
-LEFT JOIN (SELECT signup_channel AS code, {n('count(*)')} AS n FROM customers GROUP BY 1) AS c ON c.code = l.code""")
+CHECKS["dim_mois"] = check(["calendrier"], "SELECT * FROM calendrier")
 relation("activite", ["account_months"], """
 SELECT account_id AS "Id compte", month_start AS "Mois", CAST(is_customer_active AS INTEGER) AS "Client actif",
        customer_operations AS "Opérations client", card_payments AS "Paiements carte", declined_card_payments AS "Paiements refusés",
@@ -194,8 +191,17 @@ for _name in MEASURES:
     CHECKS[f"m_{_name}"] = check(_needs, _sql)
 
 
+_CHANNELS = ", ".join(f"('{code}', '{label}', {i})" for i, (code, label) in enumerate(CHANNEL_LABELS.items(), 1))
+relation("canaux", [], f'SELECT * FROM (VALUES {_CHANNELS}) AS l("Code canal", "Canal", "Ordre canal")')
+_CANAL, _LIBELLE = ["Canal", "Ordre canal"], ["Libellé mois", "Ordre mois"]
+
+
 def _tile(name: str, names: list[str], by: list[str], where: str = "true", extra: str = "") -> None:
     needs, sql = _grouped(names, by, where)
+    if by == _CANAL:
+        needs, sql = [*needs, "canaux"], sql.replace(f"FROM {needs[0]} ", f'FROM {needs[0]} t JOIN canaux c ON c."Code canal" = t."Code canal" ')
+    if by == _LIBELLE:
+        needs, sql = [*needs, "calendrier"], sql.replace(f"FROM {needs[0]} ", f'FROM {needs[0]} t JOIN calendrier l ON l."Mois" = t."Mois" ')
     CHECKS[name] = check(needs, sql + extra)
 
 
@@ -212,34 +218,39 @@ def _cards(name: str, names: list[str], where: str = "true") -> None:
 _OVERVIEW = ["comptes", "taux_de_comptes_actifs", "comptes_actifs_dernier_mois", "comptes_jamais_alimentes", "encours"]
 _cards("tile_overview_cards", _OVERVIEW)
 _cards("tile_overview_cards_mobile", _OVERVIEW, "\"Code canal\" = 'MOBILE'")
-_tile("tile_active_rate_by_channel", ["taux_de_comptes_actifs"], ["Code canal"])
+_tile("tile_active_rate_by_channel", ["taux_de_comptes_actifs"], _CANAL)
 _tile("tile_accounts_by_status", ["comptes"], ["Statut", "Ordre statut"])
-_tile("tile_new_accounts_by_month", ["nouveaux_comptes"], ["Mois"])
-_tile("tile_active_by_month", ["comptes_actifs_du_mois"], ["Mois"])
+_tile("tile_new_accounts_by_month", ["nouveaux_comptes"], _LIBELLE)
+_tile("tile_active_by_month", ["comptes_actifs_du_mois"], _LIBELLE)
 _cards("tile_acquisition_cards", ["taux_activation_7_jours", "taux_jamais_alimentes", "delai_moyen_premier_depot_jours", "retention_a_6_mois"])
-_tile("tile_activation_by_channel", ["taux_activation_7_jours", "taux_jamais_alimentes"], ["Code canal"])
+_tile("tile_activation_by_channel", ["taux_activation_7_jours", "taux_jamais_alimentes"], _CANAL)
 _tile("tile_channel_table", ["comptes", "taux_activation_7_jours", "delai_moyen_premier_depot_jours", "taux_jamais_alimentes",
-                             "taux_de_comptes_actifs"], ["Code canal"])
+                             "taux_de_comptes_actifs"], _CANAL)
 _cards("tile_quality_cards", ["taux_de_refus_carte", "montant_des_paiements_refuses", "taux_d_echec_connexion", "interception_luhn"])
 _tile("tile_failure_causes", ["echecs"], ["Type et motif"], where=_FAIL)
-_tile("tile_declines_by_month", ["paiements_carte_refuses"], ["Mois"])
-_tile("tile_decline_rate_by_month", ["taux_de_refus_carte"], ["Mois"])
+_tile("tile_declines_by_month", ["paiements_carte_refuses"], _LIBELLE)
+_tile("tile_decline_rate_by_month", ["taux_de_refus_carte"], _LIBELLE)
 _cards("tile_value_cards", ["encours", "encours_comptes_dormants", "depenses_carte", "panier_moyen"])
 _tile("tile_spend_by_category", ["depenses_carte"], ["Catégorie"])
 _tile("tile_segment_shares", ["part_des_comptes_segmentes", "part_des_encours_segmentes"], ["Segment RFM", "Ordre segment"])
 _tile("tile_segment_table", ["comptes", "encours", "solde_moyen", "part_des_encours_segmentes"], ["Segment RFM", "Ordre segment"])
 CHECKS["tile_retention_matrix"] = check(["cohortes"], f"""
-SELECT "Cohorte", {', '.join(f'max(rate) FILTER (WHERE elapsed = {i}) AS m{i:02d}' for i in range(72))}
+SELECT "Cohorte", {', '.join(f'max(rate) FILTER (WHERE elapsed = {i}) AS m{i:02d}' for i in range(72))},
+       string_agg(elapsed || ':' || rate, ' ' ORDER BY elapsed) FILTER (WHERE elapsed < 0) AS before_opening,
+       string_agg(elapsed || ':' || rate, ' ' ORDER BY elapsed) FILTER (WHERE elapsed > 71) AS after_period
 FROM (SELECT "Cohorte", "Mois depuis ouverture" AS elapsed, {MEASURES['taux_de_retention'][1]} AS rate FROM cohortes GROUP BY 1, 2) AS r
 GROUP BY "Cohorte" """)
 
 # ---------------------------------------------------------------- sinks
 _STAR_TABLES = {
-    "dim_compte": "comptes", "dim_mois": "mois", "fait_activite_mensuelle": "activite", "fait_operations": "operations",
+    "dim_compte": "comptes", "dim_mois": "calendrier", "fait_activite_mensuelle": "activite", "fait_operations": "operations",
     "fait_depenses_carte": "depenses", "fait_retention_cohortes": "cohortes",
 }
-CHECKS["sink_star_schema"] = check(list(_STAR_TABLES.values()), "SELECT 'dim_canal' AS table_name, CAST(4 AS BIGINT) AS rows_written" + "".join(
-    f"\nUNION ALL SELECT '{name}', count(*) FROM {table}" for name, table in _STAR_TABLES.items()))
-CHECKS["sink_action_list"] = check(["q11", "segments"], """
-SELECT 'liste_prevention_dormance' AS table_name, count(*) AS rows_written FROM q11
-UNION ALL SELECT 'segmentation_rfm', count(*) FROM segments""")
+CHECKS["sink_star_schema"] = check([*_STAR_TABLES.values(), "canaux"], "\nUNION ALL\n".join(
+    read_back(name, table, schemas.STAR[name]) for name, table in {**_STAR_TABLES, "dim_canal": "canaux"}.items()))
+_WATCHLIST = ("account_id bigint, customer_id bigint, signup_channel string, age_band string, last_activity_at timestamp_ntz, "
+              "days_since_last_activity bigint, balance_at_period_end decimal(18,2), card_payments bigint")
+_SEGMENTATION = ("account_id bigint, segment string, R int, F int, M int, recency_days bigint, frequency_180d bigint, "
+                 "card_spend_180d decimal(18,2), balance_at_period_end decimal(18,2)")
+CHECKS["sink_action_list"] = check(["q11", "segments"],
+    read_back("liste_prevention_dormance", "q11", _WATCHLIST) + "\nUNION ALL\n" + read_back("segmentation_rfm", "segments", _SEGMENTATION))

@@ -89,6 +89,14 @@ def test_unmapped_channel_is_rejected_not_lost(spark):
     assert [r.customer_id for r in rejected_customers(staging).collect()] == [2]
 
 
+def test_every_unreadable_line_is_returned(spark):
+    lines = [line(), line(crm_customer_id="x"), line(crm_customer_id="x"), line(crm_customer_id=""), line(crm_customer_id="3", updated_at="soon"),
+             line(updated_at="2020-01-01 00:00:00")]
+    staging = spark.createDataFrame(lines, schemas.STAGING)
+    accepted, rejected = customers_clean(staging).collect(), rejected_customers(staging).collect()
+    assert len(accepted) == 1 and sorted(str(r.customer_id) for r in rejected) == ["3", "None", "None", "None"]
+
+
 def test_one_customer_with_most_lines_is_combined_before_the_shuffle(spark):
     """Repeated exports of one customer must not travel: partial aggregation comes first."""
     staging = spark.createDataFrame([line()], schemas.STAGING)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from bankpulse import schemas
 from bankpulse.operators.ledger import (
-    apply_balances, decide, ledger_replay, renumber_chronologically, running_balance, upsert_by_email,
+    apply_balances, decide, ledger_replay, renumber_chronologically, renumber_operations, running_balance,
+    upsert_by_email,
 )
 from bankpulse.streaming.ledger_stream import ledger_replay_stream
 
@@ -51,9 +52,33 @@ def test_replay_equals_brute_force(spark):
     assert as_outcome(ledger_replay(frame(spark, rows))) == brute_force(rows)
 
 
-def test_a_hot_account_cut_into_slices_gives_the_same_ledger(spark):
-    rows = attempts()
-    assert as_outcome(ledger_replay(frame(spark, rows), slice_rows=150)) == brute_force(rows)
+def test_one_account_with_most_rows_in_many_batches(spark):
+    rows = attempts(3000)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+        assert as_outcome(ledger_replay(frame(spark, rows))) == brute_force(rows)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_received_transfers_are_credits(spark):
+    rows = [(1, 1, "DEPOSIT", Decimal("10.00"), START), (2, 1, "TRANSFER", Decimal("4.00"), START + timedelta(1)),
+            (2, 2, "TRANSFER_IN", Decimal("4.00"), START + timedelta(1)), (3, 2, "TRANSFER", Decimal("4.01"), START + timedelta(2)),
+            (4, 2, "WITHDRAWAL", None, START + timedelta(3))]
+    found = sorted((r.operation_id, r.account_id, r.failure_reason, r.balance_after) for r in ledger_replay(frame(spark, rows)).collect())
+    assert found == [(1, 1, None, 10), (2, 1, None, 6), (2, 2, None, 4), (3, 2, "INSUFFICIENT_FUNDS", 4), (4, 2, "INVALID_AMOUNT", 4)]
+
+
+def test_running_balance_of_an_account_with_most_rows(spark):
+    rng = random.Random(9)
+    rows = [(i, i, "DEPOSIT", None, 1 if i % 3 else 2, Decimal(rng.randint(1, 9)), None, START + timedelta(seconds=i // 5)) for i in range(2000)]
+    found = {r.operation_id: r.balance_after for r in running_balance(spark.createDataFrame(rows, schemas.TRANSACTIONS)).collect()}
+    balances, wanted = {1: 0, 2: 0}, {}
+    for i, _, _, _, account, amount, _, _ in rows:
+        balances[account] += amount
+        wanted[i] = balances[account]
+    assert found == wanted
 
 
 def test_the_stream_gives_the_same_ledger(spark):
@@ -105,6 +130,11 @@ def test_renumbering_is_dense_and_chronological(spark):
     transactions = spark.createDataFrame(
         [(1, 40, "DEPOSIT", None, 1, Decimal(1), None, moments[0]), (2, 30, "DEPOSIT", None, 1, Decimal(1), None, moments[1])],
         schemas.TRANSACTIONS)
+    transactions = transactions.union(spark.createDataFrame(
+        [(3, 99, "DEPOSIT", None, 1, Decimal(1), None, moments[0])], schemas.TRANSACTIONS))
     found = {r.operation_id: (r.new_operation_id, r.new_transaction_id)
              for r in renumber_chronologically(operations, transactions).collect()}
-    assert found == {30: (2, 1), 40: (4, 2)}
+    assert found == {30: (2, 1), 40: (4, 2), 99: (None, 3)}
+    whole = renumber_operations(operations)
+    assert whole.columns == [*operations.columns, "new_operation_id"]
+    assert {r.operation_id: r.new_operation_id for r in whole.collect()} == {20: 1, 30: 2, 10: 3, 40: 4}

@@ -55,3 +55,15 @@ def test_days_are_full_24_hours_and_months_between_firsts(spark):
     months = spark.createDataFrame([("2025-11-01", "2026-02-01"), ("2026-02-01", "2025-11-01")], "s string, e string")
     got = [r[0] for r in months.select(months_between_firsts(F.col("s").cast("date"), F.col("e").cast("date"))).collect()]
     assert got == [3, -3]
+
+
+def test_upper_tail_of_chi_square(spark):
+    import math
+
+    from bankpulse.operators.stats import upper_tail
+
+    values = [0.0, 1e-9, 0.01, 0.5, 1.0, 3.84, 7.9, 8.1, 20.0, 90.0]
+    frame = spark.createDataFrame([(v, d) for v in values for d in (0, 1, 2, 3)], "chi2 double, dof int")
+    for r in frame.withColumn("p", upper_tail(frame.chi2, frame.dof)).collect():
+        wanted = {0: 1.0, 1: math.erfc(math.sqrt(r.chi2 / 2)), 2: math.exp(-r.chi2 / 2), 3: None}[r.dof]
+        assert r.p == wanted or abs(r.p - wanted) < 1e-9

@@ -8,14 +8,16 @@ from pyspark.sql import functions as F
 
 from bankpulse import schemas
 from bankpulse.operators.activity import v_account_activity
+from bankpulse.operators.constraints import single_period_row
 from bankpulse.operators.integrity import QualityGateError, integrity_checks, quality_gate
+from bankpulse.operators.measures import measures
 from bankpulse.operators.monthly import v_monthly_kpis
-from bankpulse.operators.star import calendar
+from bankpulse.operators.star import Star, calendar
 from bankpulse.plans import pipeline
 from bankpulse.plans.named import NAMED, run_query
-from bankpulse.sources.files import read_crm_csv, write_crm_csv, write_typed_csv
+from bankpulse.sources.files import read_crm_csv, read_typed_csv, write_crm_csv, write_typed_csv
 from bankpulse.sources.layer import LayerTables, read_star
-from bankpulse.vocabulary import CHECK_LABELS
+from bankpulse.vocabulary import CHECK_LABELS, NOT_SEGMENTED
 
 
 def failing(tables):
@@ -149,6 +151,50 @@ def test_empty_csv_fields_stay_empty_text(spark, tmp_path):
     assert (row.crm_customer_id, row.first_name, row.email, row.birth_date) == (" 1", "Zoé ", "", "")
 
 
+def test_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "crm.csv").write_text(
+        "first_name;crm_customer_id;last_name;email;birth_date;city;signup_channel;updated_at;extra\n"
+        'Zoé;1;"Petit ""la; grande""";;;Lyon;web;2025-01-01 00:00:00;x\n', encoding="utf-8")
+    row = read_crm_csv(spark, str(tmp_path / "crm.csv")).first()
+    assert (row.crm_customer_id, row.first_name, row.last_name) == ("1", "Zoé", 'Petit "la; grande"')
+    (tmp_path / "typed.csv").write_text("b,a\n2025-01-01 10:00:00,7\n,\n", encoding="utf-8")
+    rows = read_typed_csv(spark, str(tmp_path / "typed.csv"), "a bigint, b timestamp_ntz").collect()
+    assert [(r.a, str(r.b)) for r in rows] == [(7, "2025-01-01 10:00:00"), (None, "None")]
+    (tmp_path / "bad.csv").write_text("a,b\nseven,2025-01-01 10:00:00\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_typed_csv(spark, str(tmp_path / "bad.csv"), "a bigint, b timestamp_ntz").collect()
+
+
+def test_rebuild_twice(spark, journey, params, tmp_path):
+    for _ in range(2):
+        deliver(spark, journey, tmp_path / "in")
+        counts = pipeline.run(spark, "all", str(tmp_path / "in"), str(tmp_path / "layer"), str(tmp_path / "star"), params)
+    assert read_star(spark, str(tmp_path / "star"), "dim_compte").count() == counts["dim_compte"] == 3
+
+
+def test_period_row(spark, journey, params):
+    assert single_period_row(journey.tables(spark), params).first().violations == 0
+
+
+def test_measures_follow_the_relationships(spark, journey, params):
+    star = Star(journey.tables(spark), params)
+    by_quarter = {r["Trimestre"]: r.tentatives for r in measures(star, ["tentatives"], ["Trimestre"]).collect()}
+    assert by_quarter == {"T1 2025": 3, "T4 2025": 7}
+    assert {r["Canal"]: r.comptes for r in measures(star, ["comptes"], ["Canal"]).collect()} == {"Mobile": 1, "Site web": 1, "Partenaires": 1}
+    by_age = {r["Tranche âge"]: r.comptes_actifs_du_mois for r in measures(star, ["comptes_actifs_du_mois"], ["Tranche âge"]).collect()}
+    assert by_age["25-34"] == 1
+    assert sum(r.comptes for r in measures(star, ["comptes"], ["Segment RFM"]).collect()) == 3
+    last = {r["Trimestre"]: r.comptes_actifs_dernier_mois for r in measures(star, ["comptes_actifs_dernier_mois"], ["Trimestre"]).collect()}
+    assert last["T4 2025"] == 2 and measures(star, ["comptes_actifs_dernier_mois"]).first()[0] == 2
+    by_month = measures(star, ["comptes_actifs_dernier_mois"], ["Mois"]).collect()
+    assert len(by_month) == measures(star, ["comptes_actifs_du_mois"], ["Mois"]).count() > 1
+    share = measures(star, ["part_des_comptes_segmentes"]).first()[0]
+    segmented = sum(r.comptes for r in measures(star, ["comptes"], ["Segment RFM"]).collect() if r["Segment RFM"] != NOT_SEGMENTED)
+    assert share == round(Decimal(3) / segmented, 6)
+    with pytest.raises(ValueError, match="calendar"):
+        measures(star, ["encours"], ["Trimestre"])
+
+
 def test_views_and_named_queries(spark, journey, params):
     tables = journey.tables(spark)
     pipeline.register_views(tables, params)
@@ -168,9 +214,6 @@ def test_only_one_period(params):
 
 def test_checks_agree_across_layers(spark, journey, params):
     """Portfolio counts, measures and facts tell the same story."""
-    from bankpulse.operators.measures import measures
-    from bankpulse.operators.star import Star
-
     tables = journey.tables(spark)
     kpis = run_query("q01_global_kpis", tables, params).first()
     cards = measures(Star(tables, params), ["comptes", "comptes_actifs", "comptes_jamais_alimentes", "encours", "echecs"]).first()

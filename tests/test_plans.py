@@ -10,7 +10,7 @@ import __spark_entry__ as registry
 from tests.conftest import SMALL
 
 # windows over everything are allowed on rows that were grouped down to a handful before
-PYTHON_ALLOWED = {"ledger_replay", "ledger_replay_stream", "ascii_slug", "chi2_channels", "chi2_mobile_web"}
+PYTHON_ALLOWED = {"ledger_replay", "ledger_replay_stream", "ascii_slug"}
 ACCOUNT_SIZED = [
     "v_account_activity", "customers_clean", "dedup_latest", "q03b_activation_detail", "q11_dormancy_watchlist", "q12_rfm_base",
     "pbi_dim_account", "pbi_fact_account_month", "running_balance", "account_money", "account_ops",
@@ -18,7 +18,7 @@ ACCOUNT_SIZED = [
 SAMPLE = [
     *ACCOUNT_SIZED, "q01_global_kpis", "q05_cohort_retention", "q07_card_spend_by_category", "q08_failures_by_reason",
     "v_monthly_kpis", "pbi_fact_operations", "pbi_fact_card_spend", "pbi_fact_retention", "integrity_checks",
-    "crm_profiling", "classify_logins", "classify_transfers", "cst_foreign_keys", "fait_operations",
+    "crm_profiling", "chi2_channels", "chi2_mobile_web", "classify_logins", "classify_transfers", "cst_foreign_keys", "fait_operations",
 ]
 
 

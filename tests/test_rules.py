@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from tests.conftest import CARDS
 
 from bankpulse import schemas
@@ -37,10 +39,23 @@ def test_transfer_reasons_in_order(spark):
 
 
 def test_login_reasons_in_order(spark):
-    rows = [(0, CARDS[0], True), (1, CARDS[0], False), (2, CARDS[2], True), (3, "1234", True), (4, "4000000000000002", True)]
+    rows = [(0, CARDS[0], True), (1, CARDS[0], False), (2, CARDS[2], True), (3, "1234", True), (4, "4000000000000002", True),
+            (5, CARDS[0], None), (6, None, True)]
     frame = spark.createDataFrame(rows, "attempt_id bigint, card_input string, pin_ok boolean")
     found = {row.attempt_id: row.failure_reason for row in classify_logins(frame, accounts(spark)).collect()}
-    assert found == {0: None, 1: "WRONG_PIN", 2: "ACCOUNT_CLOSED", 3: "INVALID_CARD_NUMBER", 4: "UNKNOWN_CARD"}
+    assert found == {0: None, 1: "WRONG_PIN", 2: "ACCOUNT_CLOSED", 3: "INVALID_CARD_NUMBER", 4: "UNKNOWN_CARD",
+                     5: "WRONG_PIN", 6: "INVALID_CARD_NUMBER"}
+
+
+def test_what_is_unknown_refuses(spark):
+    rows = [(0, 99, CARDS[1], Decimal(1)), (1, 1, CARDS[1], None), (2, None, CARDS[1], Decimal(1)), (3, 5, CARDS[1], Decimal(1)),
+            (4, 1, CARDS[2], Decimal(1))]
+    frame = spark.createDataFrame(rows, "attempt_id bigint, sender_id bigint, card_input string, amount decimal(12,2)")
+    known = accounts(spark).withColumn("balance", F.expr("if(account_id = 3, null, balance)")).union(
+        accounts(spark).where("account_id = 1").selectExpr("5", "customer_id", "'x'", "pin_hash", "null", "status", "opened_at", "closed_at"))
+    known = known.withColumn("status", F.expr("if(account_id = 3, null, status)"))
+    found = {r.attempt_id: r.failure_reason for r in classify_transfers(frame, known).collect()}
+    assert found == {0: "INSUFFICIENT_FUNDS", 1: "INVALID_AMOUNT", 2: "INSUFFICIENT_FUNDS", 3: "INSUFFICIENT_FUNDS", 4: "ACCOUNT_CLOSED"}
 
 
 def test_debit_boundaries():
