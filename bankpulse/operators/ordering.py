@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -23,14 +25,35 @@ def working_folder(spark: SparkSession) -> str:
     return spark.conf.get("bankpulse.local.folder")
 
 
-def written(frame: DataFrame) -> DataFrame:
+_STAGES: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
+
+
+def written(frame: DataFrame, keep: bool = False) -> DataFrame:
     """Write once to the shared folder and read back: later uses see the same rows in
-    the same layout, no lineage is kept, and a lost executor costs nothing."""
+    the same layout, no lineage is kept, and a lost executor costs nothing. With ``keep``,
+    ``temporary_stages`` leaves it alone."""
     path = f"{working_folder(frame.sparkSession)}/stage-{uuid.uuid4().hex}"
+    if not keep:
+        _STAGES.setdefault(frame.sparkSession, []).append(path)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Remove, on the way out, the steps that were written inside. What reads them must have
+    been written or collected by then."""
+    stages = _STAGES.setdefault(spark, [])
+    before = len(stages)
+    try:
+        yield
+    finally:
+        for path in stages[before:]:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        del stages[before:]
+
+
 def numbered(frame: DataFrame, *keys: Column, name: str = "rn") -> DataFrame:
     """Add ``name`` = 1, 2, ... in ``keys`` order over the whole frame, and ``n_rows``.
 

@@ -8,6 +8,7 @@ from bankpulse import schemas
 from bankpulse.operators.activity import v_account_activity
 from bankpulse.operators.integrity import quality_gate
 from bankpulse.operators.monthly import v_monthly_kpis
+from bankpulse.operators.ordering import temporary_stages
 from bankpulse.operators.star import Star
 from bankpulse.params import AnalysisParams
 from bankpulse.sources.files import read_crm_csv, read_typed_csv
@@ -50,11 +51,12 @@ def run(spark: SparkSession, step: str, delivery: str, layer: str, star: str, pa
     if step not in STEPS:
         raise ValueError(f"step must be one of {STEPS}")
     counts: dict[str, int] = {}
-    if step in ("all", "load"):
-        counts |= write_layer(file_tables(spark, delivery), layer)
-    tables = LayerTables(spark, layer)
-    if step in ("all", "load", "quality"):
-        quality_gate(tables)
-    if step in ("all", "star"):
-        counts |= write_star(Star(tables, params), star)
+    with temporary_stages(spark):
+        if step in ("all", "load"):
+            counts |= write_layer(file_tables(spark, delivery), layer)
+        tables = LayerTables(spark, layer)
+        if step in ("all", "load", "quality"):
+            quality_gate(tables)
+        if step in ("all", "star"):
+            counts |= write_star(Star(tables, params), star)
     return counts

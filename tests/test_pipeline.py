@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from bankpulse.operators.constraints import single_period_row
 from bankpulse.operators.integrity import QualityGateError, integrity_checks, quality_gate
 from bankpulse.operators.measures import measures
 from bankpulse.operators.monthly import v_monthly_kpis
+from bankpulse.operators.ordering import working_folder
 from bankpulse.operators.star import Star, calendar
 from bankpulse.plans import pipeline
 from bankpulse.plans.named import NAMED, run_query
@@ -166,9 +168,12 @@ def test_columns_are_found_by_header(spark, tmp_path):
 
 
 def test_rebuild_twice(spark, journey, params, tmp_path):
+    folder = Path(working_folder(spark).removeprefix("file:"))
     for _ in range(2):
         deliver(spark, journey, tmp_path / "in")
+        before = set(folder.iterdir())
         counts = pipeline.run(spark, "all", str(tmp_path / "in"), str(tmp_path / "layer"), str(tmp_path / "star"), params)
+        assert set(folder.iterdir()) == before  # written steps are gone with the run
     assert read_star(spark, str(tmp_path / "star"), "dim_compte").count() == counts["dim_compte"] == 3
 
 
