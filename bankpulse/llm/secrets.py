@@ -18,7 +18,7 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankpulse.llm.common import pick, small_side, table
+from bankpulse.llm.common import let, pick, small_side, table
 from bankpulse.llm.spans import SPAN, Kind, bare, count_of, joined, occurrences
 from bankpulse.operators.ordering import written
 
@@ -123,8 +123,8 @@ def scan(docs: DataFrame, kinds: list[Kind] = KINDS) -> DataFrame:
     texts = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
     full = [bare(occurrences(F.col("text"), k, i)) for i, k in enumerate(kinds) if i not in queries]
-    present = F.filter(F.array(*map(F.lit, vocabulary)), lambda t: F.contains(F.col("folded"), t))
-    rows = written(texts.withColumn("folded", F.lower("text")).select(
+    present = let(F.lower("text"), lambda folded: F.filter(F.array(*map(F.lit, vocabulary)), lambda t: F.contains(folded, t)))
+    rows = written(texts.select(
         "doc_id", "text_key", F.concat(F.array().cast(SPAN), *full).alias("scanned"), present.alias("trigrams")
     ))
     index = rows.select(F.explode("trigrams").alias("trigram"), "doc_id", "text_key")
