@@ -80,7 +80,9 @@ def pieces(docs: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
 
 def fill(sizes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number of each piece and the tokens before it there; sizes: a row per piece,
-    tokens first, none above ``room``. Pieces of equal sizes are taken in their order."""
+    tokens first; one above ``room`` raises. Pieces of equal sizes are taken in their order."""
+    if (sizes > room).any():
+        raise ValueError("a piece is larger than a sequence may be")
     kinds, kind_of, left = np.unique(sizes, axis=0, return_inverse=True, return_counts=True)
     members = np.argsort(kind_of.ravel(), kind="stable")
     taken = np.concatenate([[0], np.cumsum(left)[:-1]])
@@ -119,8 +121,6 @@ def pack(
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "start", "place"], kind="stable").reset_index(drop=True)
         sizes = np.column_stack([group["length"], np.ones(len(group), np.int64), group["loss"]]).astype(np.int64)
-        if (sizes > room).any():
-            raise ValueError("a piece is larger than a sequence may be")
         sequence, group["offset"] = fill(sizes, room)
         group["sequence_id"] = (int(group["bucket"].iloc[0]) << 32) + sequence
         return group.drop(columns="bucket")

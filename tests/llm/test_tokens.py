@@ -82,9 +82,11 @@ def test_packing(odd_docs, small_docs, no_docs):
 
 def test_limits_hold_together():
     rng = np.random.default_rng(3)
-    tokens = rng.integers(1, 200, 500)
+    tokens = rng.integers(1, 180, 500)
     sizes = np.column_stack([tokens, np.ones(500, np.int64), tokens - rng.integers(0, tokens)])
     room = np.array([256, 6, 180])
+    with pytest.raises(ValueError, match="larger"):
+        fill(np.array([[10, 1, 181]]), room)
     sequence, offset = fill(sizes, room)
     for s in range(sequence.max() + 1):
         assert (sizes[sequence == s].sum(axis=0) <= room).all()
