@@ -32,7 +32,7 @@ GROWTH = math.log((1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR))
 SMALLEST = 1e-6
 SPREADS = 6.0
 #: measure -> slack added to the limit
-UPPER = {"symbols_per_word": 0.25, "dup_lines_per_word": 0.02, "repeated_share": 0.15, "chars_per_word": 4.0}
+UPPER = {"symbols_per_word": 0.25, "dup_lines_per_word": 0.05, "repeated_share": 0.35, "chars_per_word": 4.0}
 LOWER = {"chars_per_word": 1.5}
 STRATUM = ["lang_key", "source_key"]
 
