@@ -113,7 +113,7 @@ def test_patterns_discover_identifiers(spark):
 
 def test_redaction_leaves_other_text(odd_docs, odd_rows):
     rows = {r.doc_id: r.text for r in pii.redact(odd_docs).collect()}
-    assert rows[10].== "mail <EMAIL><EMAIL>, <IP>.<IP> <PHONE>, <CARD>, 300.1.1.1"
+    assert rows[10] == "mail <EMAIL><EMAIL>, <IP>.<IP> <PHONE>, <CARD>, 300.1.1.1"
     for doc_id, text, *_ in odd_rows:
         if doc_id in (1, 2, 3, 5, 9):
             assert rows[doc_id] == text
