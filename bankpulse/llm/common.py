@@ -54,13 +54,13 @@ def let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of the batches that hold about CHUNK_BYTES of text each, whole rows."""
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold about ``most`` bytes of text each, whole rows."""
     for batch in batches:
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
         start, held = 0, 0
         for at, size in enumerate(sizes):
-            if at > start and held + size > CHUNK_BYTES:
+            if at > start and held + size > most:
                 yield batch.slice(start, at - start)
                 start, held = at, 0
             held += size
