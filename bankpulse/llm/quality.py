@@ -6,7 +6,11 @@ a quantile sketch counts values in buckets of geometric width (2 % relative erro
 add up, so tasks sketch their rows and Spark adds the counts. The limit is the upper quartile
 plus a multiple of the distance between the quartiles, and an absolute slack, so that a group
 without spread rejects nothing near it; words are also checked against the lower side. The
-limits are joined to the documents and all rules are applied together.
+sketches are also added up by language and over the corpus. The limit of a group is the stricter
+of its own and that of the level above, so that junk above a quarter of a source, or a source of
+a few rows, does not set its own limit. Only a group of ``MIN_ROWS`` rows or more of which three
+quarters are past the limit above keeps its own: it differs as a whole. The limits are joined to
+the documents and all rules are applied together.
 
 Null texts have no words and fail. Null languages and sources form groups of their own.
 Rows are kept one for one; repeated rows get equal verdicts.
@@ -31,6 +35,8 @@ RELATIVE_ERROR = 0.02
 GROWTH = math.log((1 + RELATIVE_ERROR) / (1 - RELATIVE_ERROR))
 SMALLEST = 1e-6
 SPREADS = 6.0
+#: Rows that a group needs to differ as a whole from the level above.
+MIN_ROWS = 20
 #: measure -> slack added to the limit
 UPPER = {"symbols_per_word": 0.25, "dup_lines_per_word": 0.05, "repeated_share": 0.35, "chars_per_word": 4.0}
 LOWER = {"chars_per_word": 1.5}
@@ -119,14 +125,14 @@ def sketches(stats: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per language and source: ``high`` and ``low`` maps from measure to limit."""
-    group = [*STRATUM, "measure"]
+def own_limits(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """Per ``keys`` and measure: all (rows), q1, q3, and the limits high and low that they give."""
+    group = [*keys, "measure"]
     order = W.partitionBy(*group).orderBy(F.col("bucket").asc_nulls_first())
     value = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(
         2 * F.exp(F.col("bucket") * GROWTH) / (F.exp(F.lit(GROWTH)) + 1)
     )
-    ranked = sketch.withColumns({
+    ranked = sketch.groupBy(*group, "bucket").agg(F.sum("rows").alias("rows")).withColumns({
         "value": value,
         "until": F.sum("rows").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)),
         "all": F.sum("rows").over(W.partitionBy(*group)),
@@ -135,10 +141,28 @@ def thresholds(sketch: DataFrame) -> DataFrame:
         name: F.min(F.when(F.col("until") >= F.col("all") * share, F.col("value")))
         for name, share in (("q1", 0.25), ("q3", 0.75))
     }
-    cuts = ranked.groupBy(*group).agg(*[c.alias(name) for name, c in quartile.items()])
+    cuts = ranked.groupBy(*group).agg(F.first("all").alias("all"), *[c.alias(name) for name, c in quartile.items()])
     spread = SPREADS * (F.col("q3") - F.col("q1"))
     pick_slack = lambda slacks: F.create_map(*[F.lit(x) for pair in slacks.items() for x in pair])[F.col("measure")]
-    limits = cuts.withColumns({"high": F.col("q3") + spread + pick_slack(UPPER), "low": F.col("q1") - spread - pick_slack(LOWER)})
+    return cuts.withColumns({"high": F.col("q3") + spread + pick_slack(UPPER), "low": F.col("q1") - spread - pick_slack(LOWER)})
+
+
+def below(limits: DataFrame, above: DataFrame, keys: list[str]) -> DataFrame:
+    """``limits`` with those of the level ``above`` (joined by ``keys``) where these are stricter;
+    a large group that differs from them as a whole keeps its own."""
+    outer = above.select(*keys, F.col("high").alias("outer_high"), F.col("low").alias("outer_low"))
+    large = F.col("all") >= MIN_ROWS
+    return limits.join(outer, keys).withColumns({
+        "high": F.when(large & (F.col("q1") > F.col("outer_high")), F.col("high")).otherwise(F.least("high", "outer_high")),
+        "low": F.when(large & (F.col("q3") < F.col("outer_low")), F.col("low")).otherwise(F.greatest("low", "outer_low")),
+    }).drop("outer_high", "outer_low")
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """One row per language and source: columns high_ and low_ with the limit of each measure."""
+    corpus = own_limits(sketch, [])
+    language = below(own_limits(sketch, STRATUM[:1]), corpus, ["measure"])
+    limits = below(own_limits(sketch, STRATUM), language, [*STRATUM[:1], "measure"])
     return limits.groupBy(*STRATUM).agg(*[
         F.max(F.when(F.col("measure") == name, F.col(side))).alias(f"{side}_{name}")
         for side, names in (("high", UPPER), ("low", LOWER)) for name in names
@@ -158,7 +182,7 @@ def passes(m: Column) -> Column:
 
 def judged(stats: DataFrame, rows: DataFrame) -> DataFrame:
     """``rows`` with the limits that ``stats`` gives, and ``kept``."""
-    limits = written(thresholds(sketches(stats)))
+    limits = written(thresholds(written(sketches(stats))))
     return rows.join(small_side(limits), STRATUM, "left").withColumn("kept", passes(F.col("m")))
 
 

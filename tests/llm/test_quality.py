@@ -66,3 +66,17 @@ def test_sketches_add_up_and_are_near(spark):
     q1, q3 = (values[int(np.ceil(p * len(values))) - 1] for p in (0.25, 0.75))
     high = thresholds(sketches(stats)).first().high_chars_per_word
     assert abs(high - (q3 + 6 * (q3 - q1) + 4)) < 0.05 * q3 * 13
+
+
+def marked(seed):
+    return " ".join(w + "&%" for w in prose(seed, 120).split())
+
+
+def test_junk_does_not_set_the_limit_of_its_source(spark):
+    rows = [(1000 * s + i, prose(1000 * s + i, 120), "en", f"s{s}", 1) for s in range(6) for i in range(40)]
+    junk = [(10_000 + 100 * d + i, marked(100 * d + i), "en", f"dirty{d}", 1) for d, n in enumerate((12, 18, 24)) for i in range(n)]
+    rows += [(20_000 + 100 * d + i, prose(100 * d + i, 120), "en", f"dirty{d}", 1) for d, n in enumerate((28, 22, 16)) for i in range(n)]
+    junk += [(30_000, marked(1), "en", "single", 1), (30_001, marked(2), "xx", "alone", 1), (30_002, marked(3), None, None, 1)]
+    rows += [(40_000 + i, marked(i), "en", "another habit", 1) for i in range(40)]
+    kept = {r.doc_id for r in keep_good(spark.createDataFrame(rows + junk, SCHEMA)).collect()}
+    assert kept == {r[0] for r in rows}
