@@ -2,27 +2,26 @@
 
 Matches of the fixed patterns are seeds. A lexical pattern is the two words before an
 identifier; an instance is an identifier-like token (a digit or @, 6 to 64 characters). The
-bipartite graph of patterns and instances over the whole corpus is scored in rounds: a pattern
-scores the mean of its instances for a kind, an instance the noisy-or of its patterns; seeds
-stay 1 for their kind and 0 for others. Patterns with enough distinct seeds and a mean above
-the limit discover: tokens after them that no base span touches become spans of that kind.
+confidence of a pattern for a kind is the share of seeds of that kind among its uses, whatever
+follows, and among the distinct identifiers after it; the lesser counts, so copies do not help.
+A pattern never learns from what it discovers itself. Patterns with enough distinct seeds and a
+confidence at the limit discover: tokens after them that no base span touches become spans of
+that kind.
 
 Edges are counted once per distinct pair before they move, so a frequent pattern or a group of
-copies adds few rows. Null and empty texts have no spans. Rows are kept one for one.
+copies adds few rows. Uses followed by plain words are counted in the texts, for those patterns
+only that the identifiers alone would let through. Null and empty texts have no spans. Rows are kept one for one.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bankpulse.llm.common import documents, pick, small_side, table
+from bankpulse.llm.common import documents, let, pick, small_side, table
 from bankpulse.llm.spans import SPAN, Kind, bare, count_of, joined, masked, occurrences
 from bankpulse.operators.ordering import written
 
-ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 
@@ -68,44 +67,58 @@ def narrow(rows: DataFrame) -> DataFrame:
     return written(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
-def discovered(rows: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """row -> added: spans that the patterns discover."""
-    seeds = rows.select(F.explode("base").alias("x")).select(
-        context(F.col("x.before")).alias("pattern"), F.col("x.found").alias("instance"), F.col("x.kind").alias("kind")
-    ).where(F.col("pattern").isNotNull()).distinct()
+def uses(docs: DataFrame, patterns: DataFrame) -> DataFrame:
+    """pattern -> followed: how often a word follows the two words, for the given patterns."""
+    def pairs(words: Column) -> Column:
+        return F.when(F.size(words) > 2, F.transform(
+            F.sequence(F.lit(0), F.size(words) - 3),
+            lambda i: F.lower(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1))),
+        ))
+
+    words = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(r"\S+"), F.lit(0))
+    every = docs.select(F.explode(let(words, pairs)).alias("pattern"))
+    return every.join(small_side(patterns), "pattern").groupBy("pattern").agg(F.count("*").alias("followed"))
+
+
+def discovered(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """row -> added: spans that the patterns discover; ``docs`` has the texts of the rows."""
+    before = F.col("x.before")
+    seeds = written(
+        rows.select(F.explode("base").alias("x"))
+        .select(context(before).alias("pattern"), F.col("x.found").alias("instance"), F.col("x.kind").alias("kind"), before.rlike(r"\S$").alias("glued"))
+        .where(F.col("pattern").isNotNull())
+        .groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n"), F.count_if("glued").alias("glued"))
+    )
     # a token belongs to the graph unless a base span touches it: that one is there as a seed
     free = F.filter("tokens", lambda t: ~F.exists("base", lambda b: (b.start < t.end) & (t.start < b.end)))
     loose = rows.select("row", F.explode(free).alias("t")).select(
         "row", "t.start", "t.end", context(F.col("t.before")).alias("pattern"), F.col("t.found").alias("instance")
     ).where(F.col("pattern").isNotNull())
     loose = written(loose)
-    edges = loose.groupBy("pattern", "instance").agg(F.count("*").alias("n")).drop("n")
+    edges = written(loose.groupBy("pattern", "instance").agg(F.count("*").alias("n")))
     size = (
-        seeds.select("pattern", "instance").union(edges).distinct()
-        .groupBy("pattern").agg(F.count("*").alias("instances"))
+        seeds.select("pattern", "instance", "n", "glued").union(edges.withColumn("glued", F.lit(0)))
+        .groupBy("pattern", "instance").agg(F.sum("n").alias("n"), F.sum("glued").alias("glued"))
+        .groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("n").alias("uses"), F.sum("glued").alias("glued"))
     )
-    support = seeds.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-
-    def patterns(scores: DataFrame | None) -> DataFrame:
-        parts = [support.select("pattern", "kind", F.col("seeds").cast("double").alias("mass"))]
-        if scores is not None:
-            reached = edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
-            parts.append(reached)
-        mass = reduce(DataFrame.union, parts).groupBy("pattern", "kind").agg(F.sum("mass").alias("mass"))
-        return mass.join(size, "pattern").select(
-            "pattern", "kind", F.least(F.lit(1.0), F.col("mass") / F.col("instances")).alias("confidence")
-        )
-
-    scores = None
-    for _ in range(rounds):
-        known = patterns(scores)
-        miss = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
-        scores = edges.join(known, "pattern").groupBy("instance", "kind").agg((1 - F.exp(miss)).alias("score"))
-        scores = written(scores)
-    trusted = patterns(scores).join(support, ["pattern", "kind"]).where(
-        (F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds)
-    ).groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
-    return loose.join(trusted, "pattern").groupBy("row").agg(
+
+    def trusted(size: DataFrame) -> DataFrame:
+        mass = seeds.groupBy("pattern", "kind").agg(F.sum("n").alias("mass"), F.count("*").alias("seeds"))
+        share = F.least(F.col("mass") / F.col("uses"), F.col("seeds") / F.col("instances"))
+        return mass.where(F.col("seeds") >= min_seeds).join(size, "pattern").withColumn("confidence", share).where(
+            F.col("confidence") >= min_confidence
+        ).select("pattern", "kind", "confidence")
+
+    # whatever the other uses are, only these can be at the limit
+    able = written(size.join(edges.select("pattern"), "pattern", "left_semi").join(trusted(size).select("pattern"), "pattern", "left_semi"))
+    known = trusted(able)
+    if not able.isEmpty():
+        counted = uses(docs, able.select("pattern"))
+        known = trusted(written(able.join(counted, "pattern", "left").withColumn(
+            "uses", F.greatest("uses", F.coalesce("followed", F.lit(0)) + F.col("glued"))
+        )))
+    best = known.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
+    return loose.join(best, "pattern").groupBy("row").agg(
         F.collect_list(F.struct("start", "kind", "end")).cast(SPAN).alias("added")
     )
 
@@ -122,8 +135,9 @@ def report(rows: DataFrame) -> DataFrame:
 
 
 def extract(docs: DataFrame) -> DataFrame:
-    rows = narrow(found(pick(docs, "doc_id", "text")).drop("text"))
-    added = written(discovered(rows))
+    texts = pick(docs, "doc_id", "text")
+    rows = narrow(found(texts).drop("text"))
+    added = written(discovered(rows, texts))
     return report(rows.select("row", "doc_id", bare(F.col("base")).alias("base")).join(small_side(added), "row", "left"))
 
 
@@ -133,7 +147,7 @@ def redact(docs: DataFrame) -> DataFrame:
     keep = documents(docs).columns
     key = ["doc_id", F.xxhash64("text").alias("text_key")]
     rows = narrow(found(documents(docs)).select(*key, "base", "tokens"))
-    added = rows.select("row", "doc_id", "text_key").join(discovered(rows), "row").groupBy("doc_id", "text_key").agg(
+    added = rows.select("row", "doc_id", "text_key").join(discovered(rows, documents(docs)), "row").groupBy("doc_id", "text_key").agg(
         F.first("added").alias("added")
     )
     added = small_side(written(added)).withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "hashed")

@@ -111,6 +111,26 @@ def test_patterns_discover_identifiers(spark):
     assert masked[205] == rows[46][1]
 
 
+def added(spark, texts):
+    """Spans of each text beyond the base ones, as kind and text."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.extract(docs).collect()}
+    own = [set(joined(base(t, PII), PII).split(",")) for t in texts]
+    spans = [s.split(":") for i in range(len(texts)) for s in sorted(set(rows[i].spans.split(",")) - own[i])]
+    cut = iter([i for i in range(len(texts)) for _ in set(rows[i].spans.split(",")) - own[i]])
+    return [(kind, texts[next(cut)][int(start):int(end)]) for kind, start, end in spans]
+
+
+def test_patterns_need_the_stated_share_of_their_uses(spark):
+    seeds = lambda n, cue: [f"so {cue} user{i}@host.example then" for i in range(n)]
+    assert not added(spark, seeds(3, "contact order") + [f"so contact order 10000{i} then" for i in range(6)])
+    assert not added(spark, seeds(100, "write to") + [f"so write to 10{i:05} then" for i in range(200)])
+    # plain words after the context count, copies of a seed do not help
+    assert not added(spark, seeds(5, "send it") + ["so send it user7[at]host then"] + ["so send it home then"] * 4)
+    assert not added(spark, seeds(3, "ask at") * 40 + [f"so ask at 10000{i} then" for i in range(6)])
+    assert added(spark, seeds(8, "mail me:") + ["so mail me: user9[at]host then", "so mail me: home then"]) == [("email", "user9[at]host")]
+
+
 def test_redaction_leaves_other_text(odd_docs, odd_rows):
     rows = {r.doc_id: r.text for r in pii.redact(odd_docs).collect()}
     assert rows[10] == "mail <EMAIL><EMAIL>, <IP>.<IP> <PHONE>, <CARD>, 300.1.1.1"
