@@ -51,15 +51,15 @@ TOKEN = Kind("token", r"(?<!\S)(?=\S{0,63}[0-9@])\S{6,64}(?!\S)")
 
 
 def context(before: Column) -> Column:
-    """The last two words, lower case; null if there are not two."""
-    return F.nullif(F.lower(F.regexp_replace(F.regexp_extract(before, r"(\S+\s+\S+)\s*$", 1), r"\s+", " ")), F.lit(""))
+    """The two words, lower case; null if there are not two."""
+    return F.nullif(F.lower(F.regexp_replace(before, r"\s+", " ")), F.lit(""))
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """Add ``base`` (spans with what was found and the text before) and ``tokens``."""
+    """Add ``base`` (spans with what was found and the words before) and ``tokens``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.flatten(F.array(*[occurrences(text, k, i) for i, k in enumerate(KINDS)]))
-    return docs.withColumn("base", base).withColumn("tokens", occurrences(text, TOKEN, 0))
+    base = F.flatten(F.array(*[occurrences(text, k, i, words=True) for i, k in enumerate(KINDS)]))
+    return docs.withColumn("base", base).withColumn("tokens", occurrences(text, TOKEN, 0, words=True))
 
 
 def narrow(rows: DataFrame) -> DataFrame:
@@ -82,10 +82,9 @@ def uses(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def discovered(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """row -> added: spans that the patterns discover; ``docs`` has the texts of the rows."""
-    before = F.col("x.before")
     seeds = written(
         rows.select(F.explode("base").alias("x"))
-        .select(context(before).alias("pattern"), F.col("x.found").alias("instance"), F.col("x.kind").alias("kind"), before.rlike(r"\S$").alias("glued"))
+        .select(context(F.col("x.before")).alias("pattern"), F.col("x.found").alias("instance"), F.col("x.kind").alias("kind"), "x.glued")
         .where(F.col("pattern").isNotNull())
         .groupBy("pattern", "instance", "kind").agg(F.count("*").alias("n"), F.count_if("glued").alias("glued"))
     )

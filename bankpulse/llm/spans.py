@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from bankpulse.llm.common import let
 
 SPAN = "array<struct<start:int,kind:int,end:int>>"
-FOUND = "array<struct<start:int,kind:int,end:int,found:string,before:string>>"
+FOUND = "array<struct<start:int,kind:int,end:int,found:string,before:string,glued:boolean>>"
 BLOCK = 64
+#: Characters, then matches, that are looked back for the words before a match.
 CONTEXT = 64
+LOOK_BACK = [0, 2, 16, 128, 1024, 1 << 30]
+TWO_WORDS = r"(\S++\s++\S++)\s*+$"
 
 
 @dataclass(frozen=True)
@@ -46,20 +49,38 @@ def before_each(lengths: Column) -> Column:
     return F.when(F.size(lengths) == 0, F.array().cast("array<int>")).otherwise(let(blocks, of_blocks))
 
 
-def occurrences(text: Column, kind: Kind, number: int) -> Column:
-    """All valid matches, with the text found and the text just before it. The pattern splits
-    the text into gaps; gaps and matches in turn give the places. Texts without a match cost
-    one search, or the gate alone."""
+def words_before(gaps: Column, units: Column, i: Column) -> Column:
+    """The two words before match ``i``, or empty; a part of a word counts that the match ends.
+    ``units`` are gap and match in turn. Only as much text is put together as it takes."""
+    def within(text: Column) -> Column:
+        return F.nullif(F.regexp_extract(text, rf"(?<=\s){TWO_WORDS}", 1), F.lit(""))
+
+    gap = F.get(gaps, i)
+    tries = [within(F.right(gap, F.lit(CONTEXT)))]
+    for back in LOOK_BACK:
+        count = F.least(i, F.lit(back))
+        text = F.concat(F.array_join(F.slice(units, i - count + 1, count), ""), gap)
+        tries.append(F.when(i <= back, F.regexp_extract(text, rf"(?<!\S){TWO_WORDS}", 1)).otherwise(within(text)))
+    return F.coalesce(*tries)
+
+
+def occurrences(text: Column, kind: Kind, number: int, words: bool = False) -> Column:
+    """All valid matches, with the text found and, if asked, the two words just before it
+    (``before``, spaced as there; empty if there are not two). The pattern splits the text into
+    gaps; gaps and matches in turn give the places. Texts without a match cost one search, or
+    the gate alone."""
     pattern = F.lit(kind.pattern)
 
     def located(gaps: Column, found: Column) -> Column:
         steps = F.transform(found, lambda x, i: F.length(F.get(gaps, i)) + F.length(x))
-        return let(steps, lambda s: let(before_each(s), lambda starts: F.transform(found, lambda x, i: F.struct(
+        units = F.transform(found, lambda x, i: F.concat(F.get(gaps, i), x)) if words else F.lit(None)
+        return let(F.struct(steps.alias("s"), units.alias("u")), lambda c: let(before_each(c.s), lambda starts: F.transform(found, lambda x, i: F.struct(
             (F.get(starts, i) + F.length(F.get(gaps, i))).alias("start"),
             F.lit(number).alias("kind"),
-            (F.get(starts, i) + F.get(s, i)).alias("end"),
+            (F.get(starts, i) + F.get(c.s, i)).alias("end"),
             x.alias("found"),
-            F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("before"),
+            (words_before(gaps, c.u, i) if words else F.lit(None).cast("string")).alias("before"),
+            (F.get(gaps, i).rlike(r"\S$") | ((F.get(gaps, i) == "") & (i > 0))).alias("glued"),
         ))))
 
     every = let(F.split(text, kind.pattern, -1), lambda gaps: let(

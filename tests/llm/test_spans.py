@@ -131,6 +131,35 @@ def test_patterns_need_the_stated_share_of_their_uses(spark):
     assert added(spark, seeds(8, "mail me:") + ["so mail me: user9[at]host then", "so mail me: home then"]) == [("email", "user9[at]host")]
 
 
+def words_before(text: str, start: int) -> str | None:
+    found = re.search(r"(?<!\S)(\S+)\s+(\S+)\s*\Z", text[:start])
+    return f"{found[1]} {found[2]}".lower() if found else None
+
+
+def test_context_comes_from_the_whole_text(spark):
+    long_word = "w" * 300
+    texts = [
+        "Konto 12345678 Konto 87654321 Konto 11112222", "2024-01-02 Tel: 12345678\n22345678\t32345678  42345678",
+        f"see {long_word} {long_word} 12345678 a@b.c d@e.f", "a@b.c,d@e.f,g@h.i,j@k.l m@n.o", "one" + " " * 200 + "two" + "\n" * 99 + "12345678",
+        "to all: " + ",".join(f"1.2.3.{i}" for i in range(200)), "12345678", "a 12345678", "", "mail a.b@c.de (+1 415 555 2671) +1 415 555 2672",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = 0
+    for r in pii.found(docs).withColumn("every", F.concat("base", "tokens")).select(
+        "text", F.transform("every", lambda x: F.struct(x.start, pii.context(x.before), x.glued)).alias("every")
+    ).collect():
+        for start, pattern, glued in r.every:
+            assert pattern == words_before(r.text, start), (r.text[:50], start)
+            assert glued == bool(r.text[:start] and not r.text[start - 1].isspace())
+            seen += 1
+    assert seen > 200
+    lists = [" ".join(f"see mail u{i}{j}@host.example" for j in range(4)) for i in range(5)]
+    assert added(spark, lists + ["filler 123456 see mail u9[at]host"]) == [("email", "u9[at]host")]
+    # the context holds the identifier before it
+    same = [f"100000 Konto user{i}@host.example" for i in range(8)]
+    assert added(spark, same + ["so 100000 Konto user9[at]host"]) == [("email", "user9[at]host")]
+
+
 def test_redaction_leaves_other_text(odd_docs, odd_rows):
     rows = {r.doc_id: r.text for r in pii.redact(odd_docs).collect()}
     assert rows[10] == "mail <EMAIL><EMAIL>, <IP>.<IP> <PHONE>, <CARD>, 300.1.1.1"
