@@ -1,12 +1,13 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction of further identifiers.
 
 Matches of the fixed patterns are seeds. A lexical pattern is the two words before an
-identifier; an instance is an identifier-like token (a digit or @, 6 to 64 characters). The
-confidence of a pattern for a kind is the share of seeds of that kind among its uses, whatever
+identifier; an instance is an identifier-like token (a digit or @, 6 to 64 characters without
+spaces, or groups of digits, dots, dashes and brackets joined by single spaces, of which one in
+two neighbours at least is shorter than 6 characters). The confidence of a pattern for a kind is the share of seeds of that kind among its uses, whatever
 follows, and among the distinct identifiers after it; the lesser counts, so copies do not help.
-A pattern never learns from what it discovers itself. Patterns with enough distinct seeds and a
-confidence at the limit discover: tokens after them that no base span touches become spans of
-that kind.
+Patterns with enough distinct seeds and a confidence at the limit discover: tokens after them
+that no base span touches become spans of that kind, and the same tokens count as seeds for all
+other patterns, until no pattern is added. A pattern never learns from what it alone discovers.
 
 Edges are counted once per distinct pair before they move, so a frequent pattern or a group of
 copies adds few rows. Uses followed by plain words are counted in the texts, for those patterns
@@ -47,7 +48,11 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda x: F.length(_digits(x)).between(9, 15), lambda t: t.contains("+")),
 ]
 NAMES = [k.name for k in KINDS]
-TOKEN = Kind("token", r"(?<!\S)(?=\S{0,63}[0-9@])\S{6,64}(?!\S)")
+_SHORT = r"(?:[(\[][0-9][0-9().\[\]/-]{0,3}|[0-9][0-9().\[\]/-]{0,4})"
+_GROUP = r"[(\[]?[0-9][0-9().\[\]/-]{0,15}"
+#: Groups that end before a space or a mark, else one run without spaces.
+_GROUPS = rf"(?=\S+\x20[(\[]?[0-9])(?:{_GROUP}\x20)?{_SHORT}(?:\x20{_SHORT}){{0,4}}(?:\x20{_GROUP})?(?![^\s,;:!?])"
+TOKEN = Kind("token", rf"(?<!\S)(?:{_GROUPS}|(?=\S{{0,63}}[0-9@])\S{{6,64}}(?!\S))", lambda x: F.length(x) >= 6)
 
 
 def context(before: Column) -> Column:
@@ -101,19 +106,36 @@ def discovered(rows: DataFrame, docs: DataFrame, min_seeds: int = MIN_SEEDS, min
         .groupBy("pattern").agg(F.count("*").alias("instances"), F.sum("n").alias("uses"), F.sum("glued").alias("glued"))
     )
 
-    def trusted(size: DataFrame) -> DataFrame:
-        mass = seeds.groupBy("pattern", "kind").agg(F.sum("n").alias("mass"), F.count("*").alias("seeds"))
+    def trusted(size: DataFrame, known: DataFrame | None = None) -> DataFrame:
+        evidence = seeds.select("pattern", "kind", "n")
+        if known is not None:
+            votes = edges.join(known, "pattern").groupBy("instance", "kind").agg(
+                F.count("*").alias("votes"), F.min("pattern").alias("voter")
+            )
+            learnt = edges.join(votes, "instance").where((F.col("votes") > 1) | (F.col("voter") != F.col("pattern")))
+            evidence = evidence.union(learnt.select("pattern", "kind", "n"))
+        mass = evidence.groupBy("pattern", "kind").agg(F.sum("n").alias("mass"), F.count("*").alias("seeds"))
         share = F.least(F.col("mass") / F.col("uses"), F.col("seeds") / F.col("instances"))
         return mass.where(F.col("seeds") >= min_seeds).join(size, "pattern").withColumn("confidence", share).where(
             F.col("confidence") >= min_confidence
         ).select("pattern", "kind", "confidence")
 
+    def all_trusted(size: DataFrame) -> DataFrame:
+        """Evidence only grows, so the patterns do, until a round adds none."""
+        known = written(trusted(size))
+        count, last = known.count(), 0
+        while count > last:
+            known, last = written(trusted(size, known.select("pattern", "kind"))), count
+            count = known.count()
+        return known
+
     # whatever the other uses are, only these can be at the limit
-    able = written(size.join(edges.select("pattern"), "pattern", "left_semi").join(trusted(size).select("pattern"), "pattern", "left_semi"))
-    known = trusted(able)
+    size = written(size.join(edges.select("pattern"), "pattern", "left_semi"))
+    able = written(size.join(all_trusted(size).select("pattern"), "pattern", "left_semi"))
+    known = able.select("pattern", F.lit(0).alias("kind"), F.lit(0.0).alias("confidence"))
     if not able.isEmpty():
         counted = uses(docs, able.select("pattern"))
-        known = trusted(written(able.join(counted, "pattern", "left").withColumn(
+        known = all_trusted(written(able.join(counted, "pattern", "left").withColumn(
             "uses", F.greatest("uses", F.coalesce("followed", F.lit(0)) + F.col("glued"))
         )))
     best = known.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))

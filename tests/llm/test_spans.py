@@ -160,6 +160,26 @@ def test_context_comes_from_the_whole_text(spark):
     assert added(spark, same + ["so 100000 Konto user9[at]host"]) == [("email", "user9[at]host")]
 
 
+def test_discovered_identifiers_are_seeds_and_have_groups(spark):
+    known = [f"so write to user{i}@host.example then" for i in range(40)]
+    first = [f"so write to friend{i}[at]host then" for i in range(4)]  # discovered by the base matches
+    second = [f"so reply at friend{i}[at]host then" for i in range(4)] + ["so reply at pal8[at]host then"]  # by the first
+    third = [f"so copy for friend{i}[at]host then" for i in range(2)] + ["so copy for 123456 then"] * 2  # two seeds do not do
+    found = added(spark, known + first + second + third)
+    wanted = [f"friend{i}[at]host" for i in range(4)]
+    assert found == [("email", w) for w in [*wanted, *wanted, "pal8[at]host"]]
+    # own discoveries do not raise a pattern
+    assert not added(spark, known[:3] + first)
+    cards = [f"so the card 411111111111111{i} {i}" for i in range(10)]
+    phones = [f"so please call +1 415 555 26{i} now" for i in range(10, 40)]
+    spaced = ["so please call (415) 555 2671 now", "so please call 030 1234567, now", "so please call 1234567 7654321 now"]
+    found = added(spark, cards + phones + spaced)
+    assert found == [("phone", "(415) 555 2671"), ("phone", "030 1234567"), ("phone", "1234567")]
+    numbers = " ".join(str(i) for i in range(10_000, 10_400)) + " card 4111 1111 1111 1112 and 12 34 1 2 3, 2024-01-02"
+    row = pii.found(spark.createDataFrame([(1, numbers)], "doc_id long, text string")).select("tokens").first().tokens
+    assert [x.found for x in row][-3:] == ["4111 1111 1111 1112", "12 34 1 2 3", "2024-01-02"]
+
+
 def test_redaction_leaves_other_text(odd_docs, odd_rows):
     rows = {r.doc_id: r.text for r in pii.redact(odd_docs).collect()}
     assert rows[10] == "mail <EMAIL><EMAIL>, <IP>.<IP> <PHONE>, <CARD>, 300.1.1.1"
