@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from bankpulse.llm import (
-    language_id, mixing, neighbours, ngram_join, packing, pii, quality, secrets, sharding, token_counts,
+    language_id, licenses, mixing, neighbours, ngram_join, packing, periodic, pii, quality, secrets, sharding,
+    token_counts, variants,
 )
 
 QUERIES = {
@@ -17,6 +18,12 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_secrets": secrets.op10_secrets,
+    "op11_licenses": licenses.op11_licenses,
+    "op12_variants": variants.op12_variants,
+    "op13_periodic_runs": periodic.op13_periodic_runs,
 }
 
-CHECKS = {"op3_sharding": sharding.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op7_mixing": mixing.ORACLE}
+CHECKS = {
+    "op3_sharding": sharding.ORACLE, "op6_ngram_join": ngram_join.ORACLE, "op7_mixing": mixing.ORACLE,
+    "op12_variants": variants.ORACLE,
+}

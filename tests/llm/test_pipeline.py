@@ -15,7 +15,7 @@ from tests.llm.test_tokens import check_packing
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(registry.queries())
-    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 11))
+    assert [int(q[2:].split("_")[0]) for q in QUERIES] == list(range(1, 14))
     assert corpus_pipeline.ORACLE_SQL is None
 
 
