@@ -68,7 +68,7 @@ def found(docs: DataFrame) -> DataFrame:
 
 
 def narrow(rows: DataFrame) -> DataFrame:
-    """Without the text, with a row number, written once."""
+    """With a row number, written once."""
     return written(rows.withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -163,19 +163,13 @@ def extract(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """The documents with all spans masked in the text. Rows that gained spans are found by
-    doc_id and a hash of the text, so texts are not written on the way."""
+    """The documents with all spans masked in the text. Texts are written once beside their
+    spans: finding those costs far more, and the graph reads the spans alone."""
     keep = documents(docs).columns
-    key = ["doc_id", F.xxhash64("text").alias("text_key")]
-    rows = narrow(found(documents(docs)).select(*key, "base", "tokens"))
-    added = rows.select("row", "doc_id", "text_key").join(discovered(rows, documents(docs)), "row").groupBy("doc_id", "text_key").agg(
-        F.first("added").alias("added")
-    )
-    added = small_side(written(added)).withColumnRenamed("doc_id", "id").withColumnRenamed("text_key", "hashed")
-    again = found(documents(docs)).drop("tokens").withColumn("text_key", F.xxhash64("text"))
-    both = again.join(added, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("hashed")), "left")
+    rows = narrow(found(documents(docs)))
+    added = small_side(written(discovered(rows.select("row", "base", "tokens"), rows.select("text"))))
     spans = F.concat(bare(F.col("base")), F.coalesce("added", F.array().cast(SPAN)))
-    return both.withColumn("text", masked(F.col("text"), spans, NAMES)).select(*keep)
+    return rows.join(added, "row", "left").withColumn("text", masked(F.col("text"), spans, NAMES)).select(*keep)
 
 
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
