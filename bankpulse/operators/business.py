@@ -130,17 +130,17 @@ def activity_months(tables: BankTables, params: AnalysisParams) -> DataFrame:
     )
 
 
-def cohort_cells(tables: BankTables, params: AnalysisParams, *by: str) -> DataFrame:
+def cohort_cells(tables: BankTables, params: AnalysisParams, *by: str, months: DataFrame | None = None) -> DataFrame:
     """Active accounts per cohort key and month since opening, with the cohort size.
 
-    Only the account profile is read next to the log. Cohort sizes have one row per
+    Only the account profile is read next to the log, or next to ``months`` if these are known. Cohort sizes have one row per
     calendar month (and channel), so they are safe to broadcast.
     """
     profile = account_profile(tables, params).select("account_id", *by)
     sizes = profile.groupBy(*by).agg(F.count("*").alias("cohort_size"))
     elapsed = months_between_firsts(F.col("cohort_month"), F.col("activity_month"))
     return (
-        profile.join(activity_months(tables, params), "account_id")
+        profile.join(activity_months(tables, params) if months is None else months, "account_id")
         .groupBy(*by, elapsed.alias("months_since_opening"))
         .agg(F.count("*").alias("active_accounts"))
         .join(F.broadcast(sizes), list(by))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankpulse import vocabulary as vocab
 from bankpulse.functions.activity import customer_activity, failed, is_event, succeeded
 from bankpulse.functions.dates import month_of
-from bankpulse.functions.numbers import MONEY, money, one_if
+from bankpulse.functions.numbers import MONEY, money
 from bankpulse.functions.text import labelled
 from bankpulse.operators.activity import account_measures
 from bankpulse.operators.business import ELIGIBLE_DAYS, cohort_cells, funded_open
@@ -41,35 +43,52 @@ def _dimension(measures: DataFrame, params: AnalysisParams, *more: str) -> DataF
     )
 
 
-def account_month_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def operation_rows(tables: BankTables, params: AnalysisParams) -> DataFrame:
+    """What facts need of each logged operation; ``attempts`` is 1."""
+    return tables.operation_log(until=params.period_end).select(
+        "account_id", month_of(F.col("created_at")).alias("month_start"), "event_type", "status",
+        F.coalesce("failure_reason", F.lit("NONE")).alias("failure_reason"), F.coalesce(customer_activity(), F.lit(False)).alias("active"),
+        F.lit(1).cast("bigint").alias("attempts"), F.col("amount_requested").alias("amount"),
+    )
+
+
+def money_rows(tables: BankTables, params: AnalysisParams) -> DataFrame:
+    """What facts need of each card payment and deposit; ``payments`` is 1."""
+    spent = F.col("txn_type") == "CARD_PAYMENT"
+    return tables.transactions(until=params.period_end).where(spent | (F.col("txn_type") == "DEPOSIT")).select(
+        F.when(spent, F.col("from_account_id")).otherwise(F.col("to_account_id")).alias("account_id"),
+        month_of(F.col("created_at")).alias("month_start"), "txn_type", "merchant_category",
+        F.lit(1).cast("bigint").alias("payments"), "amount",
+    )
+
+
+def states(rows: DataFrame, count: str) -> DataFrame:
+    """The rows added up by everything but their count and amount. States of any split of the
+    log add up to the same, and facts of states are those of the rows."""
+    keys = [c for c in rows.columns if c not in (count, "amount")]
+    return rows.groupBy(*keys).agg(F.sum(count).alias(count), F.sum("amount").alias("amount"))
+
+
+def account_month_fact(operations: DataFrame, money_flows: DataFrame) -> DataFrame:
     """One row per account and month with an operation. Log and money rows share one
     grouping; months with money but no logged operation are left out."""
-    card, active = is_event("CARD_PAYMENT"), customer_activity()
-    operations = (
-        tables.operation_log(until=params.period_end)
-        .where(F.col("account_id").isNotNull())
-        .select(
-            "account_id", month_of(F.col("created_at")).alias("month_start"),
-            F.lit(True).alias("logged"),
-            one_if(active).alias("customer_operations"),
-            one_if(card & succeeded()).alias("card_payments"),
-            one_if(card & failed()).alias("declined_card_payments"),
-        )
+    card = is_event("CARD_PAYMENT")
+    times = lambda what: F.when(what, F.col("attempts")).otherwise(0)
+    logged = operations.where(F.col("account_id").isNotNull()).select(
+        "account_id", "month_start", F.lit(True).alias("logged"),
+        times(F.col("active")).alias("customer_operations"),
+        times(card & succeeded()).alias("card_payments"),
+        times(card & failed()).alias("declined_card_payments"),
     )
     spent, deposited = F.col("txn_type") == "CARD_PAYMENT", F.col("txn_type") == "DEPOSIT"
-    flows = (
-        tables.transactions(until=params.period_end)
-        .where(spent | deposited)
-        .select(
-            F.when(spent, F.col("from_account_id")).otherwise(F.col("to_account_id")).alias("account_id"),
-            month_of(F.col("created_at")).alias("month_start"),
-            F.when(spent, F.col("amount")).alias("card_spend"),
-            F.when(deposited, F.col("amount")).alias("deposits"),
-        )
+    flows = money_flows.select(
+        "account_id", "month_start",
+        F.when(spent, F.col("amount")).alias("card_spend"),
+        F.when(deposited, F.col("amount")).alias("deposits"),
     )
     counts = ["customer_operations", "card_payments", "declined_card_payments"]
     return (
-        operations.unionByName(flows, allowMissingColumns=True)
+        logged.unionByName(flows, allowMissingColumns=True)
         .groupBy("account_id", "month_start")
         .agg(
             F.max("logged").alias("logged"),
@@ -90,18 +109,11 @@ def _account_channels(tables: BankTables) -> DataFrame:
     return tables.accounts().select("account_id", "customer_id").join(holders, "customer_id").drop("customer_id")
 
 
-def operations_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def operations_fact(tables: BankTables, operations: DataFrame) -> DataFrame:
     """Counted per account first, so that the channel lookup joins one row per account,
     month and outcome instead of the log itself."""
     keys = ["month_start", "event_type", "status", "failure_reason"]
-    per_account = (
-        tables.operation_log(until=params.period_end)
-        .groupBy(
-            "account_id", month_of(F.col("created_at")).alias("month_start"), "event_type", "status",
-            F.coalesce("failure_reason", F.lit("NONE")).alias("failure_reason"),
-        )
-        .agg(F.count("*").alias("attempts"), F.sum("amount_requested").alias("amount"))
-    )
+    per_account = operations.groupBy("account_id", *keys).agg(F.sum("attempts").alias("attempts"), F.sum("amount").alias("amount"))
     return (
         per_account.join(_account_channels(tables), "account_id", "left")
         .withColumn("signup_channel", F.coalesce("signup_channel", F.lit("UNKNOWN")))
@@ -111,15 +123,11 @@ def operations_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
     )
 
 
-def card_spend_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def card_spend_fact(tables: BankTables, money_flows: DataFrame) -> DataFrame:
     per_account = (
-        tables.transactions(until=params.period_end)
-        .where(F.col("txn_type") == "CARD_PAYMENT")
-        .groupBy(
-            F.col("from_account_id").alias("account_id"), month_of(F.col("created_at")).alias("month_start"),
-            F.col("merchant_category").alias("category_code"),
-        )
-        .agg(F.count("*").alias("payments"), F.sum("amount").alias("amount"))
+        money_flows.where(F.col("txn_type") == "CARD_PAYMENT")
+        .groupBy("account_id", "month_start", F.col("merchant_category").alias("category_code"))
+        .agg(F.sum("payments").alias("payments"), F.sum("amount").alias("amount"))
     )
     per_code = (
         per_account.join(_account_channels(tables), "account_id")
@@ -131,9 +139,12 @@ def card_spend_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
     )
 
 
-def retention_fact(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def retention_fact(tables: BankTables, params: AnalysisParams, operations: DataFrame) -> DataFrame:
     """A cohort and channel without any active account in a month has no row."""
-    return cohort_cells(tables, params, "cohort_month", "signup_channel").select(
+    months = operations.where(F.col("active") & F.col("account_id").isNotNull()).select(
+        "account_id", F.col("month_start").alias("activity_month")
+    ).distinct()
+    return cohort_cells(tables, params, "cohort_month", "signup_channel", months=months).select(
         "cohort_month", "signup_channel", "months_since_opening", "active_accounts", "cohort_size"
     )
 
@@ -148,12 +159,20 @@ class Star:
 
     def __init__(self, tables: BankTables, params: AnalysisParams) -> None:
         self.tables, self.params = tables, params
+        self.operations, self.money = operation_rows(tables, params), money_rows(tables, params)
+
+    def with_steps(self) -> Star:
+        """The same star with its facts made from written states, for exporting all tables."""
+        star = Star(self.tables, self.params)
+        star.operations = written(states(self.operations, "attempts"))
+        star.money = written(states(self.money, "payments"))
+        return star
 
     @property
     def accounts(self) -> DataFrame:
         return self._labelled_accounts(account_dimension(self.tables, self.params))
 
-    @property
+    @cached_property
     def dim_compte(self) -> DataFrame:
         """The account measures are written once; ranking reads three narrow columns of
         them, and each account then finds its segment without a join."""
@@ -195,12 +214,8 @@ class Star:
     @property
     def dim_mois(self) -> DataFrame:
         """Every month from the first to the last with an account operation."""
-        span = (
-            self.tables.operation_log(until=self.params.period_end)
-            .where(F.col("account_id").isNotNull())
-            .agg(F.min("created_at").alias("first"), F.max("created_at").alias("last"))
-        )
-        return calendar(span.select(month_of(F.col("first")).alias("first"), month_of(F.col("last")).alias("last")))
+        month = F.col("month_start")
+        return calendar(self.operations.where(F.col("account_id").isNotNull()).agg(F.min(month).alias("first"), F.max(month).alias("last")))
 
     @property
     def dim_canal(self) -> DataFrame:
@@ -209,7 +224,7 @@ class Star:
 
     @property
     def fait_activite_mensuelle(self) -> DataFrame:
-        return account_month_fact(self.tables, self.params).select(
+        return account_month_fact(self.operations, self.money).select(
             F.col("account_id").alias("Id compte"),
             F.col("month_start").alias("Mois"),
             F.col("is_customer_active").cast("int").alias("Client actif"),
@@ -224,7 +239,7 @@ class Star:
     def fait_operations(self) -> DataFrame:
         event = labelled(F.col("event_type"), vocab.EVENT_LABELS)
         reason = labelled(F.col("failure_reason"), vocab.REASON_LABELS)
-        return operations_fact(self.tables, self.params).select(
+        return operations_fact(self.tables, self.operations).select(
             F.col("month_start").alias("Mois"),
             F.col("signup_channel").alias("Code canal"),
             event.alias("Type opération"),
@@ -237,7 +252,7 @@ class Star:
 
     @property
     def fait_depenses_carte(self) -> DataFrame:
-        return card_spend_fact(self.tables, self.params).select(
+        return card_spend_fact(self.tables, self.money).select(
             F.col("month_start").alias("Mois"),
             F.col("signup_channel").alias("Code canal"),
             F.col("category").alias("Catégorie"),
@@ -248,7 +263,7 @@ class Star:
 
     @property
     def fait_retention_cohortes(self) -> DataFrame:
-        return retention_fact(self.tables, self.params).select(
+        return retention_fact(self.tables, self.params, self.operations).select(
             F.col("cohort_month").alias("Mois ouverture"),
             F.date_format("cohort_month", "yyyy-MM").alias("Cohorte"),
             F.col("signup_channel").alias("Code canal"),

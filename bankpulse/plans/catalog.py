@@ -79,6 +79,32 @@ def _scan_operational_csv(t: ParquetFixture) -> DataFrame:
     return files.read_typed_csv(t.spark, path, schemas.OPERATION_LOG)
 
 
+def _scan_mixed_delivery(t: ParquetFixture) -> DataFrame:
+    """A delivery of three folders: columns in order, columns reversed, and files with lines
+    that lack a field or have an amount that is none. All lines come back, read or rejected."""
+    folder = _scratch(t)
+    log = t.operation_log()
+    columns = log.columns
+    bad = F.col("operation_id") % 401 < 3
+    files.write_typed_csv(log.where(~bad & (F.col("operation_id") % 2 == 0)), f"{folder}/ordered")
+    files.write_typed_csv(log.where(~bad & (F.col("operation_id") % 2 == 1)).select(*reversed(columns)), f"{folder}/reversed")
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns}
+    short = F.concat_ws(",", *[text[c] for c in columns[:-1]])
+    untyped = F.concat_ws(",", *[F.lit("much") if c == "amount_requested" else text[c] for c in columns])
+    line = F.when(F.col("operation_id") % 401 == 0, short).otherwise(untyped)
+    header = F.when(F.monotonically_increasing_id() % (1 << 33) == 0, ",".join(columns) + "\n").otherwise("")
+    damaged = log.where(bad).repartition(4, "operation_id").select(F.concat(header, line).alias("value"))
+    damaged.write.text(f"{folder}/damaged")
+    paths = [f"{folder}/{part}" for part in ("ordered", "reversed", "damaged")]
+    accepted = files.read_typed_csv(t.spark, paths, schemas.OPERATION_LOG).groupBy(F.col("event_type").alias("name")).agg(
+        F.count("*").alias("lines"), F.sum("amount_requested").cast("decimal(18,2)").alias("amount"), F.max("created_at").alias("latest")
+    )
+    rejected = files.rejected_lines(t.spark, paths, schemas.OPERATION_LOG).groupBy(F.col("reason").alias("name")).agg(
+        F.count("*").alias("lines"), F.lit(None).cast("decimal(18,2)").alias("amount"), F.lit(None).cast("timestamp_ntz").alias("latest")
+    )
+    return accepted.select(F.lit("accepted").alias("kind"), "*").union(rejected.select(F.lit("rejected"), "*"))
+
+
 def _scan_parquet_tables(t: ParquetFixture) -> DataFrame:
     folder = _scratch(t)
     layer.write_layer(t, folder)
@@ -118,6 +144,7 @@ def _scan_star_schema(t: ParquetFixture) -> DataFrame:
 SOURCES: dict[str, Job] = {
     "scan_crm_staging": _scan_crm_staging,
     "scan_operational_csv": _scan_operational_csv,
+    "scan_mixed_delivery": _scan_mixed_delivery,
     "scan_parquet_tables": _scan_parquet_tables,
     "load_operational": _load_operational,
     "register_views": _register_views,

@@ -29,10 +29,10 @@ NAMED: dict[str, Job] = {
     "q11_dormancy_watchlist": business.dormancy_watchlist,
     "q12_rfm_base": business.rfm_base,
     "pbi_dim_account": star.account_dimension,
-    "pbi_fact_account_month": star.account_month_fact,
-    "pbi_fact_operations": star.operations_fact,
-    "pbi_fact_card_spend": star.card_spend_fact,
-    "pbi_fact_retention": star.retention_fact,
+    "pbi_fact_account_month": lambda t, p: star.account_month_fact(star.operation_rows(t, p), star.money_rows(t, p)),
+    "pbi_fact_operations": lambda t, p: star.operations_fact(t, star.operation_rows(t, p)),
+    "pbi_fact_card_spend": lambda t, p: star.card_spend_fact(t, star.money_rows(t, p)),
+    "pbi_fact_retention": lambda t, p: star.retention_fact(t, p, star.operation_rows(t, p)),
 }
 
 

@@ -1,8 +1,11 @@
-"""Batch rebuild: files -> layer -> quality gate -> star schema."""
+"""Batch rebuild: files -> staged layer -> quality gate -> published layer -> star schema."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bankpulse import schemas
 from bankpulse.operators.activity import v_account_activity
@@ -11,22 +14,27 @@ from bankpulse.operators.monthly import v_monthly_kpis
 from bankpulse.operators.ordering import temporary_stages
 from bankpulse.operators.star import Star
 from bankpulse.params import AnalysisParams
-from bankpulse.sources.files import read_crm_csv, read_typed_csv
-from bankpulse.sources.layer import LayerTables, write_layer, write_star
+from bankpulse.sources.files import read_crm_csv, read_typed_csv, rejected_crm_lines, rejected_lines
+from bankpulse.sources.layer import LayerTables, publish, retire, stage_layer, write_star
 from bankpulse.tables import BankTables, FrameTables
 
 STEPS = ("all", "load", "quality", "star")
 
 
+TYPED = {"accounts": schemas.ACCOUNTS, "operation_log": schemas.OPERATION_LOG, "transactions": schemas.TRANSACTIONS}
+
+
 def file_tables(spark: SparkSession, folder: str) -> BankTables:
     """The four extract files of a delivery folder."""
-    return FrameTables(
-        spark,
-        staging=read_crm_csv(spark, f"{folder}/customers_crm_export.csv"),
-        accounts=read_typed_csv(spark, f"{folder}/accounts.csv", schemas.ACCOUNTS),
-        operation_log=read_typed_csv(spark, f"{folder}/operation_log.csv", schemas.OPERATION_LOG),
-        transactions=read_typed_csv(spark, f"{folder}/transactions.csv", schemas.TRANSACTIONS),
-    )
+    typed = {name: read_typed_csv(spark, f"{folder}/{name}.csv", schema) for name, schema in TYPED.items()}
+    return FrameTables(spark, staging=read_crm_csv(spark, f"{folder}/customers_crm_export.csv"), **typed)
+
+
+def delivery_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """table_name, file, reason, line of the lines of a delivery that cannot be read."""
+    rejects = {"stg_customers_raw": rejected_crm_lines(spark, f"{folder}/customers_crm_export.csv")}
+    rejects |= {name: rejected_lines(spark, f"{folder}/{name}.csv", schema) for name, schema in TYPED.items()}
+    return reduce(DataFrame.union, [r.select(F.lit(name).alias("table_name"), "file", "reason", "line") for name, r in rejects.items()])
 
 
 def register_views(tables: BankTables, params: AnalysisParams) -> None:
@@ -46,16 +54,25 @@ def register_views(tables: BankTables, params: AnalysisParams) -> None:
 
 
 def run(spark: SparkSession, step: str, delivery: str, layer: str, star: str, params: AnalysisParams) -> dict[str, int]:
-    """Run one step or all; raises ``QualityGateError`` before anything is exported.
-    Returns the rows written per table."""
+    """Run one step or all; returns the rows written per table, rejected lines included.
+
+    A load is written beside the published layer and replaces it only after the gate: a run that
+    fails before or at the gate (``QualityGateError``) leaves the layer and the star as they were.
+    """
     if step not in STEPS:
         raise ValueError(f"step must be one of {STEPS}")
     counts: dict[str, int] = {}
     with temporary_stages(spark):
         if step in ("all", "load"):
-            counts |= write_layer(file_tables(spark, delivery), layer)
+            name, counts = stage_layer(file_tables(spark, delivery), layer)
+            rejects = f"{layer}/{name}/rejected_lines"
+            delivery_rejects(spark, delivery).write.parquet(rejects)
+            counts["rejected_lines"] = spark.read.parquet(rejects).count()
+            quality_gate(LayerTables(spark, layer, name))
+            publish(spark, layer, name)
+            retire(spark, layer)
         tables = LayerTables(spark, layer)
-        if step in ("all", "load", "quality"):
+        if step == "quality":
             quality_gate(tables)
         if step in ("all", "star"):
             counts |= write_star(Star(tables, params), star)

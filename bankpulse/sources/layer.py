@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +18,47 @@ from bankpulse.tables import BankTables
 LOGS = ("operation_log", "transactions")
 
 
+_PUBLISHED = "seq bigint, run string"
+
+
+def published_runs(spark: SparkSession, folder: str) -> list[str]:
+    """The runs that were published, the current one first."""
+    try:
+        rows = spark.read.schema(_PUBLISHED).parquet(f"{folder}/published").collect()  # a row per run
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return [r.run for r in sorted(rows, key=lambda r: (r.seq, r.run), reverse=True)]
+
+
+def publish(spark: SparkSession, folder: str, run: str) -> None:
+    """Make a written run the one that readers see. The step is the appearance of one file, so
+    there is no moment without a whole layer."""
+    before = spark.read.schema(_PUBLISHED).parquet(f"{folder}/published") if published_runs(spark, folder) else None
+    seq = 1 + (before.agg(F.max("seq")).first()[0] if before else 0)
+    spark.createDataFrame([(seq, run)], _PUBLISHED).coalesce(1).write.mode("append").parquet(f"{folder}/published")
+
+
+def retire(spark: SparkSession, folder: str, keep: int = 2) -> None:
+    """Remove the tables of all but the latest runs; readers of the one before can end."""
+    for run in published_runs(spark, folder)[keep:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{run}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class LayerTables(BankTables):
-    """Reads a folder written by ``write_layer``. As-of reads skip whole month folders."""
+    """Reads the published run of a folder, or the given one. As-of reads skip whole month
+    folders. The run is chosen once, so a reader sees one state throughout."""
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    def __init__(self, spark: SparkSession, folder: str, run: str | None = None) -> None:
         super().__init__(spark)
-        self.folder = folder.rstrip("/")
+        if run is None:
+            runs = published_runs(spark, folder.rstrip("/"))
+            if not runs:
+                raise FileNotFoundError(f"nothing is published in {folder}")
+            run = runs[0]
+        self.folder = f"{folder.rstrip('/')}/{run}"
 
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
@@ -58,23 +95,23 @@ def _counted(frame: DataFrame, name: str, write) -> tuple[str, int]:
     return name, seen.get["rows"]
 
 
-def write_layer(tables: BankTables, folder: str) -> dict[str, int]:
-    """Write the tables in key order. The two logs go to month folders; inside a month
-    rows are range-partitioned by account and time, so files carry narrow account
-    ranges and a busy month or account is split over tasks."""
+def stage_layer(tables: BankTables, folder: str) -> tuple[str, dict[str, int]]:
+    """Write the tables in key order as a new run that no reader sees yet; its name and the rows
+    per table. The two logs go to month folders; inside a month rows are range-partitioned by
+    account and time, so files carry narrow account ranges and a busy month or account is split
+    over tasks."""
+    run = f"run-{uuid.uuid4().hex}"
 
     def plain(frame: DataFrame, name: str):
-        return _counted(frame, name, lambda f: f.write.mode("overwrite").parquet(f"{folder}/{name}"))
+        return _counted(frame, name, lambda f: f.write.parquet(f"{folder}/{run}/{name}"))
 
     def by_month(frame: DataFrame, name: str, account: str):
         month = F.trunc(F.col("created_at").cast("date"), "MONTH")
         placed = frame.withColumn("month", month).repartitionByRange("month", account, "created_at", "operation_id")
-        return _counted(
-            placed, name, lambda f: f.write.mode("overwrite").partitionBy("month").parquet(f"{folder}/{name}")
-        )
+        return _counted(placed, name, lambda f: f.write.partitionBy("month").parquet(f"{folder}/{run}/{name}"))
 
     holder = F.coalesce("from_account_id", "to_account_id")
-    return dict([
+    return run, dict([
         plain(stamped(tables.staging()), "stg_customers_raw"),
         plain(tables.categories(), "ref_merchant_categories"),
         plain(tables.customers(), "customers"),
@@ -84,8 +121,17 @@ def write_layer(tables: BankTables, folder: str) -> dict[str, int]:
     ])
 
 
+def write_layer(tables: BankTables, folder: str) -> dict[str, int]:
+    """Write and publish at once; rows per table."""
+    run, counts = stage_layer(tables, folder)
+    publish(tables.spark, folder, run)
+    return counts
+
+
 def write_star(star: Star, folder: str) -> dict[str, int]:
-    """Every dimension and fact as CSV with a header; returns rows per table."""
+    """Every dimension and fact as CSV with a header; returns rows per table. All tables are
+    made from the same written steps, so each log is read twice in all."""
+    star = star.with_steps()
     return dict(
         _counted(getattr(star, name), name, lambda f, name=name: write_typed_csv(f, f"{folder}/{name}"))
         for name in schemas.STAR

@@ -10,6 +10,12 @@ CHECKS: dict[str, str] = {}
 
 CHECKS["scan_crm_staging"] = check(["stg_customers_raw"], "SELECT * FROM stg_customers_raw")
 CHECKS["scan_operational_csv"] = check(["operation_log"], "SELECT * FROM operation_log")
+CHECKS["scan_mixed_delivery"] = check(["operation_log"], f"""
+SELECT 'accepted' AS kind, event_type AS name, {n('count(*)')} AS lines, CAST(sum(amount_requested) AS DECIMAL(18,2)) AS amount, max(created_at) AS latest
+FROM operation_log WHERE operation_id % 401 >= 3 GROUP BY event_type
+UNION ALL
+SELECT 'rejected', CASE WHEN operation_id % 401 = 0 THEN 'WRONG_LENGTH' ELSE 'WRONG_TYPE' END, {n('count(*)')}, NULL, NULL
+FROM operation_log WHERE operation_id % 401 < 3 GROUP BY 2""")
 CHECKS["scan_parquet_tables"] = check(["operation_log"], f"""
 SELECT event_type, {n('count(*)')} AS operations FROM operation_log WHERE created_at <= {END} GROUP BY event_type""")
 _LAYER = {

@@ -14,11 +14,13 @@ from bankpulse.operators.integrity import QualityGateError, integrity_checks, qu
 from bankpulse.operators.measures import measures
 from bankpulse.operators.monthly import v_monthly_kpis
 from bankpulse.operators.ordering import working_folder
-from bankpulse.operators.star import Star, calendar
+from bankpulse.operators.star import Star, calendar, states
 from bankpulse.plans import pipeline
 from bankpulse.plans.named import NAMED, run_query
-from bankpulse.sources.files import read_crm_csv, read_typed_csv, write_crm_csv, write_typed_csv
-from bankpulse.sources.layer import LayerTables, read_star
+from bankpulse.sources.files import (
+    read_crm_csv, read_typed_csv, rejected_crm_lines, rejected_lines, write_crm_csv, write_typed_csv,
+)
+from bankpulse.sources.layer import LayerTables, published_runs, read_star
 from bankpulse.vocabulary import CHECK_LABELS, NOT_SEGMENTED
 
 
@@ -134,6 +136,56 @@ def test_the_gate_stops_the_rebuild(spark, journey, params, tmp_path):
     with pytest.raises(QualityGateError):
         pipeline.run(spark, "all", str(tmp_path / "in"), str(tmp_path / "layer"), str(tmp_path / "star"), params)
     assert not (tmp_path / "star").exists()
+    with pytest.raises(FileNotFoundError):
+        LayerTables(spark, str(tmp_path / "layer"))
+
+
+def test_a_failed_run_leaves_the_published_layer(spark, journey, params, tmp_path, monkeypatch):
+    delivery, layer, star = (str(tmp_path / name) for name in ("in", "layer", "star"))
+    deliver(spark, journey, tmp_path / "in")
+    pipeline.run(spark, "all", delivery, layer, star, params)
+    reader = LayerTables(spark, layer)
+    wanted = sorted(v_account_activity(reader, params).collect())
+    exported = {name: sorted(map(str, read_star(spark, star, name).collect())) for name in schemas.STAR}
+
+    def unchanged():
+        assert LayerTables(spark, layer).folder == reader.folder
+        assert sorted(v_account_activity(LayerTables(spark, layer), params).collect()) == wanted
+        assert exported == {name: sorted(map(str, read_star(spark, star, name).collect())) for name in schemas.STAR}
+
+    edit(journey.accounts, 0, _4=Decimal("1.00"))
+    deliver(spark, journey, tmp_path / "in")
+    with pytest.raises(QualityGateError):  # at the gate
+        pipeline.run(spark, "all", delivery, layer, star, params)
+    unchanged()
+    edit(journey.accounts, 0, _4=Decimal("150.00"))
+    journey.operations.append((70, 1, "LOGIN", "SUCCESS", None, "APP", None, journey.operations[4][7]))
+    deliver(spark, journey, tmp_path / "in")
+    with monkeypatch.context() as broken:  # in the middle of the load
+        broken.setattr("bankpulse.sources.layer.stamped", lambda staging: staging.select("no such column"))
+        with pytest.raises(Exception, match="no such column"):
+            pipeline.run(spark, "load", delivery, layer, star, params)
+    unchanged()
+    with open(tmp_path / "in" / "transactions.csv" / "extra.csv", "w") as more:
+        more.write("transaction_id,operation_id,txn_type,from_account_id,to_account_id,amount,merchant_category,created_at\nx,,,,,,,\n1,2\n")
+    counts = pipeline.run(spark, "load", delivery, layer, star, params)
+    assert counts["rejected_lines"] == 2 and LayerTables(spark, layer).folder != reader.folder
+    assert LayerTables(spark, layer).operation_log().count() == 1 + reader.operation_log().count()
+    pipeline.run(spark, "load", delivery, layer, star, params)
+    kept = [f for f in (tmp_path / "layer").iterdir() if f.name.startswith("run-") and (f / "transactions").exists()]
+    assert len(published_runs(spark, layer)) == 3 and {f.name for f in kept} >= set(published_runs(spark, layer)[:2])
+    assert not (tmp_path / "layer" / published_runs(spark, layer)[2]).exists()
+
+
+def test_states_add_up(spark, journey, params):
+    """Facts of written states, and of states of parts of the log, are those of the log."""
+    plain = Star(journey.tables(spark), params)
+    for star in (plain.with_steps(), Star(journey.tables(spark), params)):
+        halves = [states(star.operations.where(F.col("status") == s), "attempts") for s in ("SUCCESS", "FAILED")]
+        star.operations = halves[0].union(halves[1])
+        for name in ("dim_mois", "fait_activite_mensuelle", "fait_operations", "fait_depenses_carte", "fait_retention_cohortes"):
+            assert sorted(map(str, getattr(star, name).collect())) == sorted(map(str, getattr(plain, name).collect()))
+    assert plain.dim_compte is plain.dim_compte
 
 
 def test_month_folders_outside_the_period_are_skipped(spark, journey, params, tmp_path):
@@ -163,8 +215,37 @@ def test_columns_are_found_by_header(spark, tmp_path):
     rows = read_typed_csv(spark, str(tmp_path / "typed.csv"), "a bigint, b timestamp_ntz").collect()
     assert [(r.a, str(r.b)) for r in rows] == [(7, "2025-01-01 10:00:00"), (None, "None")]
     (tmp_path / "bad.csv").write_text("a,b\nseven,2025-01-01 10:00:00\n", encoding="utf-8")
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        read_typed_csv(spark, str(tmp_path / "bad.csv"), "a bigint, b timestamp_ntz").collect()
+    assert read_typed_csv(spark, str(tmp_path / "bad.csv"), "a bigint, b timestamp_ntz").count() == 0
+    with pytest.raises(ValueError, match="no column"):
+        read_typed_csv(spark, str(tmp_path / "bad.csv"), "a bigint, c bigint")
+
+
+def test_files_of_a_folder_keep_their_own_header(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b,note\n1,2.50,x\n3,,\"two\nlines, one \"\"field\"\"\"\n", encoding="utf-8")
+    (folder / "2.csv").write_text("b,note,a\n7.25,y,5\n8.00,6\n9.00,z,six\n1,2,3,4\n", encoding="utf-8")
+    (folder / "3.csv").write_text("\ufeffnote,a,b\nz,9,0.5\n", encoding="utf-8")
+    (folder / "4.csv").write_text("", encoding="utf-8")
+    schema = "a bigint, b decimal(8,2), note string"
+    rows = sorted(tuple(r) for r in read_typed_csv(spark, str(folder), schema, line_breaks=True).collect())
+    assert rows == [
+        (1, Decimal("2.50"), "x"), (3, None, 'two\nlines, one "field"'), (5, Decimal("7.25"), "y"), (9, Decimal("0.50"), "z"),
+    ]
+    rejects = rejected_lines(spark, str(folder), schema, line_breaks=True).collect()
+    assert sorted((r.reason, r.line) for r in rejects) == [("WRONG_LENGTH", "1,2,3,4"), ("WRONG_LENGTH", "8.00,6"), ("WRONG_TYPE", "six,9.00,z")]
+    assert {r.file.rsplit("/", 1)[1] for r in rejects} == {"2.csv"} and rejected_lines(spark, str(folder), schema, True).count() == 3
+    assert read_typed_csv(spark, [str(folder / "1.csv"), str(folder / "3.csv")], schema, True).count() == 3
+
+
+def test_lines_the_crm_export_cannot_be_read_from(spark, tmp_path):
+    header = "crm_customer_id;first_name;last_name;email;birth_date;city;signup_channel;updated_at"
+    (tmp_path / "a.csv").write_text(f'{header}\n1;"Zoé;\nAnne";Petit;;;Lyon;web;2025-01-01 00:00:00\n2;short\n', encoding="utf-8")
+    backwards = ";".join(reversed(header.split(";")))
+    (tmp_path / "b.csv").write_text(f"{backwards}\n2025-01-02 00:00:00;web;Lyon;;;Durand;Bob;3\n", encoding="utf-8")
+    rows = sorted((r.crm_customer_id, r.first_name, r.last_name, r.birth_date) for r in read_crm_csv(spark, str(tmp_path)).collect())
+    assert rows == [("1", "Zoé;\nAnne", "Petit", ""), ("3", "Bob", "Durand", "")]
+    assert [(r.reason, r.line) for r in rejected_crm_lines(spark, str(tmp_path)).collect()] == [("WRONG_LENGTH", "2;short")]
 
 
 def test_rebuild_twice(spark, journey, params, tmp_path):
