@@ -1,59 +1,163 @@
-"""The ledger replay as a stream: the balances after each micro-batch are the state."""
+"""The ledger replay as a stream on Spark's keyed state.
+
+An account's balance is a value in the state store; attempts wait in a list there until the
+watermark has passed their moment, and are then decided in order of moment and id, as in the
+batch replay. Each micro-batch touches only the accounts that have new or due attempts. An
+attempt that arrives behind the watermark is not decided any more: ``late_attempts`` lists those.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.query import StreamingQuery
 
-from bankpulse.operators.ledger import REPLAY_SCHEMA, replay_input, replay_output, replayed
+from bankpulse.operators.ledger import decide, replay_input, replay_output
 from bankpulse.operators.ordering import working_folder, written
 
-STATE = "account_id bigint, start_cents bigint"
-
-
-def advance(root: str):
-    """Handler of a micro-batch: decide its attempts from the balances before it, write the
-    decisions, then the balances after it. Both go to folders named by the batch, written over
-    if the batch is run again, so a restart neither loses nor repeats anything. Rows are sorted
-    outside memory by Spark and streamed; a micro-batch may be of any size."""
-    def run(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
-        before = spark.createDataFrame([], STATE) if batch == 0 else spark.read.schema(STATE).parquet(f"{root}/state/{batch - 1}")
-        begun = rows.join(before, "account_id", "left").fillna(0, subset=["start_cents"])
-        path = f"{root}/decided/batch={batch}"
-        replayed(begun).write.mode("overwrite").parquet(path)
-        last = F.max_by("balance_cents", F.struct("created_at", "operation_id")).alias("end_cents")
-        moved = spark.read.schema(REPLAY_SCHEMA).parquet(path).groupBy("account_id").agg(last)
-        after = before.join(moved, "account_id", "full").select(
-            "account_id", F.coalesce("end_cents", "start_cents").alias("start_cents")
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Event time of attempts without a moment: they are decided first, and have to arrive first.
+UNKNOWN_MOMENT = 1000
+_WAITING = "due bigint, micros bigint, operation_id bigint, is_credit boolean, amount_cents bigint"
+
+
+def micros_of(moment: Column) -> Column:
+    """The zone-less moment in microseconds, as if it were UTC: the same in any session time zone."""
+    minutes = F.unix_date(moment.cast("date")).cast("long") * 1440 + F.hour(moment) * 60 + F.minute(moment)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), moment) * 1_000_000).cast("long")
+
+
+def event_time(micros: Column) -> Column:
+    """In milliseconds."""
+    return F.greatest(F.coalesce(F.call_function("div", micros, F.lit(1000)), F.lit(UNKNOWN_MOMENT)), F.lit(UNKNOWN_MOMENT)).cast("long")
+
+
+class Ledger(StatefulProcessor):
+    """Decides the attempts of one account up to the watermark."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.balance = handle.getValueState("balance", "cents bigint")
+        self.waiting = handle.getListState("waiting", _WAITING)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        last = None
+        for batch in rows:
+            due = batch["due"].astype("int64")
+            # a missing moment sorts first; pandas would turn the column into floats
+            moment = [None if pd.isna(m) else int(m) for m in batch["micros"]]
+            self.waiting.appendList(list(zip(
+                due.tolist(), moment, batch["operation_id"].tolist(), batch["is_credit"].tolist(), batch["amount_cents"].tolist(), strict=True
+            )))
+            last = due.max() if last is None else max(last, due.max())
+        if last is not None:
+            self.handle.registerTimer(int(last) - 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        passed = timerValues.getCurrentWatermarkInMs()
+        held = list(self.waiting.get())
+        ready = sorted((r for r in held if r[0] <= passed), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        rest = [tuple(r) for r in held if r[0] > passed]
+        if rest:
+            self.waiting.put(rest)
+        else:
+            self.waiting.clear()
+        if not ready:
+            return
+        balance = self.balance.get()[0] if self.balance.exists() else 0
+        decided = []
+        for _, moment, operation, credit, amount in ready:
+            reason, balance = decide(balance, credit, amount)
+            decided.append((operation, key[0], moment, reason, balance))
+        self.balance.update((balance,))
+        frame = pd.DataFrame(decided, columns=["operation_id", "account_id", "micros", "reason", "balance_cents"])
+        yield frame.astype({"micros": "Int64"})
+
+    def close(self) -> None:
+        pass
+
+
+DECIDED = "operation_id bigint, account_id bigint, micros bigint, reason string, balance_cents bigint"
+
+
+def decisions(attempts: DataFrame, lateness: str = "0 seconds") -> DataFrame:
+    """Decisions (``DECIDED``) on a stream of rows shaped like ``replay_input``."""
+    micros = micros_of(F.col("created_at"))
+    due = event_time(micros)
+    rows = attempts.select(
+        "account_id", "operation_id", "is_credit", "amount_cents",
+        micros.alias("micros"), due.alias("due"), F.timestamp_millis(due).alias("at"),
+    )
+    return rows.withWatermark("at", lateness).groupBy("account_id").transformWithStateInPandas(
+        Ledger(), DECIDED, outputMode="Append", timeMode="EventTime"
+    )
+
+
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which Spark checkpoints."""
+    before = spark.conf.get(_STORE, None)
+    spark.conf.set(_STORE, _ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_STORE)
+        else:
+            spark.conf.set(_STORE, before)
+
+
+def start(attempts: DataFrame, root: str, lateness: str = "0 seconds") -> StreamingQuery:
+    """Decide a stream of ``replay_input`` rows into ``root/decided``; ends when all that is
+    there is read, and goes on from there when started again."""
+    with keyed_state(attempts.sparkSession):
+        return (
+            decisions(attempts, lateness).writeStream.format("parquet").outputMode("append")
+            .option("path", f"{root}/decided").option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True).start()
         )
-        after.write.mode("overwrite").parquet(f"{root}/state/{batch}")
 
-    return run
 
+def decided(spark: SparkSession, root: str) -> DataFrame:
+    rows = spark.read.schema(DECIDED).parquet(f"{root}/decided")
+    since = F.expr("make_dt_interval(0, 0, 0, cast(micros as decimal(18,0)) * 0.000001)")
+    moment = (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since).alias("created_at")
+    return rows.select("operation_id", "account_id", moment, "reason", "balance_cents")
 
-def ledger_replay_stream(attempts: DataFrame, cuts: list[str]) -> DataFrame:
-    """Feed a batch of attempts through the stream in consecutive arrivals.
 
-    ``cuts`` are the moments between arrivals. The attempts are written once; each arrival is
-    appended to the input folder and drained by an ``availableNow`` run that resumes from the
-    checkpoint of the run before, so balances carry over as in continuous operation.
-    """
+def late_attempts(spark: SparkSession, root: str) -> DataFrame:
+    """What arrived in ``root/input`` behind the watermark and was therefore not decided."""
+    return spark.read.parquet(f"{root}/input").join(decided(spark, root), ["operation_id", "account_id"], "left_anti")
+
+
+def feed(attempts: DataFrame, arrivals: list[Column], root: str) -> None:
+    """Append the attempts (``replay_input`` rows) of each condition in turn to ``root/input``
+    and drain it; state carries over from one run to the next as in continuous operation."""
+    spark = attempts.sparkSession
+    for arrival in arrivals:
+        attempts.where(arrival).write.mode("append").parquet(f"{root}/input")
+        start(spark.readStream.schema(attempts.schema).parquet(f"{root}/input"), root).awaitTermination()
+
+
+def ledger_replay_stream(attempts: DataFrame, cuts: list[str]) -> DataFrame:
+    """Feed a batch of attempts through the stream in consecutive arrivals; ``cuts`` are the
+    moments between them. Attempts without a moment come with the first."""
     spark = attempts.sparkSession
     root = f"{working_folder(spark)}/ledger-{uuid.uuid4().hex}"
-    rows = written(replay_input(attempts))
     moment = F.col("created_at")
     edges = [None, *[F.lit(cut).cast("timestamp_ntz") for cut in cuts], None]
+    arrivals = []
     for begin, end in zip(edges, edges[1:]):
-        arrival = rows if begin is None else rows.where(moment >= begin)
-        arrival = arrival if end is None else arrival.where(moment < end)
-        arrival.write.mode("append").parquet(f"{root}/input")
-        query = (
-            spark.readStream.schema(rows.schema).parquet(f"{root}/input")
-            .writeStream.foreachBatch(advance(root)).option("checkpointLocation", f"{root}/checkpoint")
-            .trigger(availableNow=True).start()
-        )
-        query.awaitTermination()
-    return replay_output(spark.read.schema(REPLAY_SCHEMA).parquet(f"{root}/decided"))
+        after = F.lit(True) if begin is None else moment >= begin
+        before = F.lit(True) if end is None else moment < end
+        arrivals.append((after & before) | moment.isNull() if begin is None else after & before)
+    feed(written(replay_input(attempts)), arrivals, root)
+    return replay_output(decided(spark, root))

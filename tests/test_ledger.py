@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from bankpulse import schemas
 from bankpulse.operators.ledger import (
-    apply_balances, decide, ledger_replay, renumber_chronologically, renumber_operations, running_balance,
-    upsert_by_email,
+    apply_balances, decide, ledger_replay, renumber_chronologically, renumber_operations, replay_input,
+    running_balance, upsert_by_email,
 )
-from bankpulse.streaming.ledger_stream import ledger_replay_stream
+from bankpulse.streaming.ledger_stream import decided, feed, late_attempts, ledger_replay_stream
 
 START = datetime(2025, 1, 1)
 
@@ -87,6 +87,23 @@ def test_the_stream_gives_the_same_ledger(spark):
     assert as_outcome(ledger_replay_stream(frame(spark, rows), cuts)) == brute_force(rows)
 
 
+def test_attempts_without_a_moment_are_decided_first(spark):
+    rows = attempts(60) + [(10_000 + i, 1, "DEPOSIT", Decimal("5.00"), None) for i in range(3)]
+    found = as_outcome(ledger_replay_stream(frame(spark, rows), ["2025-01-02 00:00:00"]))
+    assert found == as_outcome(ledger_replay(frame(spark, rows))) and len(found) == 63
+
+
+def test_late_attempts_are_listed_and_change_nothing(spark, tmp_path):
+    hour = lambda h: START + timedelta(hours=h)
+    rows = [(1, 1, "DEPOSIT", Decimal("9.00"), hour(1)), (2, 1, "WITHDRAWAL", Decimal("8.00"), hour(5)), (3, 2, "DEPOSIT", Decimal("1.00"), hour(9)),
+            (4, 1, "WITHDRAWAL", Decimal("7.00"), hour(2)), (5, 1, "WITHDRAWAL", Decimal("1.00"), hour(12)), (6, 3, "DEPOSIT", None, hour(12))]
+    arrivals = [F.col("operation_id") <= 3, F.col("operation_id") > 3]
+    feed(replay_input(frame(spark, rows)), arrivals, str(tmp_path))
+    assert [r.operation_id for r in late_attempts(spark, str(tmp_path)).collect()] == [4]
+    found = {r.operation_id: (r.reason, r.balance_cents, r.created_at) for r in decided(spark, str(tmp_path)).collect()}
+    assert found == {1: ("", 900, hour(1)), 2: ("", 100, hour(5)), 3: ("", 100, hour(9)), 5: ("", 0, hour(12)), 6: ("INVALID_AMOUNT", 0, hour(12))}
+
+
 def test_replayed_balances_never_go_below_zero(spark):
     assert ledger_replay(frame(spark, attempts())).where(F.col("balance_after") < 0).count() == 0
 
