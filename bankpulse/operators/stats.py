@@ -17,11 +17,12 @@ TAIL_DEPTH = 80
 
 
 def upper_tail(chi2: Column, dof: Column) -> Column:
-    """P(X >= chi2) for up to 2 degrees of freedom, all that a table of three channels and two
-    outcomes can have; NULL beyond.
+    """P(X >= chi2) for any number of degrees of freedom: the regularised incomplete gamma
+    function at halves, as a finite sum.
 
-    Two degrees have a closed form. One needs erfc: the power series of erf near zero, else the
-    continued fraction of erfc, both to a fixed depth.
+    An even number is a sum of Poisson terms; an odd one starts from erfc: the power series of
+    erf near zero, else the continued fraction of erfc, both to a fixed depth. Terms are added
+    up from their logarithms, so none overflows.
     """
     x = F.sqrt(chi2 / 2)
 
@@ -35,7 +36,22 @@ def upper_tail(chi2: Column, dof: Column) -> Column:
     near = 1 - 2 / math.sqrt(math.pi) * F.exp(-chi2 / 2) * series
     far = F.exp(-chi2 / 2) / (F.lit(math.sqrt(math.pi)) * fraction)
     one = F.when(x < 2, near).otherwise(far)
-    return F.when(dof == 0, 1.0).when(dof == 1, one).when(dof == 2, F.exp(-chi2 / 2))
+    half, odd = chi2 / 2, dof % 2 == 1
+
+    def add(done: Column, k: Column) -> Column:
+        log = done.log + F.log(half) - F.log(k + F.when(odd, 0.5).otherwise(0.0))
+        return F.struct(log.alias("log"), (done.total + F.exp(log)).alias("total"))
+
+    # the first term is that of k = 0, for an odd number that of k = 1
+    log = F.when(odd, F.log(half) / 2 - half - math.log(math.sqrt(math.pi) / 2)).otherwise(-half)
+    first = F.struct(log.alias("log"), F.exp(log).alias("total"))
+    terms = F.call_function("div", dof - F.when(odd, 1).otherwise(0), F.lit(2)).cast("int")
+    more = F.when(terms > 1, F.sequence(F.lit(1), terms - 1)).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate(more, first, add, lambda done: done.total)
+    return (
+        F.when((dof <= 0) | (chi2 <= 0), 1.0).when(dof == 1, one)
+        .otherwise(F.least(F.lit(1.0), total + F.when(odd, one).otherwise(0.0)))
+    )
 
 
 def independence_test(detail: DataFrame) -> DataFrame:
