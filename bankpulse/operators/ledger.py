@@ -147,7 +147,8 @@ def renumber_operations(operations: DataFrame) -> DataFrame:
 def renumber_chronologically(operations: DataFrame, transactions: DataFrame) -> DataFrame:
     """Transactions with dense ids in the order of their renumbered operations; a transaction
     without an operation comes last and keeps no operation number."""
-    renumbered = renumber_operations(operations).select("operation_id", "new_operation_id")
+    keys = operations.select("operation_id", "created_at")
+    renumbered = renumber_operations(keys).select("operation_id", "new_operation_id")
     linked = transactions.select("transaction_id", "operation_id", "txn_type", "amount").join(renumbered, "operation_id", "left")
     order = [F.col("new_operation_id").asc_nulls_last(), F.col("operation_id"), F.col("transaction_id")]
     return numbered(linked, *order, name="new_transaction_id").drop("n_rows", "transaction_id")

@@ -21,6 +21,8 @@ from bankpulse.vocabulary import CATEGORIES
 
 PARAMS = AnalysisParams(datetime(1995, 1, 1), datetime(2000, 12, 31, 23, 59, 59), 90)
 
+#: Moments are whole seconds from the first day until the log is complete.
+_OPENED_AT = "(k * 7 % 2200 * 86400L + k * 7919 % 86400)"
 _OPENED = "timestamp_ntz'1995-01-01 00:00:00' + interval '1' day * cast(k * 7 % 2200 as int) + interval '1' second * cast(k * 7919 % 86400 as int)"
 _CLOSED = f"case when k % 19 = 0 then {_OPENED} + interval '400' day end"
 _INPUT = {
@@ -39,8 +41,8 @@ def _pick(words: list[str], index: str) -> str:
     return f"elt(cast({index} as int) + 1, {quoted})"
 
 
-def _after(start: str, seconds: str) -> str:
-    return f"{start} + interval '1' second * cast(({seconds}) % 86400 as int)"
+def _after(day: str, seconds: str) -> str:
+    return f"datediff(cast({day} as date), date'1995-01-01') * 86400L + ({seconds}) % 86400"
 
 
 def _check_digit(body: str) -> str:
@@ -195,28 +197,27 @@ class ParquetFixture(BankTables):
 
     def _all_operations(self, until: datetime | None) -> DataFrame:
         parts = [self._account_events(), self._order_events(until), self._card_events(until)]
-        log = _in_lifetime(parts[0].unionByName(parts[1]).unionByName(parts[2]))
-        return log if until is None else log.where(F.col("created_at") <= timestamp(until))
+        return _in_lifetime(parts[0].unionByName(parts[1]).unionByName(parts[2]), until)
 
     def _account_events(self) -> DataFrame:
-        first_deposit = "opened_at + interval '1' day * cast(k % 12 as int) + interval '300' second"
+        first_deposit = "opened + k % 12 * 86400 + 300"
         no_amount = "cast(null as decimal(12,2))"
         return (
             self.raw("customer")
             .selectExpr("c_custkey as k")
-            .selectExpr("k", f"{_OPENED} as opened_at", f"{_CLOSED} as closed_at")
+            .selectExpr("k", f"{_OPENED_AT} as opened")
             .selectExpr(
                 "k",
-                f"stack(3, 3, 'CREATE_ACCOUNT', 'APP', {no_amount}, opened_at, true,"
-                f" 4, 'CLOSE_ACCOUNT', 'APP', {no_amount}, closed_at, k % 19 = 0,"
+                f"stack(3, 3, 'CREATE_ACCOUNT', 'APP', {no_amount}, opened, true,"
+                f" 4, 'CLOSE_ACCOUNT', 'APP', {no_amount}, opened + 400 * 86400, k % 19 = 0,"
                 " 5, 'DEPOSIT', if(k % 3 = 0, 'SEPA', 'APP'), cast(500 + k * 13 % 4000 as decimal(12,2)),"
                 f" {first_deposit}, k % 5 < 3 and k % 11 <> 0)"
-                " as (tag, event_type, channel, amount_requested, created_at, happens)",
+                " as (tag, event_type, channel, amount_requested, at, happens)",
             )
             .where("happens")
             .selectExpr(
                 "k", "8 * k + tag as operation_id", "k + 1 as account_id", "event_type", "'SUCCESS' as status",
-                "cast(null as string) as failure_reason", "channel", "amount_requested", "created_at",
+                "cast(null as string) as failure_reason", "channel", "amount_requested", "at",
                 "cast(null as string) as merchant_category",
             )
         )
@@ -246,7 +247,7 @@ class ParquetFixture(BankTables):
                 "if(kind = 3, 'SEPA', 'APP') as channel",
                 "case when kind < 2 then null when kind = 2 and refused then cast(0 as decimal(12,2))"
                 " else cast(cast(floor(o_totalprice) as decimal(12,0)) * 0.01 as decimal(12,2)) end as amount_requested",
-                f"{_after('o_orderdate', 'o * 53')} as created_at",
+                f"{_after('o_orderdate', 'o * 53')} as at",
                 "cast(null as string) as merchant_category",
             )
         )
@@ -266,7 +267,7 @@ class ParquetFixture(BankTables):
             f"if({declined}, 'INSUFFICIENT_FUNDS', null) as failure_reason",
             "'CARD_NETWORK' as channel",
             "cast(cast(floor(l_extendedprice / 10) as decimal(12,0)) * 0.01 as decimal(12,2)) as amount_requested",
-            f"{_after('l_shipdate', seconds)} as created_at",
+            f"{_after('l_shipdate', seconds)} as at",
             f"{_pick(codes, 'l_partkey % 9')} as merchant_category",
         )
 
@@ -323,19 +324,17 @@ class ParquetFixture(BankTables):
         return asked.unionByName(received)
 
 
-def _in_lifetime(log: DataFrame) -> DataFrame:
+def _in_lifetime(log: DataFrame, until: datetime | None) -> DataFrame:
     """Every event inside its account's lifetime: one before the opening is mirrored to after it,
     within the period; one after the closing is refused. Events of chosen ids stay as they are:
     the faults that integrity checks find. Events only move later, so bounds on their day of
-    origin remain valid for the scan."""
-    opened = "(k * 7 % 2200 * 86400 + k * 7919 % 86400)"  # in seconds from the first day, as in _OPENED
-    at = (
-        "(datediff(cast(created_at as date), date'1995-01-01') * 86400L"
-        " + hour(created_at) * 3600 + minute(created_at) * 60 + second(created_at))"
-    )
+    origin remain valid for the scan. The moment is made last, from its seconds."""
+    opened = _OPENED_AT
     last = (PARAMS.period_end - datetime(1995, 1, 1)).days * 86400 + 86399
-    mirrored = f"{opened} + ({opened} - {at}) % greatest(86400, {last} - {opened})"
-    moved = log.withColumn("at", F.expr(f"if({at} < {opened} and operation_id % 211 <> 0, {mirrored}, {at})"))
+    mirrored = f"{opened} + ({opened} - at) % greatest(86400, {last} - {opened})"
+    moved = log.withColumn("at", F.expr(f"if(at < {opened} and operation_id % 211 <> 0, {mirrored}, at)"))
+    if until is not None:
+        moved = moved.where(F.col("at") <= int((until - datetime(1995, 1, 1)).total_seconds()))
     late = f"k % 19 = 0 and at > {opened} + 400 * 86400 and operation_id % 211 <> 0"
     return (
         moved.withColumn("late", F.expr(late))
