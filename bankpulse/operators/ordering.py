@@ -12,6 +12,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _LOCAL_INDEX_BITS = 33
+#: Row groups of steps: a writer holds one in memory, and steps with texts are the widest rows.
+_STEP_ROW_GROUP = 16 << 20
 
 
 def working_folder(spark: SparkSession) -> str:
@@ -35,7 +37,7 @@ def written(frame: DataFrame, keep: bool = False) -> DataFrame:
     path = f"{working_folder(frame.sparkSession)}/stage-{uuid.uuid4().hex}"
     if not keep:
         _STAGES.setdefault(frame.sparkSession, []).append(path)
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", _STEP_ROW_GROUP).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
