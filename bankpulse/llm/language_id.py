@@ -1,14 +1,19 @@
 """Language identification with hyperdimensional profiles.
 
-Each symbol (a letter, or the gap between words) has a random vector of +1 and -1. The vector
-of a three-symbol sequence binds them: the product of the first, rotated twice, the second,
-rotated once, and the third. A document bundles (adds) the vectors of its sequences; a
-language prototype bundles its documents. The prediction is the language whose prototype has
-the largest cosine with the document.
+Each symbol (a letter in lower case, or the gap between words) has a random vector of +1 and -1,
+made from the seed and its code point. The vector of a three-symbol sequence binds them: the
+product of the first, rotated twice, the second, rotated once, and the third. A document bundles
+(adds) the vectors of its sequences; a language prototype bundles its documents. The prediction
+is the language whose prototype has the largest cosine with the document.
+
+Sequences are bound and added in blocks, so memory is bounded whatever the number of letters and
+of distinct sequences; it grows with the longest text alone, by some bytes a character.
 
 Prototypes are sums, so tasks bundle their own rows and Spark adds the partial vectors; only
 one vector per language reaches the driver. Texts that are null or have no letter are ``und``
 with score 0, as is everything if nothing could be learned. Equal cosines: the first by name.
+Rows are kept one for one: repeated rows give equal predictions, an empty table none, a null
+doc_id stays null and counts as held out. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,9 +29,9 @@ from bankpulse.llm.common import chunks, pick, table
 
 DIMENSIONS = 1024
 SEED = 20240607
-#: a-z have symbols of their own, other letters share the rest by a hash; 0 is the gap.
-SYMBOLS = 128
 DOCS_AT_ONCE = 256
+#: Sequences bound at a time, cells of a count table, and letters whose vectors a task keeps.
+BOUND_AT_ONCE, TABLE_CELLS, KEPT_LETTERS = 2048, 1 << 23, 1 << 15
 UNKNOWN = "und"
 
 
@@ -34,42 +39,85 @@ class Profiles:
     """Symbol vectors and the bundling of texts; made anew in each task from the seed."""
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = SEED) -> None:
-        letters = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, dimensions))
-        self.rotated = [np.roll(letters, turns, axis=1) for turns in (2, 1, 0)]
-        self.symbol = self._symbols(np.arange(0x10000))
+        self.dimensions, self.seed = dimensions, seed
+        self.vectors: dict[int, np.ndarray] = {}
+        self.letter = self._letters(range(0x10000))
 
     @staticmethod
-    def _symbols(points: np.ndarray) -> np.ndarray:
-        own = (points >= 97) & (points <= 122)
-        shared = 27 + (points.astype(np.uint64) * np.uint64(2654435761) >> np.uint64(7)) % np.uint64(SYMBOLS - 27)
-        letter = np.array([chr(p).isalpha() for p in points.tolist()], bool)
-        return np.where(own, points - 96, np.where(letter, shared, 0)).astype(np.int64)
-
-    def codes(self, text: str) -> np.ndarray:
-        """Codes of the three-symbol sequences, gaps of any length as one symbol."""
+    def _letters(points) -> np.ndarray:
+        return np.array([chr(p).isalpha() for p in points], bool)
+
+    def vector(self, symbol: int) -> np.ndarray:
+        """+1 and -1 of a code point; 0 is the gap."""
+        if symbol not in self.vectors:
+            if len(self.vectors) >= KEPT_LETTERS:
+                self.vectors.clear()
+            bits = np.random.default_rng([self.seed, symbol]).integers(0, 2, self.dimensions, np.int8)
+            self.vectors[symbol] = 2 * bits - 1
+        return self.vectors[symbol]
+
+    def symbols(self, text: str) -> np.ndarray:
+        """Code points of the letters, gaps of any length as 0, one at both ends."""
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
         if len(points) and points.max() >= 0x10000:
             wide, back = np.unique(points, return_inverse=True)
-            found = self._symbols(wide)[back]
+            letter = self._letters(wide.tolist())[back]
         else:
-            found = self.symbol[points]
-        found = np.concatenate([[0], found, [0]])
-        found = found[np.concatenate([[True], (found[1:] != 0) | (found[:-1] != 0)])]
-        if len(found) < 3:
-            return np.empty(0, np.int64)
-        return (found[:-2] * SYMBOLS + found[1:-1]) * SYMBOLS + found[2:]
-
-    def bundle(self, codes: list[np.ndarray], owner: np.ndarray, owners: int) -> np.ndarray:
-        """Sum of the sequence vectors per owner, a row each."""
-        lengths = np.array([len(c) for c in codes])
-        every = np.concatenate(codes) if len(codes) else np.empty(0, np.int64)
-        present = np.flatnonzero(np.bincount(every, minlength=1))
-        place = np.searchsorted(present, every)
-        counts = np.bincount(np.repeat(owner, lengths) * len(present) + place, minlength=owners * len(present))
-        first, rest = np.divmod(present, SYMBOLS * SYMBOLS)
-        second, third = np.divmod(rest, SYMBOLS)
-        bound = self.rotated[0][first] * self.rotated[1][second] * self.rotated[2][third]
-        return counts.reshape(owners, len(present)).astype(np.float32) @ bound.astype(np.float32)
+            letter = self.letter[points]
+        found = np.concatenate([[0], np.where(letter, points, 0), [0]]).astype(np.int32)
+        return found[np.concatenate([[True], (found[1:] != 0) | (found[:-1] != 0)])]
+
+    def bundle(self, texts: list[np.ndarray], owner: np.ndarray, owners: int) -> np.ndarray:
+        """Sum of the sequence vectors of the symbol arrays per owner, a row each."""
+        total = np.zeros((owners, self.dimensions))
+        joined = np.concatenate(texts) if texts else np.empty(0, np.int32)
+        if len(joined) < 3:
+            return total
+        present = np.flatnonzero(np.bincount(joined))
+        rank = np.zeros(int(present[-1]) + 1, np.int64)
+        rank[present] = np.arange(len(present))
+        place, size = rank[joined], len(present)
+        inside = np.ones(len(joined), bool)  # sequences do not go over the end of a text
+        ends = np.cumsum([len(t) for t in texts])
+        for back in (1, 2):
+            inside[np.maximum(0, ends - back)] = False
+        inside = inside[:-2]
+        codes = ((place[:-2] * size + place[1:-1]) * size + place[2:])[inside]
+        whose = np.repeat(owner, [len(t) for t in texts])[:-2][inside]
+        distinct, code = self._distinct(codes, size**3)
+        cells = whose * len(distinct) + code
+        for start in range(0, len(distinct), BOUND_AT_ONCE):
+            some = distinct[start : start + BOUND_AT_ONCE]
+            if owners * len(distinct) <= TABLE_CELLS:
+                if not start:
+                    table = np.bincount(cells, minlength=owners * len(distinct)).reshape(owners, -1)
+                counts = table[:, start : start + len(some)]
+            else:
+                if not start:
+                    order = np.argsort(code, kind="stable")
+                    code, whose = code[order], whose[order]
+                low, high = np.searchsorted(code, (start, start + len(some)))
+                counts = np.bincount(whose[low:high] * len(some) + code[low:high] - start, minlength=owners * len(some)).reshape(owners, -1)
+            total += counts.astype(np.float32) @ self._bound(present, some, size)
+        return total
+
+    @staticmethod
+    def _distinct(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The codes that occur, and the place of each among them."""
+        if most > TABLE_CELLS:
+            return np.unique(codes, return_inverse=True)
+        distinct = np.flatnonzero(np.bincount(codes, minlength=1))
+        rank = np.zeros(most, np.int64)
+        rank[distinct] = np.arange(len(distinct))
+        return distinct, rank[codes]
+
+    def _bound(self, present: np.ndarray, codes: np.ndarray, size: int) -> np.ndarray:
+        first, rest = np.divmod(codes, size * size)
+        bound = np.ones((len(codes), self.dimensions), np.int8)
+        for places, turns in ((first, 2), (rest // size, 1), (rest % size, 0)):
+            used, back = np.unique(places, return_inverse=True)
+            bound *= np.roll(np.stack([self.vector(int(present[u])) for u in used]), turns, axis=1)[back]
+        return bound.astype(np.float32)
 
 
 def _groups(chunk: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -84,8 +132,8 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS, seed: int = SE
         for chunk in chunks(batches):
             for group in _groups(chunk):
                 langs, owner = np.unique(np.array(group.column("lang").to_pylist(), object), return_inverse=True)
-                codes = [profiles.codes(t) for t in group.column("text").to_pylist()]
-                for lang, vector in zip(langs, profiles.bundle(codes, owner, len(langs)), strict=True):
+                texts = [profiles.symbols(t) for t in group.column("text").to_pylist()]
+                for lang, vector in zip(langs, profiles.bundle(texts, owner, len(langs)), strict=True):
                     sums[lang] = sums.get(lang, 0) + vector.astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))],
@@ -112,13 +160,13 @@ def predict(docs: DataFrame, learned: dict[str, np.ndarray], dimensions: int = D
         profiles = Profiles(dimensions, seed)
         for chunk in chunks(batches):
             for group in _groups(chunk):
-                codes = [profiles.codes(t or "") for t in group.column("text").to_pylist()]
-                best, score = np.full(len(codes), len(learned)), np.zeros(len(codes))
+                texts = [profiles.symbols(t or "") for t in group.column("text").to_pylist()]
+                best, score = np.full(len(texts), len(learned)), np.zeros(len(texts))
                 if learned:
-                    vectors = profiles.bundle(codes, np.arange(len(codes)), len(codes)).astype(np.float64)
+                    vectors = profiles.bundle(texts, np.arange(len(texts)), len(texts))
                     norms = np.linalg.norm(vectors, axis=1)
                     cosines = vectors @ targets.T / np.where(norms > 0, norms, 1)[:, None]
-                    known = np.array([len(c) > 0 for c in codes])
+                    known = np.array([len(t) > 2 for t in texts])
                     best = np.where(known, cosines.argmax(axis=1), best)
                     score = np.where(known, cosines.max(axis=1).clip(0, 1), 0.0)
                 yield pa.RecordBatch.from_arrays(
