@@ -1,16 +1,20 @@
 """Nearest neighbours with a vantage-point tree per shard.
 
-Vectors are dealt to shards of about ``shard_vectors`` by a hash, so a shard fits a task at any
-size of the table. A task sorts its shards, builds the tree of one, and streams the queries
+Vectors are dealt to shards by a hash, so a shard fits a task at any size of the table: of
+``shard_vectors`` until there are enough shards for a cluster, and up to ``full_vectors`` from
+then on, because every query visits every shard. (Shards by nearest pivot, to leave out those
+that the triangle inequality excludes, were measured: see the README.) A task sorts its shards, builds the tree of one, and streams the queries
 through it. A node holds a vantage point and the ranges of distances to it of its two halves;
 a half is skipped if the triangle inequality, its bound multiplied by ``factor``, shows that it
 holds nothing nearer than the k-th found. Factor 1 is exact search; larger ones skip more.
 Halves are cut by rank, so equal vectors give no deep trees.
 
 The k nearest of each shard are merged per query, ties to the smaller vec_id. Vectors that are
-null, empty, zero, or hold null or non-finite components take no part; vectors are compared
-with those of equal dimension. A vec_id in several rows is a candidate per row and never its
-own neighbour; equal query rows are searched once.
+null, empty, zero, or hold null or non-finite components take no part, nor do rows without a
+vec_id; vectors are compared with those of equal dimension. A vec_id in several rows is a
+candidate with each of them and never its own neighbour; as a query, each different vector of it
+is searched on its own and has its own ranks (``query_vector`` tells them apart), equal ones once.
+An empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 from bankpulse.llm.common import pick, table
 
 NEAREST = 10
-SHARD_VECTORS = 4096
+#: Vectors of a shard, first and once there are ``MANY_SHARDS`` (32 MB at 64 dimensions).
+SHARD_VECTORS, FULL_VECTORS, MANY_SHARDS = 4096, 65536, 256
 LEAF = 64
 QUERIES_AT_ONCE = 256
 FACTOR = 1.1
@@ -104,9 +109,9 @@ def usable(vectors: DataFrame) -> DataFrame:
 def _searcher(k: int, factor: float):
     """Function for partitions sorted by dim, shard, kind: points (0) come before queries (1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, shard, tree, ids, points = [], None, None, [], []
+        shard, tree, ids, points = None, None, [], []
         for batch in batches:
-            dims, shards, kinds, numbers = (batch.column(c).to_numpy() for c in ("dim", "shard", "kind", "id"))
+            dims, shards, kinds, numbers, tags = (batch.column(c).to_numpy() for c in ("dim", "shard", "kind", "id", "tag"))
             edge = (np.diff(dims) != 0) | (np.diff(shards) != 0) | (np.diff(kinds) != 0)
             cuts = np.concatenate([[0], np.flatnonzero(edge) + 1, [batch.num_rows]])
             for start, end in zip(cuts[:-1], cuts[1:], strict=True):
@@ -125,29 +130,37 @@ def _searcher(k: int, factor: float):
                     tree = Tree(np.concatenate(ids), np.concatenate(points))
                     ids, points = [], []
                 for at in range(0, len(part), QUERIES_AT_ONCE):
-                    asked = numbers[start:end][at : at + QUERIES_AT_ONCE]
+                    asked, tag = (x[start:end][at : at + QUERIES_AT_ONCE] for x in (numbers, tags))
                     distance, near = tree.search(asked, part[at : at + QUERIES_AT_ONCE], k, factor)
                     there = np.isfinite(distance)
-                    held = [np.repeat(asked, there.sum(axis=1)), near[there], distance[there]]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["query_id", "vec_id", "score"])
+                    hits = there.sum(axis=1)
+                    held = [np.repeat(asked, hits), np.repeat(tag, hits), near[there], distance[there]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], ["query_id", "query_vector", "vec_id", "score"])
 
     return run
 
 
+def shard_count(vectors: int, shard_vectors: int = SHARD_VECTORS, full_vectors: int = FULL_VECTORS) -> int:
+    wanted = -(-vectors // shard_vectors)
+    return max(1, min(wanted, max(MANY_SHARDS, -(-vectors // full_vectors))))
+
+
 def nearest(
-    vectors: DataFrame, queries: DataFrame, k: int = NEAREST, factor: float = FACTOR, shard_vectors: int = SHARD_VECTORS
+    vectors: DataFrame, queries: DataFrame, k: int = NEAREST, factor: float = FACTOR,
+    shard_vectors: int = SHARD_VECTORS, full_vectors: int = FULL_VECTORS,
 ) -> DataFrame:
-    """query_id, rank, vec_id, score; both inputs have id and vector."""
+    """query_id, rank, vec_id, score, query_vector (a hash); both inputs have id and vector."""
     points, asked = usable(vectors), usable(queries).dropDuplicates(["id", "vector"])
-    shards = max(1, -(-points.count() // shard_vectors))
-    dealt = points.withColumns({"shard": F.pmod(F.xxhash64("id"), F.lit(shards)), "kind": F.lit(0)})
-    every = asked.withColumns({"shard": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))), "kind": F.lit(1)})
+    shards = shard_count(points.count(), shard_vectors, full_vectors)
+    place = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
+    dealt = points.withColumns({"shard": F.pmod(F.xxhash64("id"), F.lit(shards)), "kind": F.lit(0), "tag": F.lit(0).cast("long")})
+    every = asked.withColumns({"kind": F.lit(1), "tag": F.xxhash64("vector")}).withColumn("shard", place)
     together = dealt.unionByName(every).repartition("dim", "shard").sortWithinPartitions("dim", "shard", "kind")
-    found = together.mapInArrow(_searcher(k, factor), "query_id long, vec_id long, score double")
+    found = together.mapInArrow(_searcher(k, factor), "query_id long, query_vector long, vec_id long, score double")
     # k rows per query and shard: one window per query over few rows
-    order = W.partitionBy("query_id").orderBy("score", "vec_id")
+    order = W.partitionBy("query_id", "query_vector").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score"
+        "query_id", "rank", "vec_id", "score", "query_vector"
     )
 
 

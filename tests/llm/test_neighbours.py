@@ -5,7 +5,8 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from bankpulse.llm.neighbours import FACTOR, nearest, op5_neighbours
+from bankpulse.llm.common import pick
+from bankpulse.llm.neighbours import FACTOR, nearest, op5_neighbours, shard_count
 
 
 def brute(rows, queries, k=10):
@@ -56,6 +57,27 @@ def test_odd_vectors(spark):
     assert nearest(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_a_query_id_with_two_vectors_is_searched_with_each(spark):
+    rows = [(100, [0.0, 1.0]), (100, [9.0, 1.0]), (100, [9.0, 1.0]), (1, [0.0, 2.0]), (2, [9.0, 3.0]), (2, [0.0, 4.0]), (3, [5.0, 1.0])]
+    frame = frame_of(spark, rows)
+    found = {}
+    for r in sorted(nearest(frame, frame.where("id = 100"), k=3).collect(), key=lambda r: r.rank):
+        found.setdefault(r.query_vector, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(found.values()) == sorted([[(1, 1, 1.0), (2, 2, 3.0), (3, 3, 5.0)], [(1, 2, 2.0), (2, 3, 4.0), (3, 1, pytest.approx(82**0.5))]])
+
+
+def test_columns_with_names_used_inside(spark):
+    rows = [(i * 50, [float(i), 1.0], "x", "y", "z", "w") for i in range(5)]
+    plain = frame_of(spark, [r[:2] for r in rows])
+    clash = spark.createDataFrame(rows, "id long, vector array<float>, shard string, kind string, dim string, tag string")
+    picked = pick(clash, "id", "vector")
+    assert result(nearest(picked, picked.where("id % 100 = 0"))) == result(nearest(plain, plain.where("id % 100 = 0")))
+
+
+def test_shards_grow_once_there_are_many():
+    assert [shard_count(n) for n in (0, 4096, 4097, 51282, 10**6, 10**7, 10**9)] == [1, 1, 2, 13, 245, 256, 15259]
+
+
 def test_recall_of_the_production_factor(spark):
     folder = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
