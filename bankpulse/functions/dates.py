@@ -11,9 +11,9 @@ def month_of(moment: Column) -> Column:
     return F.trunc(moment.cast("date"), "MONTH")
 
 
-def months_between_firsts(start: Column, end: Column) -> Column:
-    """Whole months between two first-of-month dates."""
-    return (F.year(end) * 12 + F.month(end) - F.year(start) * 12 - F.month(start)).cast("int")
+def month_number(day: Column) -> Column:
+    """Months are numbered without gaps from January of year 0."""
+    return F.year(day) * 12 + F.month(day) - 1
 
 
 def complete_years(start: Column, end: Column) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bankpulse.functions.activity import customer_activity, failed, is_event
-from bankpulse.functions.dates import month_of, months_between_firsts
+from bankpulse.functions.bitsets import bit_of, members, word_of
+from bankpulse.functions.dates import month_number
 from bankpulse.functions.numbers import (
     MONEY, grand_total, money, money_mean, money_pct, pct, rounded_ratio, sum_where,
 )
@@ -121,26 +122,31 @@ def lifecycle_by_age_band(tables: BankTables, params: AnalysisParams) -> DataFra
 
 
 def activity_months(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    """Distinct (account, month) pairs with customer activity."""
-    return (
-        tables.operation_log(until=params.period_end)
-        .where(customer_activity() & F.col("account_id").isNotNull())
-        .select("account_id", month_of(F.col("created_at")).alias("activity_month"))
-        .distinct()
-    )
+    """The months with customer activity of each account, as words of months."""
+    active = tables.operation_log(until=params.period_end).where(customer_activity() & F.col("account_id").isNotNull())
+    return month_words(active, F.col("created_at"))
+
+
+def month_words(rows: DataFrame, day: Column) -> DataFrame:
+    """One row per account and 64 months, so one partial row per account and task is shuffled
+    for a log of up to five years, however many months and operations it has."""
+    month = month_number(day)
+    return rows.groupBy("account_id", word_of(month).alias("word")).agg(F.bit_or(bit_of(month)).alias("bits"))
 
 
 def cohort_cells(tables: BankTables, params: AnalysisParams, *by: str, months: DataFrame | None = None) -> DataFrame:
     """Active accounts per cohort key and month since opening, with the cohort size.
 
-    Only the account profile is read next to the log, or next to ``months`` if these are known. Cohort sizes have one row per
-    calendar month (and channel), so they are safe to broadcast.
+    Only the account profile is read next to the log, or next to ``months`` (words) if these are known.
+    Words become months after the join, where they are counted at once. Cohort sizes have one row
+    per calendar month (and channel), so they are safe to broadcast.
     """
     profile = account_profile(tables, params).select("account_id", *by)
     sizes = profile.groupBy(*by).agg(F.count("*").alias("cohort_size"))
-    elapsed = months_between_firsts(F.col("cohort_month"), F.col("activity_month"))
+    elapsed = (F.col("month") - month_number(F.col("cohort_month"))).cast("int")
     return (
         profile.join(activity_months(tables, params) if months is None else months, "account_id")
+        .select(*by, F.explode(members(F.col("word"), F.col("bits"))).alias("month"))
         .groupBy(*by, elapsed.alias("months_since_opening"))
         .agg(F.count("*").alias("active_accounts"))
         .join(F.broadcast(sizes), list(by))

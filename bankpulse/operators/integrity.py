@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from bankpulse.functions.activity import moves_money, succeeded
 from bankpulse.functions.cards import passes_luhn
 from bankpulse.operators.activity import movements
+from bankpulse.operators.distinct import count_bits, distinct_words
 from bankpulse.tables import BankTables
 from bankpulse.vocabulary import CHECK_LABELS
 
@@ -27,11 +28,8 @@ def _rows(frame: DataFrame, counts: dict[str, Column]) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def _on_accounts() -> dict[str, Column]:
-    return {
-        "chk_luhn": F.count_if(~passes_luhn(F.col("card_number"))),
-        "chk_card_duplicates": F.count("*") - F.countDistinct("card_number"),
-    }
+def _on_cards() -> dict[str, Column]:
+    return {"chk_luhn": F.sum("invalid"), "chk_card_duplicates": F.sum("n_rows") - count_bits()}
 
 
 def _on_balances() -> dict[str, Column]:
@@ -67,7 +65,9 @@ def _operations_with_lifetimes(tables: BankTables) -> DataFrame:
 
 
 def _check_accounts(tables: BankTables, *keys: str) -> DataFrame:
-    return _rows(tables.accounts(), {key: value for key, value in _on_accounts().items() if key in keys})
+    invalid = F.count_if(~passes_luhn(F.col("card_number"))).alias("invalid")
+    cards = distinct_words(tables.accounts(), F.col("card_number"), F.count("*").alias("n_rows"), invalid)
+    return _rows(cards, {key: value for key, value in _on_cards().items() if key in keys})
 
 
 def _check_balances(tables: BankTables, *keys: str) -> DataFrame:

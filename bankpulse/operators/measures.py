@@ -16,8 +16,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from bankpulse import schemas
+from bankpulse.functions.bitsets import bit_of, word_of
 from bankpulse.functions.numbers import MONEY, cents, money_mean, rounded_ratio
 from bankpulse.operators.derived import matrix_columns
+from bankpulse.operators.distinct import count_bits
 from bankpulse.operators.star import Star
 from bankpulse.vocabulary import NOT_SEGMENTED
 
@@ -71,9 +73,11 @@ def _with_reason(*labels: str) -> Column:
     return F.coalesce(_attempts(_is_failure() & F.col("Motif échec").isin(*labels)), F.lit(0))
 
 
-def _active_ids(condition: Column | None = None) -> Column:
-    active = F.col("Client actif") == 1
-    return F.countDistinct(F.when(active if condition is None else active & condition, F.col("Id compte")))
+def _active_words(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The active accounts of each group as words, whose bits ``count_bits`` counts."""
+    account = F.col("Id compte")
+    bits = F.bit_or(F.when(F.col("Client actif") == 1, bit_of(account)))
+    return rows.groupBy(*by, word_of(account).alias("_word")).agg(bits.alias("bits"))
 
 
 def _retention(condition: Column | None = None) -> Column:
@@ -92,8 +96,8 @@ MEASURES: dict[str, Measure] = {
     "comptes_clotures": Measure("accounts", lambda: F.count_if(_status("Clôturé"))),
     "taux_de_comptes_actifs": Measure("accounts", lambda: divide(F.count_if(_status("Actif")), F.count("*"))),
     "nouveaux_comptes": Measure("openings", lambda: F.count("*")),
-    "comptes_actifs_du_mois": Measure("activity", lambda: _active_ids()),
-    "comptes_actifs_dernier_mois": Measure("last_activity", lambda: _active_ids()),
+    "comptes_actifs_du_mois": Measure("activity", count_bits),
+    "comptes_actifs_dernier_mois": Measure("last_activity", count_bits),
     # value
     "encours": Measure("accounts", lambda: F.sum(BALANCE).cast(MONEY)),
     "encours_comptes_dormants": Measure(
@@ -200,7 +204,8 @@ def _source(star: Star, table: str, needed: list[str]) -> DataFrame:
 def _last_month(rows: DataFrame, names: list[str], by: list[str]) -> DataFrame:
     """Measures in the last month of the context: counted per month first, then the greatest
     month of the calendar attributes in the grouping stays. One pass over the rows."""
-    monthly = rows.groupBy(*dict.fromkeys([*by, MONTH])).agg(*[MEASURES[name].value().alias(name) for name in names])
+    months = list(dict.fromkeys([*by, MONTH]))
+    monthly = _active_words(rows, months).groupBy(*months).agg(*[MEASURES[name].value().alias(name) for name in names])
     context = W.partitionBy(*[name for name in by if name in CALENDAR])
     last = monthly.withColumn("_last", F.max(MONTH).over(context)).where(F.col(MONTH) == F.col("_last"))
     return last.select(*by, *names)
@@ -212,6 +217,8 @@ def _evaluated(star: Star, table: str, names: list[str], by: list[str], channel:
         rows = rows.where(F.col(CHANNEL) == channel)
     if table == "last_activity":
         return _last_month(rows, names, by)
+    if table == "activity":
+        rows = _active_words(rows, by)
     shares = [name for name in names if MEASURES[name].share]
     values = [MEASURES[name].value().alias(name) for name in names]
     if not shares:

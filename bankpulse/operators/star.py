@@ -13,7 +13,7 @@ from bankpulse.functions.dates import month_of
 from bankpulse.functions.numbers import MONEY, money
 from bankpulse.functions.text import labelled
 from bankpulse.operators.activity import account_measures
-from bankpulse.operators.business import ELIGIBLE_DAYS, cohort_cells, funded_open
+from bankpulse.operators.business import ELIGIBLE_DAYS, cohort_cells, funded_open, month_words
 from bankpulse.operators.ordering import written
 from bankpulse.operators.rfm import cut_points, with_scores
 from bankpulse.params import AnalysisParams
@@ -141,9 +141,8 @@ def card_spend_fact(tables: BankTables, money_flows: DataFrame) -> DataFrame:
 
 def retention_fact(tables: BankTables, params: AnalysisParams, operations: DataFrame) -> DataFrame:
     """A cohort and channel without any active account in a month has no row."""
-    months = operations.where(F.col("active") & F.col("account_id").isNotNull()).select(
-        "account_id", F.col("month_start").alias("activity_month")
-    ).distinct()
+    active = operations.where(F.col("active") & F.col("account_id").isNotNull())
+    months = month_words(active, F.col("month_start"))
     return cohort_cells(tables, params, "cohort_month", "signup_channel", months=months).select(
         "cohort_month", "signup_channel", "months_since_opening", "active_accounts", "cohort_size"
     )

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bankpulse.functions.dates import complete_days, complete_years, months_between_firsts
+from bankpulse.functions.dates import complete_days, complete_years, month_number
 from bankpulse.functions.numbers import money_mean, pct, rounded_ratio
 
 
@@ -49,11 +49,11 @@ def test_complete_years(spark, start, end, years):
     assert got == years
 
 
-def test_days_are_full_24_hours_and_months_between_firsts(spark):
+def test_days_are_full_24_hours_and_months_are_numbered_without_gaps(spark):
     frame = spark.createDataFrame([("2025-01-01 10:00:00", "2025-01-03 09:59:59")], "s string, e string")
     assert frame.select(complete_days(F.col("s").cast("timestamp_ntz"), F.col("e").cast("timestamp_ntz"))).first()[0] == 1
     months = spark.createDataFrame([("2025-11-01", "2026-02-01"), ("2026-02-01", "2025-11-01")], "s string, e string")
-    got = [r[0] for r in months.select(months_between_firsts(F.col("s").cast("date"), F.col("e").cast("date"))).collect()]
+    got = [r[0] for r in months.select(month_number(F.col("e").cast("date")) - month_number(F.col("s").cast("date"))).collect()]
     assert got == [3, -3]
 
 

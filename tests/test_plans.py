@@ -54,3 +54,18 @@ def test_both_logs_share_one_exchange_by_account(spark):
 
 def test_retention_reads_no_money(spark):
     assert "l_extendedprice" not in plan(spark, "q05_cohort_retention")
+
+
+@pytest.mark.parametrize("name", ["cst_primary_keys", "prof_distinct_ids", "chk_card_duplicates", "m_comptes_actifs_du_mois", "monthly_ops"])
+def test_distinct_counts_exchange_words(spark, name):
+    """Ids are combined to words of 64 before they move; none is exchanged by itself."""
+    text = plan(spark, name)
+    assert "partial_bit_or(" in text and "Expand" not in text
+    assert not re.search(r"Exchange hashpartitioning\([^)]*\b(operation_id|transaction_id|crm_customer_id|card_number)#", text)
+
+
+@pytest.mark.parametrize("name", ["q05_cohort_retention", "pbi_fact_retention"])
+def test_months_of_an_account_travel_as_one_word(spark, name):
+    text = plan(spark, name)
+    assert text.count("partial_bit_or(") == 1
+    assert not re.search(r"hashpartitioning\([^)]*(activity_month|month_start)", text)
