@@ -10,11 +10,12 @@ from bankpulse.functions.activity import customer_activity, failed, is_event
 from bankpulse.functions.bitsets import bit_of, members, word_of
 from bankpulse.functions.dates import month_number
 from bankpulse.functions.numbers import (
-    MONEY, grand_total, money, money_mean, money_pct, pct, rounded_ratio, sum_where,
+    MONEY, cents, grand_total, money, money_mean, money_pct, pct, rounded_ratio, sum_where,
 )
 from bankpulse.operators.activity import account_measures, account_profile, v_account_activity
 from bankpulse.operators.monthly import v_monthly_kpis
-from bankpulse.operators.ordering import ntile, numbered
+from bankpulse.operators.ordering import written
+from bankpulse.operators.selection import group_ends, passed, rows_at
 from bankpulse.params import AnalysisParams
 from bankpulse.tables import BankTables
 
@@ -165,13 +166,16 @@ def cohort_retention(tables: BankTables, params: AnalysisParams) -> DataFrame:
 
 
 def balance_concentration(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    """Ten equal groups of open accounts by falling balance."""
-    open_accounts = (
+    """Ten equal groups of open accounts by falling balance, ties by account. The last account of
+    each group is selected by rank; no row is sorted."""
+    open_accounts = written(
         v_account_activity(tables, params).where(~_status("CLOSED"))
         .select("account_id", F.col("balance_at_period_end").alias("balance"))
     )
-    ranked = numbered(open_accounts, F.desc("balance"), F.asc("account_id"))
-    deciles = ranked.groupBy(ntile(F.col("rn"), F.col("n_rows"), 10).alias("balance_decile")).agg(
+    falling, account = -cents(F.col("balance")).cast("bigint"), F.col("account_id")
+    ends = rows_at(open_accounts, [falling], account, {0: lambda n: {str(i): end for i, end in enumerate(group_ends(n, 10))}})
+    decile = sum([passed(falling, account, end).cast("int") for end in ends.values()], F.lit(1))
+    deciles = open_accounts.groupBy(decile.alias("balance_decile")).agg(
         F.count("*").alias("accounts"),
         F.min("balance").cast(MONEY).alias("min_balance"),
         F.sum("balance").cast(MONEY).alias("total_balance"),

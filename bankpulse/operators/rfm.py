@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bankpulse.functions.numbers import MONEY, grand_total, money_mean, money_pct, pct, rounded_ratio
+from bankpulse.functions.numbers import MONEY, cents, grand_total, money_mean, money_pct, pct, rounded_ratio
 from bankpulse.operators.business import rfm_base
-from bankpulse.operators.ordering import numbered, written
+from bankpulse.operators.ordering import written
+from bankpulse.operators.selection import passed, rows_at
 from bankpulse.params import AnalysisParams
 from bankpulse.tables import BankTables
 from bankpulse.vocabulary import SEGMENTS
 
-# position of each scored column in the long table of ``cut_points``
-_FREQUENCY, _SPEND, _BALANCE = 0, 1, 2
-_SCORED = ["frequency_180d", "card_spend_180d", "balance_at_period_end"]
-
-
 def recency_score() -> Column:
     """Business thresholds; an account that was never active scores lowest."""
     days = F.col("recency_days")
@@ -25,61 +24,61 @@ def recency_score() -> Column:
     )
 
 
-def cut_points(base: DataFrame) -> DataFrame:
-    """One row with the rows that end quintiles 1-4 of frequency and spend, and the
-    75th percentile of balance.
+@dataclass(frozen=True)
+class Cuts:
+    """Where the scores change: the last (value, account) of quintiles 1 to 4 of frequency and
+    spend (in cents), and four times the 75th percentile of balances in cents, which keeps the
+    interpolated value whole. Nothing is known without accounts."""
 
-    The three columns are ranked together: a narrow long table sorted by (column,
-    value, account). Every column contributes the same number of rows, so the rank
-    inside a column is the global number minus the columns before it.
-    """
-    metrics = F.array(*[
-        F.struct(F.lit(i).alias("metric"), F.col(name).cast(MONEY).alias("value")) for i, name in enumerate(_SCORED)
-    ])
-    long = base.select("account_id", F.inline(metrics))
-    ranked = numbered(long, F.col("metric"), F.col("value"), F.col("account_id"))
-    total = F.call_function("div", F.col("n_rows"), F.lit(len(_SCORED)))
-    rank = F.col("rn") - F.col("metric") * total
-
-    def at(metric: int, position: Column, value: Column) -> Column:
-        return F.max(F.when((F.col("metric") == metric) & (rank == position), value))
-
-    def last_of_quintile(step: int) -> Column:
-        """Last rank whose quintile is ``step``: rank - 1 <= step * (n - 1) / 5."""
-        return F.call_function("div", (total - 1) * step, F.lit(5)) + 1
-
-    edges = [
-        at(metric, last_of_quintile(step), F.struct("value", "account_id")).alias(f"{name}_{step}")
-        for metric, name in ((_FREQUENCY, "f"), (_SPEND, "m"))
-        for step in range(1, 5)
-    ]
-    below = F.call_function("div", (total - 1) * 3, F.lit(4)) + 1
-    quarters = F.max((total - 1) * 3 % 4)
-    lower = at(_BALANCE, below, F.col("value"))
-    upper = F.coalesce(at(_BALANCE, below + 1, F.col("value")), lower)
-    # kept times four, so that the interpolated value stays exact
-    return ranked.agg(*edges, (lower * 4 + (upper - lower) * quarters).alias("high_balance_times_4"))
-
-
-def _quintile(prefix: str, value: str) -> Column:
-    mine = F.struct(F.col(value).cast(MONEY).alias("value"), F.col("account_id"))
-    passed = [(mine > F.col(f"{prefix}_{step}")).cast("int") for step in range(1, 5)]
-    return F.lit(1) + passed[0] + passed[1] + passed[2] + passed[3]
-
-
-def with_scores(frame: DataFrame, cuts: DataFrame) -> DataFrame:
-    """R, F, M and the segment next to the columns of ``frame``; the cut points are one row.
+    frequency: list[tuple[int, int] | None]
+    spend: list[tuple[int, int] | None]
+    high_balance_times_4: int | None
+
+
+def _scored() -> list[Column]:
+    return [F.col("frequency_180d"), *[cents(F.col(name)).cast("bigint") for name in ("card_spend_180d", "balance_at_period_end")]]
+
+
+def cut_points(base: DataFrame) -> Cuts:
+    """The cut points are selected by rank, all three columns in the same rounds; no row is sorted."""
+
+    def quintiles(prefix: str):
+        # last rank whose quintile is ``step``: rank - 1 <= step * (n - 1) / 5
+        return lambda n: {f"{prefix}{step}": (n - 1) * step // 5 + 1 for step in range(1, 5)}
+
+    def quarter(n: int) -> dict[str, int]:
+        below = (n - 1) * 3 // 4 + 1
+        quarters[0] = (n - 1) * 3 % 4
+        return {"below": below, "above": min(below + 1, n)}
+
+    quarters = [0]
+    at = rows_at(base, _scored(), F.col("account_id"), {0: quintiles("f"), 1: quintiles("m"), 2: quarter})
+    steps = range(1, 5)
+    high = None
+    if at:
+        (below, _), (above, _) = at["below"], at["above"]
+        high = below * 4 + (above - below) * quarters[0]
+    return Cuts([at.get(f"f{step}") for step in steps], [at.get(f"m{step}") for step in steps], high)
+
+
+def _quintile(value: Column, ends: list[tuple[int, int] | None]) -> Column:
+    after = [passed(value, F.col("account_id"), end).cast("int") for end in ends]
+    return F.lit(1) + after[0] + after[1] + after[2] + after[3]
+
+
+def with_scores(frame: DataFrame, cuts: Cuts) -> DataFrame:
+    """R, F, M and the segment next to the columns of ``frame``.
 
     Quintiles equal cutting first-come ranks at interpolated quantiles, ties broken by
     account. The first matching rule names the segment.
     """
-    columns = frame.columns
-    scored = frame.join(F.broadcast(cuts), how="cross").select(
-        *columns,
+    frequency, spend, balance = _scored()
+    scored = frame.select(
+        *frame.columns,
         recency_score().alias("R"),
-        _quintile("f", "frequency_180d").alias("F"),
-        _quintile("m", "card_spend_180d").alias("M"),
-        (F.col("balance_at_period_end") * 4 >= F.col("high_balance_times_4")).alias("high_balance"),
+        _quintile(frequency, cuts.frequency).alias("F"),
+        _quintile(spend, cuts.spend).alias("M"),
+        (balance * 4 >= F.lit(cuts.high_balance_times_4).cast("bigint")).alias("high_balance"),
     )
     champions, regulars, savers, occasional, at_risk, asleep = SEGMENTS
     r, f, m = F.col("R"), F.col("F"), F.col("M")
@@ -95,7 +94,7 @@ def with_scores(frame: DataFrame, cuts: DataFrame) -> DataFrame:
 
 
 def segment_rfm(base: DataFrame) -> DataFrame:
-    """Score a base and name each account's segment. It is read twice, so written once."""
+    """Score a base and name each account's segment. It is read several times, so written once."""
     base = written(base)
     return with_scores(base, cut_points(base))
 
@@ -118,9 +117,8 @@ def rfm_monetary(tables: BankTables, params: AnalysisParams) -> DataFrame:
 
 def rfm_high_balance(tables: BankTables, params: AnalysisParams) -> DataFrame:
     """The 75th percentile of balances, interpolated, to four decimals."""
-    base = written(rfm_base(tables, params))
-    return cut_points(base).select((F.col("high_balance_times_4") * F.lit(0.25).cast("decimal(3,2)"))
-                                   .cast("decimal(18,4)").alias("high_balance"))
+    high = cut_points(written(rfm_base(tables, params))).high_balance_times_4
+    return tables.spark.createDataFrame([(None if high is None else Decimal(high) / 400,)], "high_balance decimal(18,4)")
 
 
 def segment_profile(tables: BankTables, params: AnalysisParams) -> DataFrame:

@@ -173,8 +173,8 @@ class Star:
 
     @cached_property
     def dim_compte(self) -> DataFrame:
-        """The account measures are written once; ranking reads three narrow columns of
-        them, and each account then finds its segment without a join."""
+        """The account measures are written once; the cut points are selected from three narrow
+        columns of them, and each account then finds its segment without a join."""
         measures = written(account_measures(self.tables, self.params))
         base = measures.withColumn("recency_days", F.col("days_since_last_activity"))
         scored = with_scores(base, cut_points(funded_open(measures)))

@@ -69,3 +69,9 @@ def test_months_of_an_account_travel_as_one_word(spark, name):
     text = plan(spark, name)
     assert text.count("partial_bit_or(") == 1
     assert not re.search(r"hashpartitioning\([^)]*(activity_month|month_start)", text)
+
+
+@pytest.mark.parametrize("name", ["rfm_segments", "rfm_frequency", "dim_compte"])
+def test_scores_need_no_sort_of_the_accounts(spark, name):
+    text = plan(spark, name)
+    assert "rangepartitioning" not in text and "Window" not in text and "NestedLoop" not in text
