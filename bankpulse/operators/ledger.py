@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -10,9 +12,10 @@ from pyspark.sql import functions as F
 
 from bankpulse.functions.numbers import MONEY, money
 from bankpulse.operators.activity import movements
-from bankpulse.operators.ordering import numbered, running_totals
+from bankpulse.operators.ordering import in_pieces, numbered, running_totals
 
 REPLAY_SCHEMA = "operation_id bigint, account_id bigint, created_at timestamp_ntz, reason string, balance_cents bigint"
+OUTCOME_SCHEMA = "account_id bigint, part bigint, net bigint, low bigint, high bigint"
 
 
 def running_balance(transactions: DataFrame) -> DataFrame:
@@ -43,22 +46,81 @@ def decide(balance: int, credit: bool, amount: int) -> tuple[str, int]:
     return "", balance - amount
 
 
-def replay_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A partition holds whole accounts in order; the balance is carried from batch to batch,
-    and an account begins with its ``start_cents``."""
-    account, balance = None, 0
+def replay_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A partition holds whole chunks (account, piece) in order; the balance is carried from batch
+    to batch, and a chunk begins with its ``start_cents``."""
+    chunk, balance = None, 0
     for rows in batches:
         reasons, balances = [], []
-        columns = (rows[name].tolist() for name in ("account_id", "is_credit", "amount_cents", "start_cents"))
-        for holder, credit, amount, start in zip(*columns):
-            if holder != account:
-                account, balance = holder, start
+        columns = (rows[name].tolist() for name in ("account_id", "_part", "is_credit", "amount_cents", "start_cents"))
+        for account, part, credit, amount, start in zip(*columns):
+            if (account, part) != chunk:
+                chunk, balance = (account, part), start
             reason, balance = decide(balance, credit, amount)
             reasons.append(reason)
             balances.append(balance)
         yield rows[["operation_id", "account_id", "created_at"]].assign(reason=reasons, balance_cents=balances)
 
 
+class Outcome(NamedTuple):
+    """What a chunk makes of an opening balance. Every opening from ``low`` to below ``high`` meets
+    the same decisions and changes by ``net`` as well; None is no limit."""
+
+    account_id: int
+    part: int
+    net: int
+    low: int | None
+    high: int | None
+
+    def holds(self, opening: int) -> bool:
+        return (self.low is None or opening >= self.low) and (self.high is None or opening < self.high)
+
+
+def outcome_of(key: tuple[int, int], opening: int, attempts: Iterable[tuple[bool, int]]) -> Outcome:
+    """Replay (is_credit, cents) from an opening and see how far it could be moved: down by the least
+    that an accepted debit left, up to below the least that a refused one lacked."""
+    balance, low, high = opening, None, None
+    for credit, amount in attempts:
+        if amount > 0 and not credit:
+            edge = opening + amount - balance
+            if amount <= balance:
+                low = edge if low is None else max(low, edge)
+            else:
+                high = edge if high is None else min(high, edge)
+        balance = decide(balance, credit, amount)[1]
+    return Outcome(*key, balance - opening, low, high)
+
+
+def chunk_outcomes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """An ``Outcome`` per chunk; rows are streamed."""
+    names = ("account_id", "_part", "start_cents", "is_credit", "amount_cents")
+    rows = (row for batch in batches for row in zip(*(batch[name].tolist() for name in names)))
+    for (account, part, start), chunk in groupby(rows, key=lambda row: row[:3]):
+        found = outcome_of((account, part), start, (row[3:] for row in chunk))
+        yield pd.DataFrame([found], columns=Outcome._fields).astype({"low": "Int64", "high": "Int64"})
+
+
+def walk(chunks: list[tuple[int, int]], known: dict[tuple[int, int], list[Outcome]]) -> tuple[dict, set]:
+    """Opening balance per chunk of accounts, in order, and the chunks that must be replayed from it.
+
+    An opening is right as long as the chunks before it have an outcome that holds for theirs;
+    behind the first other chunk it is an estimate with the latest outcome.
+    """
+    openings, pending = {}, set()
+    holder, balance = None, 0
+    for key in chunks:
+        if key[0] != holder:
+            holder, balance = key[0], 0
+        openings[key] = balance
+        outcomes = known.get(key, [])
+        fit = next((o for o in outcomes if o.holds(balance)), None)
+        if fit is None:
+            pending.add(key)
+        latest = fit or (outcomes[-1] if outcomes else None)
+        balance = max(0, balance + (latest.net if latest else 0))
+    return openings, pending
+
+
 def replay_input(attempts: DataFrame) -> DataFrame:
     """Attempts as credits and debits; a received transfer was decided by its sender."""
     return attempts.select(
@@ -77,21 +139,53 @@ def replay_output(replayed: DataFrame) -> DataFrame:
     )
 
 
-def replayed(rows: DataFrame) -> DataFrame:
-    """Decisions on rows shaped like ``replay_input`` plus ``start_cents``."""
-    in_order = rows.repartition("account_id").sortWithinPartitions("account_id", "created_at", "operation_id")
-    return in_order.mapInPandas(replay_partition, REPLAY_SCHEMA)
+def _chunk_rows(rows: DataFrame, starts: dict[tuple[int, int], int]) -> DataFrame:
+    """The rows of pieces with ``start_cents`` of their chunk, zero where none is given, in order."""
+    listed = rows.sparkSession.createDataFrame([(*key, cents) for key, cents in starts.items()], "account_id bigint, _part bigint, start_cents bigint")
+    opened = rows.join(F.broadcast(listed), ["account_id", "_part"], "left").withColumn("start_cents", F.coalesce("start_cents", F.lit(0).cast("bigint")))
+    return opened.repartition("account_id", "_part").sortWithinPartitions("account_id", "_part", "_local")
+
+
+def opening_balances(rows: DataFrame) -> dict[tuple[int, int], int]:
+    """Opening balance of every chunk of the accounts that lie in several pieces.
+
+    A piece shares at most its first and its last account with others, so there are at most two
+    such chunks per piece, and only they go through the driver. Each round replays, in parallel, the
+    chunks without an outcome for their opening; the first of an account is right by then, so
+    an account ends after at most as many rounds as it has chunks, as a rule after two or three.
+    """
+    pieces = rows.groupBy("_part").agg(F.min("account_id").alias("first"), F.max("account_id").alias("last")).collect()
+    shared: dict[int, list[int]] = {}
+    for piece in sorted(pieces, key=lambda p: p["_part"]):
+        for account in sorted({piece["first"], piece["last"]}):
+            shared.setdefault(account, []).append(piece["_part"])
+    chunks = [(account, part) for account, parts in sorted(shared.items()) if len(parts) > 1 for part in parts]
+    known: dict[tuple[int, int], list[Outcome]] = {}
+    openings, pending = walk(chunks, known)
+    while pending:
+        asked = {key: openings[key] for key in pending}
+        accounts, parts = (sorted({key[i] for key in pending}) for i in (0, 1))
+        # the pieces are in files of their own, so others are skipped
+        some = rows.where(F.col("_part").isin(parts) & F.col("account_id").isin(accounts))
+        listed = rows.sparkSession.createDataFrame(list(asked), "account_id bigint, _part bigint")
+        some = some.join(F.broadcast(listed), ["account_id", "_part"], "left_semi")
+        for row in _chunk_rows(some, asked).mapInPandas(chunk_outcomes, OUTCOME_SCHEMA).collect():
+            known.setdefault((row.account_id, row.part), []).append(Outcome(*row))
+        openings, pending = walk(chunks, known)
+    return openings
 
 
 def ledger_replay(attempts: DataFrame) -> DataFrame:
     """Accept or reject credits and debits one after the other, per account from zero.
 
-    Whether a debit passes depends on everything accepted before it, so an account is
-    inherently sequential. Accounts run in parallel; the rows of a task are sorted outside
-    memory where needed and streamed through it batch by batch, so an account of any size
-    takes time, not memory. A missing amount is invalid.
+    Whether a debit passes depends on everything accepted before it. The attempts are cut into
+    pieces by (account, moment, operation), so a hot account lies in several tasks; the opening
+    balances of its chunks are found first (``opening_balances``), then all chunks are replayed in
+    parallel. Rows are sorted outside memory where needed and streamed through a task batch by
+    batch. A missing amount is invalid.
     """
-    return replay_output(replayed(replay_input(attempts).withColumn("start_cents", F.lit(0).cast("bigint"))))
+    rows = in_pieces(replay_input(attempts), "account_id", "created_at", "operation_id")
+    return replay_output(_chunk_rows(rows, opening_balances(rows)).mapInPandas(replay_chunks, REPLAY_SCHEMA))
 
 
 def apply_balances(balances: DataFrame, legs: DataFrame) -> DataFrame:

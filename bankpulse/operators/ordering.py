@@ -56,6 +56,19 @@ def temporary_stages(spark: SparkSession):
         del stages[before:]
 
 
+def in_pieces(frame: DataFrame, *keys: Column | str) -> DataFrame:
+    """The rows in ``keys`` order, cut into pieces by one range shuffle and written: ``_part`` is the
+    piece, ``_local`` the position inside it. Keys end in a unique column, so that any run of
+    equal values may be cut."""
+    position = F.monotonically_increasing_id()
+    return written(
+        frame.orderBy(*keys).withColumn("_position", position).withColumns({
+            "_part": F.shiftright("_position", _LOCAL_INDEX_BITS),
+            "_local": F.col("_position").bitwiseAND(F.lit((1 << _LOCAL_INDEX_BITS) - 1)),
+        }).drop("_position")
+    )
+
+
 def numbered(frame: DataFrame, *keys: Column, name: str = "rn") -> DataFrame:
     """Add ``name`` = 1, 2, ... in ``keys`` order over the whole frame, and ``n_rows``.
 
@@ -64,14 +77,7 @@ def numbered(frame: DataFrame, *keys: Column, name: str = "rn") -> DataFrame:
     position inside its partition; the partition sizes (one row per partition) give
     each partition its start.
     """
-    position = F.monotonically_increasing_id()
-    ordered = frame.orderBy(*keys).withColumn("_position", position)
-    placed = written(
-        ordered.withColumns({
-            "_part": F.shiftright("_position", _LOCAL_INDEX_BITS),
-            "_local": F.col("_position").bitwiseAND(F.lit((1 << _LOCAL_INDEX_BITS) - 1)),
-        }).drop("_position")
-    )
+    placed = in_pieces(frame, *keys)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(
@@ -93,13 +99,7 @@ def running_totals(frame: DataFrame, group: str, order: list[Column], value: str
     one range shuffle over (group, order); rows are summed inside a piece, and each piece gets
     the sum of the earlier pieces of its group (one row per piece).
     """
-    position = F.monotonically_increasing_id()
-    placed = written(
-        frame.orderBy(group, *order).withColumn("_position", position).withColumns({
-            "_part": F.shiftright("_position", _LOCAL_INDEX_BITS),
-            "_local": F.col("_position").bitwiseAND(F.lit((1 << _LOCAL_INDEX_BITS) - 1)),
-        }).drop("_position")
-    )
+    placed = in_pieces(frame, group, *order)
     before = W.partitionBy(group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         placed.groupBy("_part", group).agg(F.sum(value).alias("_sum"))

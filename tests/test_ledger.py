@@ -4,13 +4,15 @@ import random
 from datetime import datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from bankpulse import schemas
 from bankpulse.operators.ledger import (
-    apply_balances, decide, ledger_replay, renumber_chronologically, renumber_operations, replay_input,
-    running_balance, upsert_by_email,
+    apply_balances, decide, ledger_replay, opening_balances, outcome_of, renumber_chronologically, renumber_operations,
+    replay_input, running_balance, upsert_by_email, walk,
 )
+from bankpulse.operators.ordering import in_pieces
 from bankpulse.streaming.ledger_stream import decided, feed, late_attempts, ledger_replay_stream
 
 START = datetime(2025, 1, 1)
@@ -62,6 +64,76 @@ def test_one_account_with_most_rows_in_many_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+@pytest.fixture
+def many_pieces(spark):
+    """Small inputs are cut as large ones are."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "9"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("n", [700, 3000])
+def test_an_account_in_many_pieces(spark, many_pieces, n):
+    rows = attempts(n)
+    pieces = in_pieces(replay_input(frame(spark, rows)), "account_id", "created_at", "operation_id")
+    assert pieces.where("account_id = 1").select("_part").distinct().count() > 4
+    openings = opening_balances(pieces)
+    assert len(openings) > 4 and {account for account, _ in openings} >= {1}
+    assert as_outcome(ledger_replay(frame(spark, rows))) == brute_force(rows)
+
+
+@pytest.mark.parametrize("amounts", ["only credits", "all refused", "all equal"])
+def test_pieces_of_one_sided_accounts(spark, many_pieces, amounts):
+    events = {"only credits": ["DEPOSIT"], "all refused": ["WITHDRAWAL"], "all equal": ["DEPOSIT", "WITHDRAWAL", "WITHDRAWAL"]}[amounts]
+    rows = [(i, 1, events[i % len(events)], Decimal("3.00"), None if i % 50 == 0 else START) for i in range(400)]
+    found = as_outcome(ledger_replay(frame(spark, rows)))
+    ordered = [(op, a, e, m, t or datetime(1, 1, 1)) for op, a, e, m, t in rows]
+    assert found == brute_force(ordered)
+
+
+def test_an_outcome_holds_exactly_as_far_as_its_decisions(spark):
+    rng = random.Random(8)
+    for _ in range(60):
+        chunk = [(rng.random() < 0.4, rng.randint(-1, 9)) for _ in range(rng.randint(0, 12))]
+
+        def decisions(opening, chunk=chunk):
+            reasons, balance = [], opening
+            for credit, amount in chunk:
+                reason, balance = decide(balance, credit, amount)
+                reasons.append(reason)
+            return reasons, balance - opening
+
+        opening = rng.randint(0, 20)
+        found = outcome_of((1, 0), opening, chunk)
+        for other in range(40):
+            assert found.holds(other) == (decisions(other)[0] == decisions(opening)[0])
+            if found.holds(other):
+                assert found.net == decisions(other)[1]
+
+
+def test_openings_are_final_when_every_outcome_holds():
+    rng = random.Random(2)
+    chunks = {(a, p): [(rng.random() < 0.45, rng.randint(1, 30)) for _ in range(8)] for a in (1, 2) for p in range(12)}
+    known, rounds = {}, 0
+    openings, pending = walk(list(chunks), known)
+    while pending:
+        rounds += 1
+        for key in pending:
+            known.setdefault(key, []).append(outcome_of(key, openings[key], chunks[key]))
+        openings, pending = walk(list(chunks), known)
+    for account in (1, 2):
+        balance = 0
+        for part in range(12):
+            assert openings[account, part] == balance
+            for attempt in chunks[account, part]:
+                balance = decide(balance, *attempt)[1]
+    assert rounds <= 12
+
+
 def test_received_transfers_are_credits(spark):
     rows = [(1, 1, "DEPOSIT", Decimal("10.00"), START), (2, 1, "TRANSFER", Decimal("4.00"), START + timedelta(1)),
             (2, 2, "TRANSFER_IN", Decimal("4.00"), START + timedelta(1)), (3, 2, "TRANSFER", Decimal("4.01"), START + timedelta(2)),
