@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from bankpulse.functions.numbers import MONEY, money
 from bankpulse.operators.activity import movements
-from bankpulse.operators.ordering import in_pieces, numbered, running_totals
+from bankpulse.operators.ordering import in_pieces, numbered, running_totals, written
 
 REPLAY_SCHEMA = "operation_id bigint, account_id bigint, created_at timestamp_ntz, reason string, balance_cents bigint"
+#: Attempts that one task replays in some seconds; a longer account is cut over several tasks.
+LONG_ACCOUNT = 1 << 20
 OUTCOME_SCHEMA = "account_id bigint, part bigint, net bigint, low bigint, high bigint"
 
 
@@ -175,17 +177,31 @@ def opening_balances(rows: DataFrame) -> dict[tuple[int, int], int]:
     return openings
 
 
-def ledger_replay(attempts: DataFrame) -> DataFrame:
+def _whole_accounts(rows: DataFrame) -> DataFrame:
+    """Each account as one chunk of a task, in order, from zero."""
+    nothing = F.lit(0).cast("bigint")
+    in_order = rows.repartition("account_id").sortWithinPartitions("account_id", "created_at", "operation_id")
+    return in_order.withColumns({"_part": nothing, "start_cents": nothing})
+
+
+def ledger_replay(attempts: DataFrame, long_account: int = LONG_ACCOUNT) -> DataFrame:
     """Accept or reject credits and debits one after the other, per account from zero.
 
-    Whether a debit passes depends on everything accepted before it. The attempts are cut into
-    pieces by (account, moment, operation), so a hot account lies in several tasks; the opening
-    balances of its chunks are found first (``opening_balances``), then all chunks are replayed in
-    parallel. Rows are sorted outside memory where needed and streamed through a task batch by
-    batch. A missing amount is invalid.
+    Whether a debit passes depends on everything accepted before it. Accounts run in parallel. Those
+    with more than ``long_account`` attempts are cut into pieces by (account, moment, operation):
+    the opening balances of their chunks are found first (``opening_balances``), then the chunks
+    run in parallel too. Rows are sorted outside memory where needed and streamed through a task
+    batch by batch. A missing amount is invalid.
     """
-    rows = in_pieces(replay_input(attempts), "account_id", "created_at", "operation_id")
-    return replay_output(_chunk_rows(rows, opening_balances(rows)).mapInPandas(replay_chunks, REPLAY_SCHEMA))
+    rows = replay_input(attempts)
+    per_account = rows.groupBy("account_id").agg(F.count("*").alias("n"))
+    long = written(per_account.where(F.col("n") > long_account).select("account_id"))
+    if long.isEmpty():
+        return replay_output(_whole_accounts(rows).mapInPandas(replay_chunks, REPLAY_SCHEMA))
+    pieces = in_pieces(rows.join(long, "account_id", "left_semi"), "account_id", "created_at", "operation_id")
+    cut = _chunk_rows(pieces, opening_balances(pieces)).mapInPandas(replay_chunks, REPLAY_SCHEMA)
+    whole = _whole_accounts(rows.join(long, "account_id", "left_anti")).mapInPandas(replay_chunks, REPLAY_SCHEMA)
+    return replay_output(whole.unionByName(cut))
 
 
 def apply_balances(balances: DataFrame, legs: DataFrame) -> DataFrame:
