@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from bankpulse.functions.activity import customer_activity, failed, is_event, su
 from bankpulse.functions.dates import complete_days, complete_years, month_of
 from bankpulse.functions.numbers import MONEY, money, one_if
 from bankpulse.params import AnalysisParams
-from bankpulse.tables import BankTables, defined_once
+from bankpulse.tables import BankTables, Kept, defined_once
 from bankpulse.vocabulary import UNKNOWN_AGE
 
 RECENT_DAYS = 180
@@ -41,46 +43,75 @@ def movements(transactions: DataFrame) -> DataFrame:
     )
 
 
-def _operation_facts(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def operation_adds(log: DataFrame, **more: Column) -> DataFrame:
     """Per log row, what it adds to its account."""
-    at = F.col("created_at")
-    card = is_event("CARD_PAYMENT")
-    active = customer_activity()
-    return (
-        tables.operation_log(until=params.period_end)
-        .where(F.col("account_id").isNotNull())
-        .select(
-            "account_id",
-            F.when(is_event("DEPOSIT") & succeeded(), at).alias("first_deposit_at"),
-            F.when(active, at).alias("last_activity_at"),
-            one_if(is_event("LOGIN") & succeeded()).alias("logins"),
-            one_if(card & succeeded()).alias("card_payments"),
-            one_if(card & failed()).alias("declined_card_payments"),
-            one_if(failed()).alias("failed_operations"),
-            one_if(active & (at > params.end_minus(RECENT_DAYS))).alias("frequency_180d"),
-        )
+    at, card, active = F.col("created_at"), is_event("CARD_PAYMENT"), customer_activity()
+    return log.select(
+        "account_id",
+        "created_at",
+        F.when(is_event("DEPOSIT") & succeeded(), at).alias("first_deposit_at"),
+        F.when(active, at).alias("last_activity_at"),
+        one_if(is_event("LOGIN") & succeeded()).alias("logins"),
+        one_if(card & succeeded()).alias("card_payments"),
+        one_if(card & failed()).alias("declined_card_payments"),
+        one_if(failed()).alias("failed_operations"),
+        one_if(active).alias("customer_operations"),
+        *[value.alias(name) for name, value in more.items()],
     )
 
 
-def _money_facts(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def money_adds(transactions: DataFrame) -> DataFrame:
     """Per movement leg, what it adds to its account."""
 
     def only(txn_type: str, amount: str) -> Column:
         return F.when(F.col("txn_type") == txn_type, F.col(amount))
 
-    spend = only("CARD_PAYMENT", "amount_out")
-    return movements(tables.transactions(until=params.period_end)).select(
+    return movements(transactions).select(
         "account_id",
+        "created_at",
         only("DEPOSIT", "amount_in").alias("total_deposits"),
         only("TRANSFER", "amount_in").alias("transfers_received"),
         only("TRANSFER", "amount_out").alias("transfers_sent"),
-        spend.alias("card_spend"),
+        only("CARD_PAYMENT", "amount_out").alias("card_spend"),
         only("WITHDRAWAL", "amount_out").alias("withdrawals"),
         (F.col("amount_in") - F.col("amount_out")).alias("balance_at_period_end"),
-        F.when(F.col("created_at") > params.end_minus(RECENT_DAYS), spend).alias("card_spend_180d"),
     )
 
 
+def _kept(tables: BankTables, params: AnalysisParams) -> Kept | None:
+    return tables.kept(params.period_end, params.period_end - timedelta(days=RECENT_DAYS))
+
+
+def _with_kept(rows: DataFrame, kept: Kept | None, count: str) -> DataFrame:
+    """The rows, and the kept sums of other months. A kept month lies on one side of the bound
+    of recent rows, so its first moment stands for all."""
+    if kept is None:
+        return rows
+    sums = kept.accounts.where(F.col(count) > 0).withColumnRenamed("first_at", "created_at")
+    return rows.unionByName(sums.select(rows.columns))
+
+
+def _operation_facts(tables: BankTables, params: AnalysisParams) -> DataFrame:
+    """What log rows, or the kept sums of whole months, add to their account."""
+    kept = _kept(tables, params)
+    log = (kept.rest if kept else tables).operation_log(until=params.period_end)
+    rows = _with_kept(operation_adds(log), kept, "operations").where(F.col("account_id").isNotNull())
+    recent = F.col("created_at") > params.end_minus(RECENT_DAYS)
+    return rows.select(
+        "account_id", "first_deposit_at", "last_activity_at", *COUNTERS,
+        F.when(recent, F.col("customer_operations")).otherwise(0).alias("frequency_180d"),
+    )
+
+
+def _money_facts(tables: BankTables, params: AnalysisParams) -> DataFrame:
+    """What movement legs, or the kept sums of whole months, add to their account."""
+    kept = _kept(tables, params)
+    transactions = (kept.rest if kept else tables).transactions(until=params.period_end)
+    rows = _with_kept(money_adds(transactions), kept, "legs")
+    recent = F.col("created_at") > params.end_minus(RECENT_DAYS)
+    return rows.select("account_id", *AMOUNTS, "balance_at_period_end", F.when(recent, F.col("card_spend")).alias("card_spend_180d"))
+
+
 def _operation_totals() -> list[Column]:
     sums = [F.sum(name).cast("bigint").alias(name) for name in [*COUNTERS, "frequency_180d"]]
     return [

@@ -60,8 +60,8 @@ def foreign_keys(tables: BankTables) -> DataFrame:
     """Rows pointing nowhere. References are counted per value before the anti join,
     so a heavily referenced key is a single row of it."""
 
-    def dangling(name: str, child: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
-        used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("ref")).agg(F.count("*").alias("uses"))
+    def dangling(name: str, child: DataFrame, column: str, parent: DataFrame, key: str, uses: Column = F.count("*")) -> DataFrame:
+        used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("ref")).agg(uses.alias("uses"))
         known = parent.select(F.col(key).alias("ref")).distinct()
         return _report(used.join(known, "ref", "left_anti"), {name: F.sum("uses")})
 
@@ -69,7 +69,7 @@ def foreign_keys(tables: BankTables) -> DataFrame:
     return _all([
         dangling("fk_accounts_customer", accounts, "customer_id", tables.customers(), "customer_id"),
         dangling("fk_oplog_account", operations, "account_id", accounts, "account_id"),
-        dangling("fk_txn_operation", txns, "operation_id", operations, "operation_id"),
+        dangling("fk_txn_operation", tables.transaction_keys(), "operation_id", tables.operation_keys(), "operation_id", F.sum("txns")),
         dangling("fk_txn_from_account", txns, "from_account_id", accounts, "account_id"),
         dangling("fk_txn_to_account", txns, "to_account_id", accounts, "account_id"),
         dangling("fk_txn_category", txns, "merchant_category", tables.categories(), "category_code"),

@@ -92,14 +92,9 @@ def _on_pairs() -> dict[str, Column]:
 
 def _check_pairs(tables: BankTables, *keys: str) -> DataFrame:
     """Operations next to their transactions. Both sides are counted per compared values
-    first: the join sees at most one row per id and value set, however often an id is
-    repeated, and runs on the partitioning of the counts."""
-    operations = (
-        tables.operation_log()
-        .groupBy("operation_id", "status", "event_type", "amount_requested")
-        .agg(F.count("*").alias("ops"))
-    )
-    transactions = tables.transactions().groupBy("operation_id", "txn_type", "amount").agg(F.count("*").alias("txns"))
+    first, and the join runs on the partitioning of the counts. A layer keeps the counts in
+    buckets by operation: read from there, neither log nor count is exchanged."""
+    operations, transactions = tables.operation_counts(), tables.transaction_counts()
     pairs = operations.join(transactions, "operation_id", "left")
     return _rows(pairs, {key: value for key, value in _on_pairs().items() if key in keys})
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bankpulse.functions.activity import app_attempt, customer_activity, failed, is_event
@@ -19,6 +19,9 @@ AMOUNTS = {
     "transfers_amount": "TRANSFER",
     "withdrawals_amount": "WITHDRAWAL",
 }
+COUNTERS = [
+    "new_accounts", "closed_accounts", "app_attempts", "app_failures", "card_payment_attempts", "declined_card_payments",
+]
 
 
 def month_spine(tables: BankTables, params: AnalysisParams) -> DataFrame:
@@ -27,21 +30,22 @@ def month_spine(tables: BankTables, params: AnalysisParams) -> DataFrame:
     return tables.spark.range(1).select(months.alias("month_start"))
 
 
+def month_counts() -> dict[str, Column]:
+    """What is counted per month. Openings and closings count attempts whatever their status."""
+    card = is_event("CARD_PAYMENT")
+    conditions = [
+        is_event("CREATE_ACCOUNT"), is_event("CLOSE_ACCOUNT"), app_attempt(), app_attempt() & failed(), card, card & failed(),
+    ]
+    return dict(zip(COUNTERS, conditions, strict=True))
+
+
 def monthly_ops(tables: BankTables, params: AnalysisParams) -> DataFrame:
-    """Openings and closings count attempts whatever their status. Active accounts are the bits
-    of words of accounts, which carry the counts along: the log meets one exchange, of a row per
-    task, month and 64 accounts."""
-    card, account = is_event("CARD_PAYMENT"), F.col("account_id")
-    counted = {
-        "new_accounts": is_event("CREATE_ACCOUNT"),
-        "closed_accounts": is_event("CLOSE_ACCOUNT"),
-        "app_attempts": app_attempt(),
-        "app_failures": app_attempt() & failed(),
-        "card_payment_attempts": card,
-        "declined_card_payments": card & failed(),
-    }
-    return (
-        tables.operation_log(until=params.period_end)
+    """Active accounts are the bits of words of accounts, which carry the counts along: the log
+    meets one exchange, of a row per task, month and 64 accounts. Whole months are added up
+    from the sums kept per account, if there are any."""
+    kept, account, counted = tables.kept(params.period_end), F.col("account_id"), month_counts()
+    logged = (
+        (kept.rest if kept else tables).operation_log(until=params.period_end)
         .groupBy(month_of(F.col("created_at")).alias("month_start"), word_of(account).alias("word"))
         .agg(
             F.bit_or(F.when(customer_activity(), bit_of(account))).alias("bits"),
@@ -50,18 +54,26 @@ def monthly_ops(tables: BankTables, params: AnalysisParams) -> DataFrame:
         .groupBy("month_start")
         .agg(count_bits().alias("active_accounts"), *[F.sum(name).alias(name) for name in counted])
     )
+    if kept is None:
+        return logged
+    sums = kept.accounts.where("operations > 0").groupBy("month_start").agg(
+        F.count_if(account.isNotNull() & (F.col("customer_operations") > 0)).alias("active_accounts"),
+        *[F.sum(name).alias(name) for name in counted],
+    )
+    return logged.unionByName(sums)
 
 
-def monthly_money(tables: BankTables, params: AnalysisParams) -> DataFrame:
+def month_money(transactions: DataFrame, *more: Column) -> DataFrame:
     totals = [
         money(sum_where(F.col("txn_type") == txn_type, F.col("amount"))).alias(name) for name, txn_type in AMOUNTS.items()
     ]
-    return (
-        tables.transactions(until=params.period_end)
-        .withColumn("month_start", month_of(F.col("created_at")))
-        .groupBy("month_start")
-        .agg(*totals)
-    )
+    return transactions.groupBy(month_of(F.col("created_at")).alias("month_start")).agg(*totals, *more)
+
+
+def monthly_money(tables: BankTables, params: AnalysisParams) -> DataFrame:
+    kept = tables.kept(params.period_end)
+    moved = month_money((kept.rest if kept else tables).transactions(until=params.period_end))
+    return moved if kept is None else moved.unionByName(kept.money.select(moved.columns))
 
 
 @defined_once

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bankpulse import schemas
+from bankpulse.functions.dates import month_of
 from bankpulse.functions.text import ascii_slug
 from bankpulse.operators import (
     activity, attempts, cleaning, constraints, derived, integrity, ledger, monthly, profiling, rfm, stats,
@@ -24,10 +26,12 @@ from bankpulse.plans.pipeline import register_views
 from bankpulse.sources import files, layer
 from bankpulse.sources.fixture import PARAMS, ParquetFixture, open_fixture
 from bankpulse.streaming.ledger_stream import ledger_replay_stream
+from bankpulse.tables import FrameTables
 from bankpulse.vocabulary import CHECK_LABELS, PROFILE_LABELS
 
 Query = Callable[[SparkSession, str], DataFrame]
 Job = Callable[[ParquetFixture], DataFrame]
+_REPLACED, _NEW_MONTHS = date(1997, 3, 1), "1999-01-01"
 
 
 def _scratch(tables: ParquetFixture) -> str:
@@ -112,6 +116,30 @@ def _scan_parquet_tables(t: ParquetFixture) -> DataFrame:
     return log.groupBy("event_type").agg(F.count("*").alias("operations"))
 
 
+def _after_delivery(t: ParquetFixture) -> layer.LayerTables:
+    """A layer without its last two years and with every other row of a month before, onto which
+    these months are then delivered."""
+    at, replaced = F.col("created_at"), month_of(F.col("created_at")) == F.lit(_REPLACED)
+    delivered = F.coalesce((at >= F.lit(_NEW_MONTHS).cast("timestamp_ntz")) | replaced, F.lit(False))
+    shared = {"staging": t.staging(), "accounts": t.accounts_with_balance()}
+    logs = {name: getattr(t, name)() for name in layer.LOGS}
+    half = replaced & (F.col("operation_id") % 2 == 0)
+    folder = _scratch(t)
+    layer.write_layer(FrameTables(t.spark, **shared, **{n: log.where(~delivered | half) for n, log in logs.items()}), folder)
+    parts = FrameTables(t.spark, **shared, **{n: log.where(delivered) for n, log in logs.items()})
+    layer.write_layer(parts, folder, layer.LayerTables(t.spark, folder).run)
+    return layer.LayerTables(t.spark, folder)
+
+
+def _layer_pair_checks(t: ParquetFixture) -> DataFrame:
+    """The checks of operations against transactions, from the counts of a layer."""
+    folder = _scratch(t)
+    layer.write_layer(t, folder)
+    tables = layer.LayerTables(t.spark, folder)
+    links = constraints.foreign_keys(tables).where("constraint_name = 'fk_txn_operation'").toDF("check_name", "failing_rows")
+    return reduce(DataFrame.union, [integrity.integrity_check(tables, key) for key in ("chk_txn_vs_operation", "chk_op_without_txn")] + [links])
+
+
 def _register_views(t: ParquetFixture) -> DataFrame:
     register_views(t, PARAMS)
     return t.spark.sql(
@@ -147,6 +175,8 @@ SOURCES: dict[str, Job] = {
     "scan_mixed_delivery": _scan_mixed_delivery,
     "scan_parquet_tables": _scan_parquet_tables,
     "load_operational": _load_operational,
+    "v_account_activity_after_delivery": lambda t: activity.v_account_activity(_after_delivery(t), PARAMS),
+    "v_monthly_kpis_after_delivery": lambda t: monthly.v_monthly_kpis(_after_delivery(t), PARAMS),
     "register_views": _register_views,
     "sink_star_schema": _sink_star_schema,
     "sink_action_list": _sink_action_list,
@@ -177,6 +207,7 @@ PROFILING: dict[str, Job] = {
 
 # these run with the seeded transaction faults
 CHECKS: dict[str, Job] = {
+    "layer_pair_checks": _layer_pair_checks,
     **{key: (lambda t, key=key: integrity.integrity_check(t, key)) for key in CHECK_LABELS},
     "integrity_checks": integrity.integrity_checks,
     "quality_gate": integrity.gate_verdict,

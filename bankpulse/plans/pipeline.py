@@ -18,7 +18,7 @@ from bankpulse.sources.files import read_crm_csv, read_typed_csv, rejected_crm_l
 from bankpulse.sources.layer import LayerTables, publish, retire, stage_layer, write_star
 from bankpulse.tables import BankTables, FrameTables
 
-STEPS = ("all", "load", "quality", "star")
+STEPS = ("all", "load", "months", "quality", "star")
 
 
 TYPED = {"accounts": schemas.ACCOUNTS, "operation_log": schemas.OPERATION_LOG, "transactions": schemas.TRANSACTIONS}
@@ -58,13 +58,15 @@ def run(spark: SparkSession, step: str, delivery: str, layer: str, star: str, pa
 
     A load is written beside the published layer and replaces it only after the gate: a run that
     fails before or at the gate (``QualityGateError``) leaves the layer and the star as they were.
+    ``months`` loads a delivery whose logs hold some whole months, onto the published layer.
     """
     if step not in STEPS:
         raise ValueError(f"step must be one of {STEPS}")
     counts: dict[str, int] = {}
     with temporary_stages(spark):
-        if step in ("all", "load"):
-            name, counts = stage_layer(file_tables(spark, delivery), layer)
+        if step in ("all", "load", "months"):
+            onto = LayerTables(spark, layer).run if step == "months" else None
+            name, counts = stage_layer(file_tables(spark, delivery), layer, onto)
             rejects = f"{layer}/{name}/rejected_lines"
             delivery_rejects(spark, delivery).write.parquet(rejects)
             counts["rejected_lines"] = spark.read.parquet(rejects).count()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Hashable
+from dataclasses import dataclass
 from datetime import datetime
 from functools import wraps
 
@@ -15,6 +16,16 @@ from bankpulse.params import timestamp
 from bankpulse.vocabulary import CATEGORIES
 
 
+@dataclass(frozen=True)
+class Kept:
+    """Sums kept per account and month, and per month (``bankpulse.operators.states``), of the months
+    that no bound of a reading cuts; ``rest`` has the log rows of the months that one cuts."""
+
+    accounts: DataFrame
+    money: DataFrame
+    rest: BankTables
+
+
 class BankTables(ABC):
     """Each method returns a fresh, unexecuted DataFrame.
 
@@ -48,6 +59,27 @@ class BankTables(ABC):
     @abstractmethod
     def transactions(self, until: datetime | None = None) -> DataFrame: ...
 
+    def kept(self, until: datetime, cut: datetime | None = None) -> Kept | None:
+        """Kept sums for a reading up to ``until`` that tells rows after ``cut`` from those before;
+        None where nothing is kept, and the logs are to be read."""
+        return None
+
+    def operation_keys(self) -> DataFrame:
+        """``operation_id``, and ``ops``: how many logged operations a row stands for."""
+        return self.operation_log().select("operation_id", F.lit(1).cast("bigint").alias("ops"))
+
+    def transaction_keys(self) -> DataFrame:
+        """``operation_id``, and ``txns``: how many transactions a row stands for."""
+        return self.transactions().select("operation_id", F.lit(1).cast("bigint").alias("txns"))
+
+    def operation_counts(self) -> DataFrame:
+        """Logged operations counted by id and by what is compared with their transaction: one row
+        per id and value set, however often an id is repeated."""
+        return self.operation_log().groupBy("operation_id", "status", "event_type", "amount_requested").agg(F.count("*").alias("ops"))
+
+    def transaction_counts(self) -> DataFrame:
+        return self.transactions().groupBy("operation_id", "txn_type", "amount").agg(F.count("*").alias("txns"))
+
     def customers(self) -> DataFrame:
         from bankpulse.operators.cleaning import customers_clean
 

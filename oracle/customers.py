@@ -204,3 +204,8 @@ CHECKS["cst_enum_domains"] = _rules(_BASE, {
     "operation_log.channel": "SELECT count(*) FROM operation_log WHERE channel NOT IN ('APP', 'SEPA', 'CARD_NETWORK')",
     "transactions.txn_type": f"SELECT count(*) FROM seeded_transactions WHERE txn_type NOT IN {_MONETARY}",
 })
+_PAIRS = ("chk_txn_vs_operation", "chk_op_without_txn")
+CHECKS["layer_pair_checks"] = check(["seeded_transactions", "operation_log"], "\nUNION ALL\n".join([
+    *map(_fault, _PAIRS),
+    f"SELECT 'fk_txn_operation', {n('(' + _dangling('seeded_transactions', 'operation_id', 'operation_log', 'operation_id') + ')')}",
+]))
