@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from bankpulse import schemas
 from bankpulse.operators.ledger import (
     apply_balances, decide, ledger_replay, opening_balances, outcome_of, renumber_chronologically, renumber_operations,
-    replay_input, running_balance, upsert_by_email, walk,
+    replay_input, replay_output, running_balance, upsert_by_email, walk,
 )
 from bankpulse.operators.ordering import in_pieces
+from bankpulse.streaming import ledger_stream
 from bankpulse.streaming.ledger_stream import decided, feed, late_attempts, ledger_replay_stream
 
 START = datetime(2025, 1, 1)
@@ -166,6 +167,26 @@ def test_attempts_without_a_moment_are_decided_first(spark):
     assert found == as_outcome(ledger_replay(frame(spark, rows))) and len(found) == 63
 
 
+def test_accounts_share_keys_of_the_state(spark, tmp_path, monkeypatch):
+    """A call for a key costs milliseconds: with a key per account the time followed the accounts."""
+    monkeypatch.setattr(ledger_stream, "BUCKETS", 8)
+    rows = replay_input(frame(spark, [(i, i, "DEPOSIT", Decimal(1), START) for i in range(300)]))
+    rows.write.parquet(f"{tmp_path}/input")
+    query = ledger_stream.start(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/input"), str(tmp_path))
+    query.awaitTermination()
+    kept = query.lastProgress.stateOperators[0].numRowsTotal
+    assert 0 < kept <= 3 * 8 and decided(spark, str(tmp_path)).count() == 300
+
+
+def test_unknown_accounts_and_kinds_stream_as_in_the_batch(spark, tmp_path):
+    """Several accounts of a bucket, a missing account and a missing kind, over two arrivals with a delay."""
+    hour = lambda h: START + timedelta(hours=h)
+    rows = [(i, None if i % 7 == 0 else i % 5, ("DEPOSIT", "WITHDRAWAL", None)[i % 3], Decimal(i % 11), hour(i)) for i in range(1, 80)]
+    feed(replay_input(frame(spark, rows)), [F.col("operation_id") <= 40, F.col("operation_id") > 40], str(tmp_path))
+    found = as_outcome(replay_output(decided(spark, str(tmp_path))))
+    assert found == brute_force(rows) and len(found) == 79
+
+
 def test_late_attempts_are_listed_and_change_nothing(spark, tmp_path):
     hour = lambda h: START + timedelta(hours=h)
     rows = [(1, 1, "DEPOSIT", Decimal("9.00"), hour(1)), (2, 1, "WITHDRAWAL", Decimal("8.00"), hour(5)), (3, 2, "DEPOSIT", Decimal("1.00"), hour(9)),
