@@ -22,11 +22,14 @@ from bankpulse.operators.star import Star
 from bankpulse.operators.states import ACCOUNT_MONTHS, MONEY_MONTHS, account_months, money_months
 from bankpulse.params import timestamp
 from bankpulse.sources.files import read_typed_csv, stamped, write_typed_csv
-from bankpulse.tables import BankTables, Kept
+from bankpulse.tables import COUNTED, BankTables, Kept, counted_operations, counted_transactions
 
 LOGS = ("operation_log", "transactions")
 #: Log rows per bucket of the counts by operation, whose rows are a quarter as wide.
 BUCKET_ROWS = 1 << 24
+#: An operation with more than this share of a log is counted before its rows move.
+FREQUENT = 0.002
+_CODEC = "zstd"
 _COUNTS = {
     "operation_counts": "operation_id bigint, status string, event_type string, amount_requested decimal(12,2), ops bigint",
     "transaction_counts": "operation_id bigint, txn_type string, amount decimal(12,2), txns bigint",
@@ -200,13 +203,13 @@ def _counted(frame: DataFrame, name: str, write) -> tuple[str, int]:
 def _monthly(frame: DataFrame, path: str, *order: str | Column) -> None:
     """To month folders. Inside a month rows are range-partitioned, so files carry narrow ranges and
     a busy month or account is split over tasks."""
-    frame.repartitionByRange("month", *order).write.partitionBy("month").parquet(path)
+    frame.repartitionByRange("month", *order).write.option("compression", _CODEC).partitionBy("month").parquet(path)
 
 
 def stage_layer(tables: BankTables, folder: str, onto: str | None = None) -> tuple[str, dict[str, int]]:
     """Write the tables in key order as a new run that no reader sees yet; its name and the rows
     per table. The two logs go to month folders by account and time; from there each is read
-    once more for the sums of its months, and once for the counts by operation.
+    once more for the sums of its months, and for the counts by operation once and its ids once.
 
     With ``onto``, an earlier run, the logs of ``tables`` hold some months, each of them whole: these
     replace the months of that run in both logs, and its other months are read from where they are
@@ -240,7 +243,9 @@ def stage_layer(tables: BankTables, folder: str, onto: str | None = None) -> tup
         spark.read.schema(schema).parquet(f"{path}/{name}")
         for name, schema in zip(LOGS, (schemas.OPERATION_LOG, schemas.TRANSACTIONS), strict=True)
     )
-    _monthly(account_months(log, transactions), f"{path}/account_months", "account_id")
+    # in the tasks that made the sums, in order of months, which the pages of the files carry
+    sums = account_months(log, transactions).sortWithinPartitions("month", "account_id")
+    sums.write.option("compression", _CODEC).parquet(f"{path}/account_months")
     money_months(transactions).write.partitionBy("month").parquet(f"{path}/money_months")
     spans = [spark.read.schema(f"{_SPAN}, month date").parquet(f"{path}/{name}") for name in ("account_months", "money_months")]
     delivered = spans[0].union(spans[1]).groupBy("month").agg(F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"))
@@ -255,13 +260,28 @@ def stage_layer(tables: BankTables, folder: str, onto: str | None = None) -> tup
     return run, counts
 
 
+def _frequent(log: DataFrame) -> Column:
+    """Whether a row has no operation, or one that may stand for more than ``FREQUENT`` of the rows:
+    Spark's frequent items miss none, and are at most 1 / ``FREQUENT`` ids."""
+    key = F.col("operation_id")
+    items = log.select(key).where(key.isNotNull()).stat.freqItems(["operation_id"], FREQUENT).first()[0]
+    return key.isNull() | key.isin(items) if items else key.isNull()
+
+
 def _write_counts(tables: LayerTables, rows: int) -> None:
-    """Both counts in the same buckets by operation, a file each. They are counted before they move
-    to their bucket, so an id that is repeated, or missing, in a large part of a log is a few rows."""
+    """Both counts in the same buckets by operation, a file each, and one more for some. The rows move to
+    their bucket once and are counted there; an id that is repeated, or missing, in a large part of a log
+    is counted before, so that it is a few rows."""
     spark = tables.spark
     buckets = max(spark.sparkContext.defaultParallelism, math.ceil(rows / BUCKET_ROWS))
-    for name, counted in (("operation_counts", BankTables.operation_counts), ("transaction_counts", BankTables.transaction_counts)):
-        placed = counted(tables).repartition(buckets, "operation_id").write.bucketBy(buckets, "operation_id")
+    for name, log, counted in (
+        ("operation_counts", tables.operation_log(), counted_operations), ("transaction_counts", tables.transactions(), counted_transactions),
+    ):
+        narrow = log.select(*COUNTED[name])
+        frequent = _frequent(log)
+        spread = counted(narrow.where(~frequent).repartition(buckets, "operation_id"))
+        few = counted(narrow.where(frequent))
+        placed = spread.union(few).write.option("compression", _CODEC).bucketBy(buckets, "operation_id")
         placed.option("path", _absolute(spark, f"{tables.folder}/{name}")).format("parquet").saveAsTable(_table(tables.run, name))
     spark.range(1).select(F.lit(buckets).cast("int").alias("buckets")).coalesce(1).write.parquet(f"{tables.folder}/buckets")
 

@@ -75,10 +75,10 @@ class BankTables(ABC):
     def operation_counts(self) -> DataFrame:
         """Logged operations counted by id and by what is compared with their transaction: one row
         per id and value set, however often an id is repeated."""
-        return self.operation_log().groupBy("operation_id", "status", "event_type", "amount_requested").agg(F.count("*").alias("ops"))
+        return counted_operations(self.operation_log())
 
     def transaction_counts(self) -> DataFrame:
-        return self.transactions().groupBy("operation_id", "txn_type", "amount").agg(F.count("*").alias("txns"))
+        return counted_transactions(self.transactions())
 
     def customers(self) -> DataFrame:
         from bankpulse.operators.cleaning import customers_clean
@@ -89,6 +89,21 @@ class BankTables(ABC):
         return self.spark.createDataFrame(CATEGORIES, schemas.CATEGORIES)
 
 
+#: What the counts by operation tell apart, the operation first.
+COUNTED = {
+    "operation_counts": ("operation_id", "status", "event_type", "amount_requested"),
+    "transaction_counts": ("operation_id", "txn_type", "amount"),
+}
+
+
+def counted_operations(log: DataFrame) -> DataFrame:
+    return log.groupBy(*COUNTED["operation_counts"]).agg(F.count("*").alias("ops"))
+
+
+def counted_transactions(transactions: DataFrame) -> DataFrame:
+    return transactions.groupBy(*COUNTED["transaction_counts"]).agg(F.count("*").alias("txns"))
+
+
 def defined_once(job):
     """For jobs of (tables, params) that many others build on."""
 

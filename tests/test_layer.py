@@ -18,6 +18,7 @@ from bankpulse.operators.star import Star
 from bankpulse.plans import pipeline
 from bankpulse.sources.files import write_crm_csv, write_typed_csv
 from bankpulse.sources.layer import LayerTables, publish, retire, stage_layer, write_layer
+from bankpulse.tables import counted_operations
 from tests.conftest import Journey, at
 
 JOBS = [account_ops, account_money, account_measures, monthly_ops, monthly_money, v_monthly_kpis]
@@ -170,6 +171,34 @@ def test_pairs_in_buckets_are_joined_without_an_exchange(spark, busy, tmp_path):
     assert rows(LayerTables(spark, layer).operation_counts()) == rows(plain.operation_counts())
 
 
+def test_counts_move_the_rows_to_their_bucket_once(spark, busy, tmp_path, monkeypatch):
+    """One exchange by operation besides that of frequent ids, which are counted before they move."""
+    busy.operations += [(101, 1, "DEPOSIT", "SUCCESS", None, "APP", Decimal(1), at("2025-02-02"))] * 30
+    busy.operations += [(None, 1, "DEPOSIT", "SUCCESS", None, "APP", Decimal(1), at("2025-02-02"))] * 20
+    plain, layer, moved = busy.tables(spark), str(tmp_path / "layer"), []
+    monkeypatch.setattr("bankpulse.sources.layer.FREQUENT", 0.05)
+    monkeypatch.setattr("bankpulse.sources.layer.counted_operations", lambda rows: moved.append(rows) or counted_operations(rows))
+    write_layer(plain, layer)
+    spread, few = moved
+    assert spread.where("operation_id = 101 OR operation_id IS NULL").isEmpty()
+    assert few.where("operation_id = 101").count() >= 30 and few.where("operation_id IS NULL").count() == 20
+    text = counted_operations(spread)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(operation_id") == 1
+    assert rows(LayerTables(spark, layer).operation_counts()) == rows(plain.operation_counts())
+
+
+def test_sums_are_written_where_they_were_made(spark, busy, tmp_path):
+    """No range shuffle of the sums; as-of reads skip months by the order inside the files."""
+    layer = str(tmp_path / "layer")
+    write_layer(busy.tables(spark), layer)
+    tables = LayerTables(spark, layer)
+    folder = tmp_path / "layer" / tables.run / "account_months"
+    assert not [f for f in folder.iterdir() if f.is_dir()]
+    for part in folder.glob("*.parquet"):
+        months = [r.month for r in spark.read.parquet(str(part)).select("month").coalesce(1).collect() if r.month]
+        assert months == sorted(months)
+
+
 def test_empty_logs(spark, journey, params, tmp_path):
     layer = str(tmp_path / "layer")
     empty = frames(spark, journey, [], [])
