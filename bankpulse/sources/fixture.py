@@ -332,20 +332,19 @@ def _in_lifetime(log: DataFrame, until: datetime | None) -> DataFrame:
     the faults that integrity checks find. Events only move later, so bounds on their day of
     origin remain valid for the scan. The moment is made last, from its seconds.
 
-    Whether an event is late is told from its first moment: a filter on the outcome is pushed to the
-    scan with all it is made of, and the scan with filter and columns has to stay below the 8000
-    bytes of a generated method that the JVM compiles; a longer one is interpreted for every row."""
+    The moment is exploded from an array of one, for filters on it, or on the outcome, to stay above:
+    pushed to the scan, each would repeat all that the moment is made of, and the generated method pass
+    the 8000 bytes above which the JVM interprets it for every row."""
     opened = _OPENED_AT
     last = (PARAMS.period_end - datetime(1995, 1, 1)).days * 86400 + 86399
-    mirrored = f"({opened} - at) % greatest(86400, {last} - {opened})"
-    late = f"k % 19 = 0 and operation_id % 211 <> 0 and if(at < {opened}, {mirrored}, at - {opened}) > 400 * 86400"
-    moved = log.withColumns({
-        "late": F.expr(late), "at": F.expr(f"if(at < {opened} and operation_id % 211 <> 0, {opened} + {mirrored}, at)"),
-    })
+    mirrored = f"{opened} + ({opened} - at) % greatest(86400, {last} - {opened})"
+    moved = log.withColumn("at", F.explode(F.array(F.expr(f"if(at < {opened} and operation_id % 211 <> 0, {mirrored}, at)"))))
     if until is not None:
         moved = moved.where(F.col("at") <= int((until - datetime(1995, 1, 1)).total_seconds()))
+    late = f"k % 19 = 0 and at > {opened} + 400 * 86400 and operation_id % 211 <> 0"
     return (
-        moved.withColumn("failure_reason", F.expr("if(late and status = 'SUCCESS', 'ACCOUNT_CLOSED', failure_reason)"))
+        moved.withColumn("late", F.expr(late))
+        .withColumn("failure_reason", F.expr("if(late and status = 'SUCCESS', 'ACCOUNT_CLOSED', failure_reason)"))
         .withColumn("status", F.expr("if(late, 'FAILED', status)"))
         .withColumn("created_at", F.expr("timestamp_ntz'1995-01-01 00:00:00' + interval '1' second * cast(at as int)"))
         .drop("at", "late")

@@ -75,3 +75,18 @@ def test_months_of_an_account_travel_as_one_word(spark, name):
 def test_scores_need_no_sort_of_the_accounts(spark, name):
     text = plan(spark, name)
     assert "rangepartitioning" not in text and "Window" not in text and "NestedLoop" not in text
+
+
+def test_sources_of_the_logs_stay_below_the_methods_the_jvm_compiles(spark, capsys):
+    """A generated method above 8000 bytes is interpreted for every row; transactions had 8264."""
+    tables = open_fixture(spark, SMALL)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for until in (None, PARAMS.period_end):
+            for log in (tables.operation_log(until), tables.transactions(until)):
+                log.explain("codegen")
+                sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+                assert sizes and max(sizes) < 6000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
