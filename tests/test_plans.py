@@ -7,6 +7,7 @@ import re
 import pytest
 
 import __spark_entry__ as registry
+from bankpulse.sources.fixture import PARAMS, open_fixture
 from tests.conftest import SMALL
 
 # windows over everything are allowed on rows that were grouped down to a handful before
